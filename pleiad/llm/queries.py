@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, packing, simhash
+from . import line_dedup, mixing, neighbours, packing, quality_model, quality_rules, secrets, simhash, toxicity
 from .common import table
 
 
@@ -24,6 +24,32 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash, op3_packing, op7_line_dedup)}
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_digest(table(spark, sf_dir, "documents"))
+
+
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = quality_rules.judged(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "class_distance", "word_distance")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(table(spark, sf_dir, "documents"))
+
+
+OPERATORS = (op1_simhash, op2_mixing, op3_packing, op4_quality_model, op6_quality_rules, op7_line_dedup, op8_toxicity, op9_neighbours, op10_secrets)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
 #: SQL for those that SQL can express.
 ORACLES: dict[str, str] = {}
