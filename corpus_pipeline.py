@@ -7,23 +7,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pleiad.llm import line_dedup, packing, simhash
+from pleiad.llm import line_dedup, mixing, packing, simhash, toxicity
 from pleiad.llm.common import shared_dir, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is below their language's threshold."""
+    model = toxicity.fitted(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).where("not rejected").select(*docs.columns)
+
+
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that ten or more of them share; n_chars follows the text."""
     return line_dedup.without_shared_lines(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mixture takes it, at least once."""
+    return mixing.mixed(docs).select(*docs.columns)
+
+
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of fixed-length sequences that cover all documents' tokens."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES: list[tuple[str, Stage]] = [("line_dedup", drop_shared_lines), ("packing", pack_tokens)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_shared_lines),
+    ("near_dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_tokens),
+]
 #: Hashes, a trained classifier and a tokenizer are not expressible in SQL; tests compare with brute force.
 ORACLE_SQL = None
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors, once a context: their workers may not have it on their path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_pleiad_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="pleiad-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/pleiad_code.zip", "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(f"{folder}/pleiad_code.zip")
+    sc._pleiad_shipped = True
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Texts may be very long, so that Python workers get them in batches bounded by rows and by bytes."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)
 

@@ -161,12 +161,13 @@ def line_digest(docs: DataFrame, min_docs: int = 10) -> DataFrame:
 def without_shared_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     """docs with the shared lines gone from text; every row and column stays, a null text stays null."""
     marked = with_bitmaps(docs, min_docs, tuple(docs.columns))
-    at = docs.columns.index("text")
+    names = list(docs.columns)
+    at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = [None if t is None else kept_text(t, m)[0].decode() for t, m in zip(b.column(at).cast(pa.binary()).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True)]
             cols = [pa.array(text, pa.string()) if i == at else c for i, c in enumerate(b.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(cols, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return marked.mapInArrow(run, docs.schema)

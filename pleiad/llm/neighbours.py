@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, ship
 
 #: Pivots (the fitted sample: vectors of the least hashes), length of a representation, part of a block that is ranked again.
 PIVOTS, PREFIX, RERANKED, LEAST = 128, 64, 0.15, 64
@@ -86,6 +86,7 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, part: float = RERAN
     Only the pivots are fitted on a sample; every vector is indexed. Vectors and queries meet in tiles of bounded
     blocks, dealt by hashes of vec_id, so copies of one vector spread over all blocks.
     """
+    ship(vectors.sparkSession)
     own = checkpointed(usable(vectors).withColumn("dim", F.size("embedding")))
     counts = own.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("vec_id") % every == 0).cast("long")).alias("q"))
     top = counts.orderBy(F.desc("n"), "dim").first()

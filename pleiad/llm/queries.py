@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, neighbours, packing, quality_model, quality_rules, secrets, simhash, toxicity
+from . import line_dedup, mixing, neighbours, ngram, packing, quality_model, quality_rules, secrets, simhash, toxicity
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.scored(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality_rules.judged(table(spark, sf_dir, "documents"))
     return got.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "class_distance", "word_distance")
@@ -49,7 +53,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
 
-OPERATORS = (op1_simhash, op2_mixing, op3_packing, op4_quality_model, op6_quality_rules, op7_line_dedup, op8_toxicity, op9_neighbours, op10_secrets)
+OPERATORS = (op1_simhash, op2_mixing, op3_packing, op4_quality_model, op5_ngram, op6_quality_rules, op7_line_dedup, op8_toxicity, op9_neighbours, op10_secrets)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
 #: SQL for those that SQL can express.
 ORACLES: dict[str, str] = {}

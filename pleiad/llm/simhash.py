@@ -1,12 +1,14 @@
 """SimHash near-dedup by bit-sliced comparison.
 
-Distinct fingerprints are dealt into tables by agreeing bit blocks (two within the radius agree on some
-choice of blocks, so no link is lost). Within a bucket the fingerprints stand as vertical bit planes; carry-save
-counters add up many distances at once, and a block of lanes is abandoned once all of them exceed the radius.
+Distinct fingerprints are dealt into tables by agreeing bits. Within a bucket they stand as vertical bit planes;
+carry-save counters add up many distances at once, and a block of lanes is abandoned once all of them exceed the
+radius. Tables of a small radius take bit blocks of which two fingerprints within it must agree on some choice, so
+no link is lost; tables of a large radius take sampled bits, as many as a stated similarity needs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -23,11 +25,16 @@ from .components import connected_components
 SEED = 42
 #: Bits agreed on by a bucket's members come from this many blocks of the radius + CHOSEN.
 CHOSEN = 2
-#: Buckets to this size are compared by shifted lanes of the whole batch, larger ones block by block.
+#: Buckets to this size are compared by shifted lanes of many buckets at once, larger ones block by block.
 SMALL_RUN = 48
 LANES = 4096
 #: A larger bucket is dealt again by the bits that its key doesn't hold.
 LARGE_RUN = 1 << 14
+#: Rows of sorted buckets that are compared together.
+TOGETHER = 1 << 16
+#: Of similar documents: fingerprint words of 64 bits, words a shingle, the similarity aimed at, and the part of the pairs just
+#: that similar which no table may bring together.
+WIDE, SHINGLE, SIMILAR, MISSED = 4, 5, 0.8, 0.03
 
 
 def shingle_hashes(text: bytes, width: int) -> list[int]:
@@ -45,9 +52,9 @@ def shingle_hashes(text: bytes, width: int) -> list[int]:
     return [digest(joined[a:b], SEED) for a, b in zip(starts, ends, strict=True)]
 
 
-def majority(hashes: list[int]) -> int:
+def majority(hashes: list[int] | np.ndarray) -> int:
     """The bits set in over half of the hashes."""
-    if not hashes:
+    if not len(hashes):
         return 0
     h = np.array(hashes, np.uint64)
     n = len(h)
@@ -79,9 +86,9 @@ def fingerprints(docs: DataFrame, width: int = 3, keep: tuple[str, ...] = ("doc_
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
-    """64 rows of uint64 words: bit i of a row's words is that bit of fingerprint i."""
-    bits = np.unpackbits(fps.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").T
-    bits = np.concatenate((bits, np.zeros((64, -len(fps) % 64), np.uint8)), axis=1)
+    """A row of uint64 words for each bit of the fingerprints (n, words): bit i of a row is that bit of fingerprint i."""
+    bits = np.unpackbits(np.ascontiguousarray(fps, "<u8").view(np.uint8), axis=1, bitorder="little").T
+    bits = np.concatenate((bits, np.zeros((len(bits), -len(fps) % 64), np.uint8)), axis=1)
     return np.packbits(np.ascontiguousarray(bits), axis=1, bitorder="little").view("<u8")
 
 
@@ -101,11 +108,15 @@ def near(diffs: Iterator[np.ndarray], dead: np.ndarray, radius: int) -> np.ndarr
     """Lanes within the radius and not dead before. diffs: planes of differing bits, shaped like dead."""
     counters = [np.zeros_like(dead) for _ in range(radius.bit_length())]
     over = dead.copy()
+    check = max(8, 1 << radius.bit_length() - 1)
     for i, carry in enumerate(diffs):
         for j, c in enumerate(counters):
             counters[j], carry = c ^ carry, c & carry
-        over |= carry
-        if i % 8 == 7 and not (~_beyond(counters, over, radius)).any():
+            if j and not carry.any():
+                break
+        else:
+            over |= carry
+        if i % check == check - 1 and not (~_beyond(counters, over, radius)).any():
             return np.zeros_like(dead)
     return ~_beyond(counters, over, radius)
 
@@ -114,38 +125,58 @@ def lanes(mask: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(mask.astype("<u8").view(np.uint8), bitorder="little")[:n])
 
 
+class Block:
+    """Up to LANES fingerprints as bit planes, compared with one other at a time; lanes that are taken out stay out."""
+
+    def __init__(self, fps: np.ndarray, at: np.ndarray):
+        self.at, self.planes = at, planes(fps[at])
+        self.left = np.packbits(np.arange(-len(at) % 64 + len(at)) < len(at), bitorder="little").view("<u8").copy()
+
+    def near(self, bits: np.ndarray, radius: int, take: bool) -> np.ndarray:
+        live = np.flatnonzero(self.left)
+        if not len(live):
+            return live
+        part = self.planes if len(live) == len(self.left) else self.planes[:, live]
+        hit = near((~p if b else p for p, b in zip(part, bits, strict=True)), ~self.left[live], radius)
+        if not hit.any():
+            return live[:0]
+        full = np.zeros_like(self.left)
+        full[live] = hit
+        if take:
+            self.left &= ~full
+        return self.at[lanes(full, len(self.at))]
+
+
 def group(fps: np.ndarray, radius: int) -> np.ndarray:
-    """For each of a bucket's fingerprints, the place of its component's first one.
+    """A forest that joins a bucket's fingerprints as their distances do: for each one a near one before it, or itself.
 
-    Breadth first: each fingerprint is compared once, with those not reached so far, so the links of a dense
-    group are never listed; a block of lanes is left as soon as all in it are reached or too far.
+    Breadth first: what is reached in a step is compared with what isn't reached yet, one of the smaller side at a time,
+    so the links of a dense group are never listed.
     """
-    n = len(fps)
-    root = np.arange(n)
-    blocks = [planes(fps[a : a + LANES]) for a in range(0, n, LANES)]
-    left = [np.packbits(np.arange(p.shape[1] * 64) < min(LANES, n - LANES * k), bitorder="little").view("<u8").copy() for k, p in enumerate(blocks)]
-    for k in range(len(blocks)):
-        while left[k].any():
-            seed = int(lanes(left[k], LANES)[0])
-            left[k][seed >> 6] &= ~(np.uint64(1) << np.uint64(seed & 63))
-            seed += k * LANES
-            frontier = [seed]
-            while frontier:
-                x = fps[frontier.pop()]
-                for m, p in enumerate(blocks):
-                    live = np.flatnonzero(left[m])
-                    if not len(live):
-                        continue
-                    part = p[:, live]
-                    hit = near((~part[i] if int(x) >> i & 1 else part[i] for i in range(64)), ~left[m][live], radius)
-                    if hit.any():
-                        left[m][live] &= ~hit
-                        full = np.zeros_like(left[m])
-                        full[live] = hit
-                        found = lanes(full, LANES) + m * LANES
-                        root[found] = seed
-                        frontier += found.tolist()
-    return root
+    parent = np.arange(len(fps))
+    bits = np.unpackbits(np.ascontiguousarray(fps, "<u8").view(np.uint8), axis=1, bitorder="little").astype(bool)
+    left, front = np.arange(len(fps)), np.zeros(0, np.int64)
+    while len(left):
+        if not len(front):
+            front, left = left[:1], left[1:]
+        found = []
+        many, few = (left, front) if len(front) <= len(left) else (front, left)
+        blocks = [Block(fps, many[a : a + LANES]) for a in range(0, len(many), LANES)]
+        for i in few.tolist():
+            for b in blocks:
+                got = b.near(bits[i], radius, many is left)
+                if not len(got):
+                    continue
+                if many is left:
+                    parent[got] = i
+                    found.append(got)
+                else:
+                    parent[i] = got[0]
+                    found.append(np.array([i]))
+                    break
+        front = np.concatenate(found) if found else front[:0]
+        left = left[~np.isin(left, front)]
+    return parent
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,37 +184,56 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.concatenate((starts, [len(keys)])))
 
 
-def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, spare: tuple[int, ...] = ()) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links that join the fingerprints of each whole run of equal keys as their distances do."""
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of the pairs that join what the ones before them don't."""
+    parent: dict[int, int] = {}
     out = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        while (up := parent.get(y, y)) != y:
+            parent[y] = parent.get(up, up)
+            y = up
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append(i)
+    return np.array(out, np.int64)
+
+
+def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, again: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Places (a, b) of near fingerprints that join those of each run of equal keys as their distances do."""
     starts, sizes = _runs(keys)
-    if not (sizes > 1).any():
-        return out
-    small = np.repeat((sizes > 1) & (sizes <= SMALL_RUN), sizes)
-    k, f = keys[small], fps[small]
+    found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2]
+    small = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SMALL_RUN), sizes))
+    k = keys[small]
+    pairs = []
     for shift in range(1, SMALL_RUN):
         at = np.flatnonzero(k[shift:] == k[:-shift]) if len(k) > shift else []
         if not len(at):
             break
-        a, b = f[at], f[at + shift]
-        pa_, pb = planes(a), planes(b)
-        hit = lanes(near((pa_[i] ^ pb[i] for i in range(64)), np.zeros(pa_.shape[1], np.uint64), radius), len(at))
-        if len(hit):
-            out.append((a[hit], b[hit]))
-    for at, n in zip(starts[sizes > SMALL_RUN], sizes[sizes > SMALL_RUN], strict=True):
+        mixed = planes(fps[small[at]] ^ fps[small[at + shift]])
+        hit = lanes(near(iter(mixed), np.zeros(mixed.shape[1], np.uint64), radius), len(at))
+        pairs.append((small[at[hit]], small[at[hit] + shift]))
+    if pairs:
+        a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        kept = _forest(a, b)
+        found.append((a[kept], b[kept]))
+    for at, n in zip(starts[sizes > SMALL_RUN].tolist(), sizes[sizes > SMALL_RUN].tolist(), strict=True):
         own = fps[at : at + n]
-        if n > LARGE_RUN and not spare:
+        if n > LARGE_RUN and again and own.shape[1] == 1 and radius < 8:
             for chosen in combinations(range(8), 8 - radius):  # blocks of 8 bits, as many agree as the radius leaves
                 key = np.zeros(n, np.uint64)
                 for c in chosen:
-                    key = key << np.uint64(8) | (own >> np.uint64(8 * c) & np.uint64(255))
+                    key = key << np.uint64(8) | (own[:, 0] >> np.uint64(8 * c) & np.uint64(255))
                 order = np.argsort(key, kind="stable")
-                out += bucket_links(key[order], own[order], radius, (1,))
+                a, b = bucket_links(key[order], own[order], radius, False)
+                found.append((at + order[a], at + order[b]))
         else:
-            root = group(own, radius)
-            moved = np.flatnonzero(root != np.arange(n))
-            out.append((own[moved], own[root[moved]]))
-    return out
+            parent = group(own, radius)
+            moved = np.flatnonzero(parent != np.arange(n))
+            found.append((at + moved, at + parent[moved]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def tables(radius: int) -> list[list[tuple[int, int]]]:
@@ -193,32 +243,49 @@ def tables(radius: int) -> list[list[tuple[int, int]]]:
     return [[(edges[i], edges[i + 1] - edges[i]) for i in chosen] for chosen in combinations(range(n), CHOSEN)]
 
 
+def compared(dealt: DataFrame, radius: int, size: int = 0) -> DataFrame:
+    """(a, b): ids of near fingerprints, from rows (key, id, fp as size words in bytes); equal keys make a bucket.
+
+    With size 0 there is no fp, and an id is its fingerprint.
+    """
+
+    def told(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(keys) > 1:
+            a, b = bucket_links(keys, fps, radius)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple] = []
+        n, goal = 0, TOGETHER
+        for b in batches:
+            ids = b.column(1).to_numpy()
+            fps = np.frombuffer(b"".join(b.column(2).to_pylist()), "<u8").reshape(-1, size) if size else ids.view(np.uint64).reshape(-1, 1)
+            waiting.append((b.column(0).to_numpy(), ids, fps))
+            n += b.num_rows
+            if n >= goal:
+                keys, ids, fps = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                whole = int(np.searchsorted(keys, keys[-1]))  # the last bucket may go on in the next batch
+                yield from told(keys[:whole], ids[:whole], fps[:whole])
+                waiting, n = [(keys[whole:], ids[whole:], fps[whole:])], n - whole
+                goal = max(TOGETHER, 2 * n)
+        if waiting:
+            yield from told(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+
+    n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(n, "key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long")
+
+
 def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
-    """(a, b): fingerprints of the one column fp that lie within the radius, enough of them to join all that do."""
+    """(a, b): fingerprints of the one column fp (long) that lie within the radius, enough of them to join all that do."""
     keys = []
     for t, blocks in enumerate(tables(radius)):
         key = F.lit(t).cast("long")
         for at, width in blocks:
             key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << width) - 1)))
         keys.append(key)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k, f = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        for b in batches:
-            k = np.concatenate((k, b.column(0).to_numpy()))
-            f = np.concatenate((f, b.column(1).to_numpy().view(np.uint64)))
-            whole = int(np.searchsorted(k, k[-1])) if len(k) else 0  # the last run may go on in the next batch
-            yield from told(bucket_links(k[:whole], f[:whole], radius))
-            k, f = k[whole:], f[whole:]
-        yield from told(bucket_links(k, f, radius) if len(k) else [])
-
-    def told(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        for a, b in found:
-            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-
-    dealt = distinct.select(F.explode(F.array(*keys)).alias("key"), "fp")
-    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "key").sortWithinPartitions("key", "fp").mapInArrow(run, "a long, b long")
+    dealt = distinct.select(F.explode(F.array(*keys)).alias("key"), F.col("fp").alias("id"))
+    return compared(dealt, radius)
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
@@ -237,3 +304,77 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
     return marked.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def wide_fingerprint(text: bytes, width: int = SHINGLE, size: int = WIDE) -> bytes:
+    """size words of 64 bits: the majorities of different shingles' hashes and of hashes made from those."""
+    h, out = np.unique(np.array(shingle_hashes(text, width), np.uint64)), []
+    for _ in range(size):
+        out.append(majority(h))
+        h = _mixed(h)
+    return np.array(out, "<u8").tobytes()
+
+
+def agreement(similarity: float) -> float:
+    """The chance that a bit of two documents agrees if their shingle sets, of one size, have this Jaccard similarity."""
+    return 1 - math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def sampled_bits(n: int, bits: int, agrees: float) -> np.ndarray:
+    """Tables x the bits of a key: one for each binary digit of n, and tables until MISSED pairs that agree so meet in none."""
+    k = min(48, max(8, n.bit_length()), bits)
+    count = math.ceil(math.log(1 / MISSED) / agrees**k)
+    rng = np.random.default_rng(SEED)
+    return np.array([rng.choice(bits, k, replace=False) for _ in range(count)])
+
+
+def similar_groups(docs: DataFrame, similarity: float = SIMILAR, size: int = WIDE, width: int = SHINGLE) -> DataFrame:
+    """doc_id, text_key (xxhash64 of the text), group (long): equal groups for documents that similarity joins.
+
+    Fingerprints of size x 64 bits are near within the distance that this Jaccard similarity of shingle sets leads to,
+    and half a standard deviation more. Tables take as many sampled bits as the number of different fingerprints has
+    binary digits. Null and empty texts are one group. A row for each row of docs: repeated rows share a group and
+    null doc_ids stay null. An empty table gives an empty one; other columns are not read.
+    """
+    small_batches(docs.sparkSession)
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("text_key", T.LongType()), T.StructField("fp", T.BinaryType())])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = pa.array([wide_fingerprint(t, width, size) for t in utf8(b.column(2))], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps], names=schema.names)
+
+    marked = checkpointed(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(mark, schema).withColumn("node", F.xxhash64("fp")))
+    distinct = marked.groupBy("node").agg(F.first("fp").alias("fp"))
+    agrees, bits = agreement(similarity), 64 * size
+    chosen = sampled_bits(marked.select("node").distinct().count(), bits, agrees)
+    radius = math.ceil(bits * (1 - agrees) + 0.5 * math.sqrt(bits * agrees * (1 - agrees)))
+    powers = 1 << np.arange(chosen.shape[1], dtype=np.int64)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(b.num_rows, -1)
+            set_bits = np.unpackbits(fps, axis=1, bitorder="little")
+            for t, own in enumerate(chosen):
+                key = (t << chosen.shape[1]) + set_bits[:, own] @ powers
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), b.column(0), b.column(1)], names=["key", "id", "fp"])
+
+    dealt = distinct.mapInArrow(deal, "key long, id long, fp binary")
+    joined = connected_components(compared(dealt, radius, size)).withColumnRenamed("node", "id")
+    return marked.join(joined, F.col("node") == F.col("id"), "left").select("doc_id", "text_key", F.coalesce("root", "node").alias("group"))
+
+
+def one_of_each(docs: DataFrame, similarity: float = SIMILAR) -> DataFrame:
+    """docs' rows, one of each group of similar_groups: that of the smallest doc_id (nulls last), whole and with all its columns."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    kept = similar_groups(docs, similarity).groupBy("group").agg(F.min(key).alias("k")).select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_key").alias("kept_key"))
+    keyed = docs.withColumn("kept_of", F.xxhash64("text"))
+    found = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("kept_of") == F.col("kept_key")), "left_semi")
+    return found.dropDuplicates(["doc_id", "kept_of"]).select(*(found[c] for c in docs.columns))

@@ -208,11 +208,11 @@ def train(rows: list[tuple[bytes, int, str | None]]) -> Model:
 
 
 def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve through (logit, label), each label with half of the weight."""
+    """Slope and shift of a logistic curve through (logit, label)."""
     a, b = 1.0, 0.0
     n1, n0 = y.sum(), len(y) - y.sum()
     t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    v = np.where(y == 1, 0.5 / n1, 0.5 / n0)
+    v = np.full(len(y), 1 / len(y))
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
         g = np.array([(v * (p - t) * z).sum() + 1e-3 * (a - 1), (v * (p - t)).sum()])
