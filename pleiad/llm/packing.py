@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -20,33 +21,95 @@ WINDOWS, SLACK = 96, 12
 #: Document tails are cut into pieces of at most this many tokens before they are balanced.
 PIECE = 192
 END = 1
-#: Words whose ids a worker remembers.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers, in each of two generations; bytes of text whose new words are learnt at once.
+REMEMBERED, TOGETHER = 400_000, 1 << 20
+MARKS = string.punctuation.encode()
 
 
 class WordTokenizer:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
     Every token of the vocabulary lies between ASCII white space, which the tokenizer drops, so a text's ids are
-    those of its words in order and each different word is tokenised once.
+    those of its words in order and each different word is tokenised once. Words of letters alone are one unit to
+    the tokenizer and end in a token that says so, so many of them share one call.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
-    def __call__(self, text: bytes) -> bytes:
-        found = text.split()
-        known = self.known
-        if missing := list({w for w in found if w not in known}):
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = list(set(found))
-            for w, e in zip(missing, self.encode([w.decode() for w in missing], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, found))
+    def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text, by groups of about TOGETHER bytes whose new words are learnt at once."""
+        group: list[list[bytes]] = []
+        size = 0
+        for text in texts:
+            group.append(text.split())
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self.encoded(group)
+                group, size = [], 0
+        yield from self.encoded(group)
+
+    def encoded(self, group: list[list[bytes]]) -> Iterator[bytes]:
+        different = set().union(*group)
+        missing = different.difference(self.known)
+        if len(self.known) + len(missing) > REMEMBERED:  # words in use pass over to the next generation
+            self.known, self.old, missing = {}, self.known, different
+        old, fresh = self.old, []
+        for w in missing:
+            if (ids := old.get(w)) is None:
+                fresh.append(w)
+            else:
+                self.known[w] = ids
+        self.learn(fresh)
+        ids = self.known.__getitem__
+        for found in group:
+            yield b"".join(map(ids, found))
+
+    def learn(self, missing: list[bytes]) -> None:
+        """Letters are looked up in small ones, as the tokenizer reads them; marks behind them are tokens of their own."""
+        known, cut, plain, other = self.known, [], set(), []
+        for w in missing:
+            core = w.rstrip(MARKS)
+            if core.isalpha():  # ASCII alone
+                core = core.lower()
+            elif core.isascii() or not (text := core.decode()).isalpha() or not text.lower().isalpha():
+                other.append(w)
+                continue
+            plain.add(core)
+            if core != w:
+                cut.append((w, core, w[len(core) :]))
+        plain = list(plain.difference(known))
+        for a in range(0, len(plain), 4096):
+            part = plain[a : a + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(part) and stops[-1] == len(ids):
+                raw, stops = ids.tobytes(), (4 * stops).tolist()
+                known.update(zip(part, (raw[x:y] for x, y in zip([0, *stops], stops)), strict=True))
+            else:
+                other += part
+        other += {marks for _, _, marks in cut}.difference(known)
+        for w, e in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
+            known[w] = np.array(e.ids, "<u4").tobytes()
+        for w, core, marks in cut:
+            known[w] = known[core] + known[marks]
+
+
+#: Kept by a worker from task to task: a tokenizer by its path.
+_LOADED: dict[str, WordTokenizer] = {}
+
+
+def tokenizer_at(path: str) -> WordTokenizer:
+    if path not in _LOADED:
+        _LOADED[path] = WordTokenizer(path)
+    return _LOADED[path]
 
 
 def difference(sizes: list[int], ways: int) -> list[int]:
@@ -179,7 +242,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     schema = T.StructType([docs.schema["doc_id"], *(T.StructField(n, T.LongType()) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokenizer(tokenizer)
+        tokens = tokenizer_at(tokenizer)
         packer = Packer(capacity, TaskContext.get().partitionId() << 40)
         kind = pa.int64()
 
@@ -189,7 +252,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
 
         for b in batches:
             kind = b.column(0).type
-            rows = [p for doc, text in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True) for p in packer.add(doc, tokens(text) + END.to_bytes(4, "little"))]
+            rows = [p for doc, ids in zip(b.column(0).to_pylist(), tokens(utf8(b.column(1))), strict=True) for p in packer.add(doc, ids + END.to_bytes(4, "little"))]
             if rows:
                 yield told(rows)
         if rows := list(packer.end()):
