@@ -138,16 +138,16 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     return dropped.groupBy("doc", "text_key").agg(F.collect_set("pos").alias("pos")).mapInArrow(run, sent)
 
 
-def with_bitmaps(docs: DataFrame, min_docs: int = 10, columns: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
-    """columns of docs, and keep: its bitmap, or null."""
+def with_bitmaps(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+    """row (docs' columns as one struct, so that no name clashes), and keep: the row's bitmap, or null."""
     keep = keep_bitmaps(docs, min_docs)
-    own = docs.select(*columns).withColumn("text_key", F.xxhash64("text"))
-    return own.join(keep, F.col("doc_id").eqNullSafe(F.col("doc")) & (own["text_key"] == keep["text_key"]), "left").select(*(own[c] for c in columns), "keep")
+    own = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_key"))
+    return own.join(keep, F.col("own_id").eqNullSafe(F.col("doc")) & (F.col("own_key") == F.col("text_key")), "left").select("row", "keep")
 
 
 def line_digest(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256 (of the kept lines, joined by \\n), a row for each row of docs."""
-    marked = with_bitmaps(docs, min_docs)
+    marked = with_bitmaps(docs.select("doc_id", "text"), min_docs).select("row.doc_id", "row.text", "keep")
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_sha256", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,14 +160,13 @@ def line_digest(docs: DataFrame, min_docs: int = 10) -> DataFrame:
 
 def without_shared_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     """docs with the shared lines gone from text; every row and column stays, a null text stays null."""
-    marked = with_bitmaps(docs, min_docs, tuple(docs.columns))
     names = list(docs.columns)
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = [None if t is None else kept_text(t, m)[0].decode() for t, m in zip(b.column(at).cast(pa.binary()).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True)]
-            cols = [pa.array(text, pa.string()) if i == at else c for i, c in enumerate(b.columns[:-1])]
+            cols = b.column(0).flatten()
+            cols[at] = pa.array([None if t is None else kept_text(t, m)[0].decode() for t, m in zip(cols[at].cast(pa.binary()).to_pylist(), b.column(1).to_pylist(), strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return marked.mapInArrow(run, docs.schema)
+    return with_bitmaps(docs, min_docs).mapInArrow(run, docs.schema)

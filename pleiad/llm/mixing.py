@@ -110,7 +110,7 @@ def mixed(docs: DataFrame, entropy: float = ENTROPY, max_epochs: float = MAX_EPO
     """
     names = [c for c in docs.columns if not c.startswith("mix_")]
     hashed = F.xxhash64(F.lit(SEED), "doc_id", "text")
-    sized = docs.select(*names, tokens_of(F.col("text")).alias("mix_tokens"), hashed.alias("mix_hash"))
+    sized = docs.select(F.struct(*names).alias("mix_row"), "source", tokens_of(F.col("text")).alias("mix_tokens"), hashed.alias("mix_hash"))
     light = checkpointed(sized.select("source", "mix_tokens", "mix_hash"))
     sources = checkpointed(light.groupBy("source").agg(F.sum("mix_tokens").alias("t")))
     m = solve(sources, entropy, max_epochs, budget)
@@ -144,7 +144,7 @@ def mixed(docs: DataFrame, entropy: float = ENTROPY, max_epochs: float = MAX_EPO
     taken = blocked(sized).join(p, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("mix_block") == F.col("plan_block")))
     taken = taken.where(~F.col("mix_cut") | (order <= F.col("mix_last")))
     place = F.shiftrightunsigned(order, 11) / float(1 << 53)  # of a document in its block
-    return taken.select(*names, "mix_tokens", "mix_weight", "mix_epoch", F.least(F.lit(1.0), F.col("mix_key") + F.col("mix_span") * place).alias("mix_key"))
+    return taken.select("mix_row.*", "mix_tokens", "mix_weight", "mix_epoch", F.least(F.lit(1.0), F.col("mix_key") + F.col("mix_span") * place).alias("mix_key"))
 
 
 def mixing_digest(docs: DataFrame) -> DataFrame:

@@ -92,8 +92,8 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, part: float = RERAN
     top = counts.orderBy(F.desc("n"), "dim").first()
     dim = top["dim"] if top else 0
     fitted = own.where(F.col("dim") == dim).orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(PIVOTS).collect()
-    pivots = np.array([r["embedding"] for r in fitted], float).reshape(len(fitted), -1)
-    pivots = pivots / lengths(pivots)[:, None] if len(pivots) else pivots
+    pivots = np.array([r["embedding"] for r in fitted], float).reshape(len(fitted), dim)
+    pivots = pivots / lengths(pivots)[:, None]
     prefix = max(1, min(PREFIX, len(pivots) // 2))
     sizes = counts.withColumns({"vectors": F.ceil(F.col("n") / VECTOR_BLOCK).cast("int"), "queries": F.ceil(F.col("q") / QUERY_BLOCK).cast("int")}).where("q > 0").select("dim", "vectors", "queries")
     placed = own.join(sizes, "dim")

@@ -375,6 +375,6 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILAR) -> DataFrame:
     """docs' rows, one of each group of similar_groups: that of the smallest doc_id (nulls last), whole and with all its columns."""
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     kept = similar_groups(docs, similarity).groupBy("group").agg(F.min(key).alias("k")).select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_key").alias("kept_key"))
-    keyed = docs.withColumn("kept_of", F.xxhash64("text"))
-    found = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("kept_of") == F.col("kept_key")), "left_semi")
-    return found.dropDuplicates(["doc_id", "kept_of"]).select(*(found[c] for c in docs.columns))
+    own = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_key"))  # one struct: no name clashes
+    found = own.join(kept, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_key") == F.col("kept_key")), "left_semi")
+    return found.dropDuplicates(["own_id", "own_key"]).select("row.*")
