@@ -1,0 +1,291 @@
+"""Writes small tree files for the tests, by the class layouts listed here."""
+
+from __future__ import annotations
+
+import lzma
+import struct
+import zlib
+from collections.abc import Callable
+from contextlib import contextmanager
+
+import numpy as np
+import pyarrow as pa
+
+COUNTED, NEW_CLASS, CLASS = 0x40000000, 0xFFFFFFFF, 0x80000000
+FORMATS = {1: "b", 2: "h", 3: "i", 4: "q", 5: "f", 6: "i", 8: "d", 11: "B", 13: "I", 16: "q", 18: "?"}
+TYPES = {1: "char", 2: "short", 3: "int", 4: "long", 5: "float", 6: "int", 8: "double", 13: "unsigned int", 16: "Long64_t", 18: "bool"}
+#: class: (version, [(member, code, type, counter)]).
+LAYOUTS: dict[str, tuple[int, list[tuple]]] = {
+    "TAttLine": (2, [("fLineColor", 2), ("fLineStyle", 2), ("fLineWidth", 2)]),
+    "TAttFill": (2, [("fFillColor", 2), ("fFillStyle", 2)]),
+    "TAttMarker": (2, [("fMarkerColor", 2), ("fMarkerStyle", 2), ("fMarkerSize", 5)]),
+    "TTree": (
+        20,
+        [("TNamed", 67, "BASE"), ("TAttLine", 0, "BASE"), ("TAttFill", 0, "BASE"), ("TAttMarker", 0, "BASE"), ("fEntries", 16), ("fTotBytes", 16), ("fZipBytes", 16), ("fWeight", 8), ("fNClusterRange", 6), ("fClusterRangeEnd", 56, "Long64_t*", "fNClusterRange"), ("fBranches", 61, "TObjArray"), ("fLeaves", 61, "TObjArray"), ("fAliases", 64, "TList*"), ("fIndexValues", 61, "TArrayD")],
+    ),
+    "TBranch": (
+        13,
+        [("TNamed", 67, "BASE"), ("TAttFill", 0, "BASE"), ("fCompress", 3), ("fBasketSize", 3), ("fEntryOffsetLen", 3), ("fWriteBasket", 3), ("fEntryNumber", 16), ("fOffset", 3), ("fMaxBaskets", 6), ("fSplitLevel", 3), ("fEntries", 16), ("fFirstEntry", 16), ("fTotBytes", 16), ("fZipBytes", 16), ("fBranches", 61, "TObjArray"), ("fLeaves", 61, "TObjArray"), ("fBaskets", 61, "TObjArray"), ("fBasketBytes", 43, "int*", "fMaxBaskets"), ("fBasketEntry", 56, "Long64_t*", "fMaxBaskets"), ("fBasketSeek", 56, "Long64_t*", "fMaxBaskets"), ("fFileName", 65, "TString")],
+    ),
+    "TBranchElement": (
+        10,
+        [("TBranch", 0, "BASE"), ("fClassName", 65, "TString"), ("fParentName", 65, "TString"), ("fClonesName", 65, "TString"), ("fCheckSum", 13), ("fClassVersion", 2), ("fID", 3), ("fType", 3), ("fStreamerType", 3), ("fMaximum", 3), ("fBranchCount", 64, "TBranchElement*"), ("fBranchCount2", 64, "TBranchElement*")],
+    ),
+    "TLeaf": (2, [("TNamed", 67, "BASE"), ("fLen", 3), ("fLenType", 3), ("fOffset", 3), ("fIsRange", 18), ("fIsUnsigned", 18), ("fLeafCount", 64, "TLeaf*")]),
+    "TLeafElement": (1, [("TLeaf", 0, "BASE"), ("fID", 3), ("fType", 3)]),
+    **{f"TLeaf{k}": (1, [("TLeaf", 0, "BASE"), ("fMinimum", code), ("fMaximum", code)]) for k, code in (("B", 1), ("S", 2), ("I", 3), ("L", 16), ("F", 5), ("D", 8), ("O", 18), ("C", 3))},
+}
+LEAF_DTYPES = {"B": ">i1", "S": ">i2", "I": ">i4", "L": ">i8", "F": ">f4", "D": ">f8", "O": "?"}
+
+
+class Buffer:
+    """A growing object buffer; origin is the length of the key before it."""
+
+    def __init__(self, origin: int):
+        self.b, self.origin = bytearray(), origin
+        self.classes: dict[str, int] = {}
+        self.objects: dict[object, int] = {}
+
+    def put(self, fmt: str, *values) -> None:
+        self.b += struct.pack(f">{fmt}", *values)
+
+    def text(self, s: str) -> None:
+        raw = s.encode()
+        self.b += (bytes([len(raw)]) if len(raw) < 255 else b"\xff" + struct.pack(">I", len(raw))) + raw
+
+    @contextmanager
+    def counted(self, version: int | None = None):
+        at = len(self.b)
+        self.put("I", 0)
+        if version is not None:
+            self.put("H", version)
+        yield
+        struct.pack_into(">I", self.b, at, COUNTED | (len(self.b) - at - 4))
+
+    def object(self) -> None:
+        self.put("HII", 1, 0, 0x03000000)
+
+    def named(self, name: str, title: str) -> None:
+        with self.counted(1):
+            self.object()
+            self.text(name)
+            self.text(title)
+
+    def pointer(self, cls: str | None, body: Callable | None = None, key: object = None) -> None:
+        """None: no object; a key met before: a reference to its object."""
+        if cls is None:
+            self.put("I", 0)
+        elif key is not None and key in self.objects:
+            self.put("I", self.objects[key])
+        else:
+            at = len(self.b)
+            with self.counted():
+                tag_at = len(self.b)
+                if cls in self.classes:
+                    self.put("I", CLASS | self.classes[cls])
+                else:
+                    self.put("I", NEW_CLASS)
+                    self.b += cls.encode() + b"\0"
+                    self.classes[cls] = tag_at + self.origin + 2
+                if key is not None:
+                    self.objects[key] = at + self.origin + 2
+                body()
+
+    def array(self, items: list[tuple]) -> None:
+        with self.counted(3):
+            self.object()
+            self.text("")
+            self.put("ii", len(items), 0)
+            for cls, value, key in items:
+                self.pointer(cls, lambda cls=cls, value=value: self.value(cls, value), key)
+
+    def value(self, cls: str, value: dict) -> None:
+        version, members = LAYOUTS[cls]
+        with self.counted(version):
+            for m in members:
+                name, code = m[0], m[1]
+                if code in (0, 67):
+                    self.named(value["fName"], value.get("fTitle", "")) if name == "TNamed" else self.value(name, value)
+                elif code in FORMATS:
+                    self.put(FORMATS[code], value.get(name, 0))
+                elif code > 40 and code - 40 in FORMATS:
+                    own = value.get(name, [])
+                    self.put("B", 1)
+                    self.put(f"{len(own)}{FORMATS[code - 40]}", *own)
+                elif code == 65:
+                    self.text(value.get(name, ""))
+                elif code == 64:
+                    target = value.get(name)
+                    self.pointer(None) if target is None else self.pointer(target[0], lambda t=target: self.value(t[0], t[1]), target[2])
+                elif m[2] == "TObjArray":
+                    self.array(value.get(name, []))
+                elif m[2] == "TArrayD":
+                    self.put("i", 0)
+
+
+def packed(data: bytes, method: str) -> bytes:
+    if not method:
+        return data
+    block = {"ZL": zlib.compress, "XZ": lzma.compress, "L4": lambda d: b"\0" * 8 + pa.Codec("lz4_raw").compress(d).to_pybytes(), "ZS": _zstd}[method](data)
+    return method.encode() + b"\1" + len(block).to_bytes(3, "little") + len(data).to_bytes(3, "little") + block
+
+
+def _zstd(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor().compress(data)
+
+
+class TreeFile:
+    """Columns are given as (leaves or class, entries in bytes); see leaf(), vector() and split()."""
+
+    def __init__(self, path: str, method: str = "", per_basket: int = 1 << 30):
+        self.path, self.method, self.per_basket = path, method, per_basket
+        self.out = bytearray(100)
+        self.keys: list[bytes] = []
+        self.classes: dict[str, list[tuple]] = {}
+
+    def key(self, cls: str, name: str, title: str, data: bytes, extra: bytes = b"", method: str | None = None) -> tuple[int, int]:
+        """Writes an object; its place and length. extra lengthens the key, as baskets' keys are."""
+        head = 26 + 3 + len(cls) + len(name) + len(title) + len(extra)
+        body, at = packed(data, self.method if method is None else method), len(self.out)
+        if len(body) >= len(data):
+            body = data
+        raw = struct.pack(">ihiIhhii", head + len(body), 4, len(data), 0, head, 1, at, 100) + b"".join(bytes([len(s)]) + s.encode() for s in (cls, name, title)) + extra
+        self.out += raw + body
+        if cls != "TBasket":
+            self.keys.append(raw)
+        return at, len(raw) + len(body)
+
+    def baskets(self, branch: str, tree: str, entries: list[bytes], offsets: bool) -> dict:
+        seeks, sizes, firsts = [], [], []
+        for a in range(0, len(entries), self.per_basket):
+            part = entries[a : a + self.per_basket]
+            data = b"".join(part)
+            head = 26 + 3 + len("TBasket") + len(branch) + len(tree) + 19
+            last = head + len(data)
+            if offsets:
+                at = np.cumsum([0, *map(len, part)])[:-1] + head
+                data += struct.pack(f">i{len(part) + 1}i", len(part) + 1, *at.tolist(), 0)
+            seek, size = self.key("TBasket", branch, tree, data, struct.pack(">hiiiiB", 3, 32000, 4, len(part), last, 0))
+            seeks.append(seek)
+            sizes.append(size)
+            firsts.append(a)
+        n = len(seeks)
+        return {"fWriteBasket": n, "fMaxBaskets": n + 1, "fBasketBytes": [*sizes, 0], "fBasketEntry": [*firsts, len(entries)], "fBasketSeek": [*seeks, 0], "fEntries": len(entries), "fEntryOffsetLen": 1000 * offsets}
+
+    def leaf(self, tree: str, name: str, code: str, values: list, dims: str = "", counter: tuple | None = None, unsigned: bool = False) -> tuple:
+        """A branch of one simple leaf; values as numpy can take them, or strings for code C."""
+        if code == "C":
+            entries = [bytes([len(v)]) + v.encode() for v in values]
+            fixed = 1
+        else:
+            entries = [np.asarray(v).astype(LEAF_DTYPES[code]).tobytes() for v in values]
+            fixed = int(np.prod([int(d) for d in dims.replace("[", " ").replace("]", " ").split() if d.isdigit()] or [1]))
+        own = {"fName": name, "fTitle": name + dims, "fLen": fixed, "fIsUnsigned": unsigned, "fLeafCount": counter}
+        item = (f"TLeaf{code}", own, ("leaf", name))
+        variable = code == "C" or counter is not None
+        return ("TBranch", {"fName": name, "fTitle": f"{name}{dims}/{code}", "fLeaves": [item], **self.baskets(name, tree, entries, variable)}, ("branch", name)), item
+
+    def struct_leaves(self, tree: str, name: str, fields: list[tuple[str, str]], rows: list[tuple]) -> tuple:
+        entries = [b"".join(np.asarray(v).astype(LEAF_DTYPES[code]).tobytes() for v, (_, code) in zip(row, fields, strict=True)) for row in rows]
+        leaves = [(f"TLeaf{code}", {"fName": n, "fTitle": n, "fLen": 1}, ("leaf", f"{name}.{n}")) for n, code in fields]
+        return ("TBranch", {"fName": name, "fLeaves": leaves, **self.baskets(name, tree, entries, False)}, ("branch", name))
+
+    def element(self, tree: str, name: str, class_name: str, entries: list[bytes], branches: list | None = None, kind: int = 0, offsets: bool = True, member: int = -1) -> tuple:
+        leaf = ("TLeafElement", {"fName": name, "fTitle": name, "fLen": 1}, ("leaf", name))
+        own = {"fName": name, "fTitle": name, "fLeaves": [leaf], "fBranches": branches or [], "fClassName": class_name, "fType": kind, "fID": member, **self.baskets(name, tree, entries, offsets)}
+        return ("TBranchElement", own, ("branch", name))
+
+    def describe(self, cls: str, members: list[tuple], version: int = 1) -> None:
+        """(name, code, type, dims, stl, item) of a class of the file's own."""
+        self.classes[cls] = [version, members]
+
+    def tree(self, name: str, branches: list[tuple], entries: int, cls: str = "TTree") -> None:
+        b = Buffer(26 + 3 + len(cls) + len(name) + len("title"))
+        b.value("TTree", {"fName": name, "fTitle": "title", "fEntries": entries, "fBranches": branches})
+        self.key(cls, name, "title", bytes(b.b))
+
+    def folder(self, name: str, keys_from: int) -> None:
+        """A directory of the keys written since then."""
+        inner = self.keys[keys_from:]
+        del self.keys[keys_from:]
+        seek, _ = self.raw_key("", "", "", struct.pack(">i", len(inner)) + b"".join(inner))
+        self.key("TDirectory", name, "", struct.pack(">hIIiiiii", 5, 0, 0, 0, 0, 0, 100, seek), method="")
+
+    def raw_key(self, cls: str, name: str, title: str, data: bytes) -> tuple[int, int]:
+        n = len(self.keys)
+        out = self.key(cls, name, title, data, method="")
+        del self.keys[n:]
+        return out
+
+    def infos(self) -> bytes:
+        b = Buffer(26 + 3 + len("TList") + len("StreamerInfo"))
+        known = {k: (v, [(m[0], m[1], *(m[2:3] or (TYPES.get(m[1], ""),)), (), 0, 0, *(m[3:4] or ("",))) for m in ms]) for k, (v, ms) in LAYOUTS.items()}
+        known |= {k: (v, [(*m, *((), 0, 0)[len(m) - 3 :], "")[:7] if len(m) < 7 else m for m in ms]) for k, (v, ms) in self.classes.items()}
+
+        def member(m: tuple) -> tuple[str, Callable]:
+            name, code, kind, dims, stl, item, counter = m
+            cls = "TStreamerBase" if kind == "BASE" else "TStreamerSTL" if code == 500 else "TStreamerBasicPointer" if 40 < code < 60 else "TStreamerString" if code == 65 else "TStreamerObject" if 60 < code < 70 else "TStreamerBasicType"
+
+            def body() -> None:
+                with b.counted(2):
+                    with b.counted(4):
+                        b.named(name, "")
+                        b.put("iiii5i", code, 4, int(np.prod(dims)) if dims else 0, len(dims), *[*dims, *[0] * 5][:5])
+                        b.text(kind)
+                    if 40 < code < 60:
+                        b.put("i", 1)
+                        b.text(counter)
+                        b.text("TTree")
+                    elif code == 500:
+                        b.put("ii", stl, item)
+                    elif kind == "BASE":
+                        b.put("i", 1)
+
+            return cls, body
+
+        def info(name: str, version: int, members: list[tuple]) -> None:
+            with b.counted(9):
+                b.named(name, "")
+                b.put("Ii", 0, version)
+
+                def list_of() -> None:
+                    with b.counted(3):
+                        b.object()
+                        b.text("")
+                        b.put("ii", len(members), 0)
+                        for m in members:
+                            b.pointer(*member(m))
+
+                b.pointer("TObjArray", list_of)
+
+        with b.counted(5):
+            b.object()
+            b.text("")
+            b.put("i", len(known))
+            for name, (version, members) in known.items():
+                b.pointer("TStreamerInfo", lambda name=name, version=version, members=members: info(name, version, members))
+                b.put("B", 0)
+        return bytes(b.b)
+
+    def close(self) -> str:
+        # the directory record stands right behind the file's own key at 100; here both come last and the header says where
+        info_at, info_size = self.raw_key("TList", "StreamerInfo", "", self.infos())
+        keys_at, keys_size = self.raw_key("TFile", "f", "", struct.pack(">i", len(self.keys)) + b"".join(self.keys))
+        begin = len(self.out)
+        self.out += struct.pack(">hIIiiiii", 5, 0, 0, keys_size, 0, begin, 0, keys_at) + bytes(40)
+        struct.pack_into(">4siiiiiiiBiii", self.out, 0, b"root", 62206, begin, len(self.out), 0, 0, 0, 0, 4, 1, info_at, info_size)
+        with open(self.path, "wb") as f:
+            f.write(self.out)
+        return self.path
+
+
+def vector_entry(values: list, dtype: str) -> bytes:
+    body = struct.pack(">i", len(values)) + np.asarray(values).astype(dtype).tobytes()
+    return struct.pack(">IH", COUNTED | (len(body) + 2), 9) + body
+
+
+def nested_vector_entry(values: list[list], dtype: str) -> bytes:
+    body = struct.pack(">i", len(values)) + b"".join(struct.pack(">i", len(v)) + np.asarray(v).astype(dtype).tobytes() for v in values)
+    return struct.pack(">IH", COUNTED | (len(body) + 2), 9) + body
