@@ -81,7 +81,7 @@ def test_all_columns_of_the_unit_table(spark, tmp_path, method, per_basket):
 
 
 @pytest.mark.parametrize("column", list(KINDS))
-def test_a_column_alone(tmp_path_factory, column):
+def test_a_column_alone(spark, tmp_path_factory, column):
     path = unit_file(str(tmp_path_factory.mktemp("one") / "t.root"), "ZL", 40)
     with Tree(path) as t:
         from pleiad.plans import passes
