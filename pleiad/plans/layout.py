@@ -161,6 +161,17 @@ class Root:
         return T.StructType([T.StructField(c.column, c.spark_type()) for c in self.columns])
 
 
+def of_type(name: str, kind: T.DataType) -> Node:
+    """The layout that reads as a Spark type, stored in one piece; types that no leaf has are unknown."""
+    if isinstance(kind, T.StructType):
+        return Struct(name, tuple(of_type(f.name, f.dataType) for f in kind.fields))
+    if isinstance(kind, T.ArrayType):
+        return Vector(name, of_type("", kind.elementType))
+    if isinstance(kind, T.MapType):
+        return MapOf(name, of_type("", kind.keyType), of_type("", kind.valueType))
+    return next((Leaf(name, k) for k, t in PRIMITIVES.items() if t == kind), Unknown(name))
+
+
 def any_below(node: Node, holds: Callable[[Node], bool]) -> bool:
     return holds(node) or any(any_below(c, holds) for c in node.children())
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import collections as C
-from .functions import physics
+from .functions import physics, sql
 from .operators import histogram as H
 from .operators import joins as J
 from .plans import codegen, layout, passes
@@ -35,11 +35,11 @@ masses AS (
   SELECT event_id, sqrt(greatest(e * e - px * px - py * py - pz * pz, 0)) AS mass FROM sums WHERE n = 2)"""
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
+        if oracle:
+            ORACLES[f.__name__] = oracle
         return f
 
     return add
@@ -438,3 +438,37 @@ def calendar(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     return stream.windowed_counts(spark, f"{d}/events.parquet")
+
+
+@query("""WITH marked AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM marked)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM numbered GROUP BY user_id, s""")
+def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
+    return stream.drained(stream.sessions(stream.event_stream(spark, f"{d}/events.parquet")), "complete")
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_distinct(spark: SparkSession, d: str) -> DataFrame:
+    return stream.drained(stream.first_seen(stream.event_stream(spark, f"{d}/events.parquet")), "append")
+
+
+# --- functions in SQL text -------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {_PARTICLES} SELECT event_id, l_partkey, round(2 * atan(exp(-eta)), 6) AS theta,
+round(sqrt(pt * pt + pow(pt / tan(2 * atan(exp(-eta))), 2) + pow(0.10565836727619171, 2)), 6) AS e, CAST(least(floor(pt / 2) + 1, 50) AS BIGINT) AS bin FROM particles WHERE pt < 100""")
+def sql_functions(spark: SparkSession, d: str) -> DataFrame:
+    sql.register(spark)
+    rows = order_events(spark, d).select("event_id", F.inline("muons")).where("pt_ < 100")
+    return rows.selectExpr("event_id", "l_partkey", "round(polar_angle(eta_), 6) AS theta", "round(energy(pt_, eta_, muon_mass()), 6) AS e", "bin_index(pt_, 50, 0, 100) AS bin")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') AND o_totalprice > (SELECT avg(o_totalprice) FROM orders)")
+def subqueries(spark: SparkSession, d: str) -> DataFrame:
+    views = {n: table(spark, d, n) for n in ("orders", "customer")}
+    return spark.sql("SELECT o_orderkey FROM {orders} WHERE o_custkey IN (SELECT c_custkey FROM {customer} WHERE c_mktsegment = 'BUILDING') AND o_totalprice > (SELECT avg(o_totalprice) FROM {orders})", **views)
+
+
+@query("SELECT p_partkey, f AS field, v AS amount FROM (SELECT p_partkey, CAST(p_size AS DOUBLE) AS size, p_retailprice AS price FROM part) UNPIVOT (v FOR f IN (size, price))")
+def unpivot(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", F.col("p_size").cast("double").alias("size"), F.col("p_retailprice").alias("price")).unpivot("p_partkey", ["size", "price"], "field", "amount")

@@ -24,9 +24,25 @@ def hourly(events: DataFrame, late: str = "1 hour") -> DataFrame:
     return got.select(F.col("w.start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
-def windowed_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The windows of all files there now: the stream runs until it has read them, into an in-memory table."""
+def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
+    """user_id, start, end, n of each user's runs of events with less than the gap between them."""
+    timed = events.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late)
+    got = timed.groupBy(F.session_window("at", gap).alias("w"), "user_id").agg(F.count(F.lit(1)).alias("n"))
+    return got.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("w.end").cast("timestamp_ntz").alias("end"), "n")
+
+
+def first_seen(events: DataFrame) -> DataFrame:
+    """user_id, event_type: one row for each pair that the stream has had."""
+    return events.select("user_id", "event_type").dropDuplicates(["user_id", "event_type"])
+
+
+def drained(stream: DataFrame, mode: str) -> DataFrame:
+    """The result over all files there now: the stream runs until it has read them, into an in-memory table."""
     name = f"pleiad_stream_{uuid.uuid4().hex}"
-    running = hourly(event_stream(spark, path)).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    running = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
     running.awaitTermination()
-    return spark.table(name)
+    return stream.sparkSession.table(name)
+
+
+def windowed_counts(spark: SparkSession, path: str) -> DataFrame:
+    return drained(hourly(event_stream(spark, path)), "complete")

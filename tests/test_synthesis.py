@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import pytest
 
-from pleiad.plans.layout import Array, Leaf, MapOf, Root, Struct, Unknown, Vector, column_name, tree_text
+from pyspark.sql import types as T
+
+from pleiad.plans.layout import Array, Leaf, MapOf, Root, Struct, Unknown, Vector, column_name, of_type, tree_text
 from pleiad.plans.synthesis import BASIC_CODES, Branch, Klass, LeafInfo, Member, Synthesis, arrange, template
 
 
@@ -103,3 +105,9 @@ def test_names_and_text():
     root = Root((MapOf("m", Leaf("", "int"), Vector("", Leaf("", "float")), many=True), Unknown("a::b")))
     assert root.spark_type().simpleString() == "struct<m:map<int,array<array<float>>>,a__b:void>"
     assert tree_text(root).splitlines() == ["m: mapof many", "  : int", "  : vector", "    : float", "a::b: unknown"]
+
+
+def test_layout_of_a_spark_type():
+    kind = T.StructType([T.StructField("x", T.ArrayType(T.MapType(T.StringType(), T.StructType([T.StructField("y", T.ShortType())])))), T.StructField("d", T.DateType())])
+    node = of_type("r", kind)
+    assert node.spark_type().simpleString() == "struct<x:array<map<string,struct<y:smallint>>>,d:void>"
