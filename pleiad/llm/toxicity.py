@@ -26,16 +26,18 @@ CHUNK, REMEMBERED = 20_000, 60_000
 #: A language needs so many rows with either label for a threshold of its own; thresholds aim at this precision.
 LEAST_ROWS, PRECISION = 8, 0.98
 SPACED = LOWER.translate(bytes.maketrans((string.punctuation + string.digits).encode(), b" " * 42))
-TRAITS = 4
+#: Lengths of the beginnings that share an embedding row, in bytes.
+BEGINNINGS = (4, 5, 6, 7)
+TRAITS = 2 + len(BEGINNINGS)
 
 
 def words(text: bytes) -> list[bytes]:
     return text.translate(SPACED).split()
 
 
-def rows_of(word: bytes) -> tuple[int, int, int, int]:
+def rows_of(word: bytes) -> tuple[int, ...]:
     """Embedding rows of a word: two hashes of it, so that words seldom share both, and its beginnings'."""
-    return crc32(word) % ROWS, crc32(word, 0x5EED) % ROWS, crc32(word[:4], 4) % ROWS, crc32(word[:5], 5) % ROWS
+    return crc32(word) % ROWS, crc32(word, 0x5EED) % ROWS, *(crc32(word[:n], n) % ROWS for n in BEGINNINGS)
 
 
 @dataclass
@@ -196,7 +198,7 @@ def train(rows: list[tuple[bytes, int, str | None]]) -> Model:
     score = Scorer(m)
     kept = np.flatnonzero(part) if part.sum() >= 20 and len(set(y[part].tolist())) == 2 else np.arange(len(y))
     z = np.array([float(m.logits(score.pooled(rows[i][0]))) for i in kept])
-    m.scale = platt(z, y[kept])
+    m.scale = calibrated(z, y[kept]) if len(set(z.tolist())) > 1 else (1.0, 0.0)
     chance = 1 / (1 + np.exp(-(m.scale[0] * z + m.scale[1])))
     langs = np.array([str(rows[i][2]) for i in kept])
     m.thresholds = {None: threshold(chance, y[kept])}
@@ -207,20 +209,15 @@ def train(rows: list[tuple[bytes, int, str | None]]) -> Model:
     return m
 
 
-def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve through (logit, label)."""
-    a, b = 1.0, 0.0
-    n1, n0 = y.sum(), len(y) - y.sum()
-    t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    v = np.full(len(y), 1 / len(y))
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-        g = np.array([(v * (p - t) * z).sum() + 1e-3 * (a - 1), (v * (p - t)).sum()])
-        w = v * p * (1 - p)
-        h = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-6]])
-        step = np.linalg.solve(h, g)
-        a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -3, 3)
-    return float(max(a, 1e-2)), float(b)
+def calibrated(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the scores: one half lies where the fewest rows are on the wrong side, amid the widest such gap."""
+    order = np.argsort(z, kind="stable")
+    z, y = z[order], y[order]
+    wrong = np.concatenate(([0], np.cumsum(y))) + np.concatenate((np.cumsum((1 - y)[::-1])[::-1], [0]))
+    wrong = wrong[1:-1] + 1e9 * (z[1:] == z[:-1])  # cuts between neighbours
+    best = np.flatnonzero(wrong == wrong.min())
+    at = best[np.argmax(z[best + 1] - z[best])]
+    return 1.0, -float((z[at] + z[at + 1]) / 2)
 
 
 def threshold(chance: np.ndarray, y: np.ndarray) -> float:
