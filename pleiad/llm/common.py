@@ -73,3 +73,9 @@ def utf8(column: pa.Array) -> list[bytes]:
 def words(text: bytes) -> list[bytes]:
     """Words [^\\x20\\x09-\\x0D]+ of a text, A-Z in lower case."""
     return text.translate(LOWER).split()
+
+
+def remove(spark: SparkSession, uri: str) -> None:
+    """A folder of the shared store and all in it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
