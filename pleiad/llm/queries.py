@@ -55,5 +55,17 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = (op1_simhash, op2_mixing, op3_packing, op4_quality_model, op5_ngram, op6_quality_rules, op7_line_dedup, op8_toxicity, op9_neighbours, op10_secrets)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
-#: SQL for those that SQL can express.
-ORACLES: dict[str, str] = {}
+#: SQL for those that SQL can express. The others need hashes that it lacks, a tokenizer, a trained model or a sampled index; their
+#: tests hold them against plain versions.
+ORACLES: dict[str, str] = {
+    "op7_line_dedup": r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+placed AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM split),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM placed),
+shared AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(shared.key) AS n_dropped,
+       sha256(coalesce(string_agg(CASE WHEN shared.key IS NULL THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256
+FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id""",
+}
