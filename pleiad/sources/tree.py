@@ -42,6 +42,7 @@ class Tree:
             self.entries = int(self.meta["fEntries"])
             self.stored = {b["fName"].rstrip("."): b for b in self.meta["fBranches"] if b}
             self.synthesis = Synthesis(arrange(self.file.descriptions()))
+            self.latest: dict[int, tuple] = {}
         except BaseException:
             self.file.close()
             raise
@@ -88,18 +89,24 @@ class Tree:
         firsts = [*b["fBasketEntry"][:n], b["fEntries"]]
         for i in range(n):
             if firsts[i] < end and firsts[i + 1] > start:
-                head = self.file.at(b["fBasketSeek"][i], b["fBasketBytes"][i])
-                c = Cursor(head)
-                key = Key.read(c)
-                _, _, _, held, last = c.take("hiiii")
-                raw = head[key.head : key.size]
-                plain = raw if len(raw) == key.plain else inflated(raw, key.plain)
-                border = last - key.head
-                offsets = None
-                if len(plain) > border + 4:
-                    offsets = np.frombuffer(plain, ">i4", held, border + 4).astype(np.int64) - key.head
-                    offsets = np.append(offsets, border)
-                yield firsts[i], plain[:border], offsets
+                yield firsts[i], *self.basket(b, i)
+
+    def basket(self, b: dict, i: int) -> tuple[bytes, np.ndarray | None]:
+        """A branch's basket; its latest one is kept, as batches may end within it."""
+        seek = b["fBasketSeek"][i]
+        kept = self.latest.get(id(b))
+        if kept is None or kept[0] != seek:
+            head = self.file.at(seek, b["fBasketBytes"][i])
+            c = Cursor(head)
+            key = Key.read(c)
+            _, _, _, held, last = c.take("hiiii")
+            raw = head[key.head : key.size]
+            plain = raw if len(raw) == key.plain else inflated(raw, key.plain)
+            border, offsets = last - key.head, None
+            if len(plain) > border + 4:
+                offsets = np.append(np.frombuffer(plain, ">i4", held, border + 4).astype(np.int64) - key.head, border)
+            kept = self.latest[id(b)] = seek, plain[:border], offsets
+        return kept[1:]
 
     def pieces(self, b: dict, start: int, end: int, width: int | None) -> tuple[bytes, np.ndarray]:
         """The range's bytes and each entry's beginning in them; entries of width bytes where none are stored."""
