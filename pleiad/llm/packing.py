@@ -17,12 +17,12 @@ from .common import small_batches, utf8
 
 CAPACITY = 2048
 #: Windows balanced together, and the tokens left free in each for the differences that remain.
-WINDOWS, SLACK = 96, 12
+WINDOWS, SLACK = 96, 10
 #: Document tails are cut into pieces of at most this many tokens before they are balanced.
-PIECE = 192
+PIECE = 160
 END = 1
 #: Words whose ids a worker remembers, in each of two generations; bytes of text whose new words are learnt at once.
-REMEMBERED, TOGETHER = 400_000, 1 << 20
+REMEMBERED, TOGETHER = 600_000, 1 << 20
 MARKS = string.punctuation.encode()
 
 
@@ -112,50 +112,33 @@ def tokenizer_at(path: str) -> WordTokenizer:
     return _LOADED[path]
 
 
-def difference(sizes: list[int], ways: int) -> list[int]:
+def difference(sizes: list[int], ways: int) -> np.ndarray:
     """The window of each size: multiway Karmarkar-Karp differencing into that many windows.
 
-    Every size begins as a partial partition of its own, with one filled window. The two partial partitions with
-    the widest spread merge again and again, the fullest windows of the one with the emptiest of the other.
+    The sizes in descending order are partial partitions of one size a window. The two with the widest spread merge
+    again and again, the fullest windows of the one with the emptiest of the other.
     """
-    if ways == 1 or not sizes:
-        return [0] * len(sizes)
-    #: A partial partition: sums in descending order, less their least, and the node of each window.
-    heap = []
-    parent: list[int] = list(range(len(sizes)))
-    for i, s in enumerate(sizes):
-        sums = np.zeros(ways, np.int64)
-        sums[0] = s
-        nodes = np.full(ways, -1)
-        nodes[0] = i
-        heap.append((-s, i, sums, nodes))
+    given = np.array(sizes, np.int64)
+    rows = -(-len(given) // ways)
+    order = np.concatenate((np.argsort(-given, kind="stable"), np.full(rows * ways - len(given), -1)))
+    sums = np.where(order >= 0, np.append(given, 0)[order], 0)
+    heap = [(-int(s[0] - s[-1]), i, s, m[:, None]) for i, (s, m) in enumerate(zip(sums.reshape(rows, ways), order.reshape(rows, ways), strict=True))]
     heapq.heapify(heap)
-    tie = len(sizes)
     while len(heap) > 1:
         _, _, a, m = heapq.heappop(heap)
         _, _, b, n = heapq.heappop(heap)
-        b, n = b[::-1], n[::-1]
-        sums = a + b
-        both = np.flatnonzero((m >= 0) & (n >= 0))
-        nodes = np.maximum(m, n)
-        for w in both.tolist():
-            new = len(parent)
-            parent.append(new)
-            parent[m[w]] = parent[n[w]] = new
-            nodes[w] = new
-        by = np.argsort(-sums, kind="stable")
-        sums, nodes = sums[by], nodes[by]
-        sums = sums - sums[-1]
-        heapq.heappush(heap, (-int(sums[0]), tie, sums, nodes))
-        tie += 1
-    window = {int(x): w for w, x in enumerate(heap[0][3]) if x >= 0}
-    at = [0] * len(parent)
-    for i in reversed(range(len(parent))):  # a merged node comes after its parts
-        at[i] = window[i] if parent[i] == i else at[parent[i]]
-    return at[: len(sizes)]
-
-
-def balance(sizes: list[int], capacity: int) -> tuple[list[int], int]:
+        s = a + b[::-1]
+        by = np.argsort(-s, kind="stable")
+        s, rows = s[by], rows + 1
+        heapq.heappush(heap, (-int(s[0] - s[-1]), rows, s, np.concatenate((m, n[::-1]), axis=1)[by]))
+    at = np.zeros(len(given) + 1, np.int64)  # the last place takes what fills the last row
+    if heap:
+        members = heap[0][3]
+        at[members] = np.arange(ways)[:, None]
+    return at[:-1]
+
+
+def balance(sizes: list[int], capacity: int) -> tuple[np.ndarray, int]:
     """(window of each size, window count): the least count from the total's quotient up that holds every window."""
     ways = max(1, -(-sum(sizes) // capacity))
     while True:
@@ -195,6 +178,7 @@ class Packer:
     def deal(self, pieces: list[tuple]) -> Iterator[tuple]:
         at, ways = balance([p[3] for p in pieces], self.capacity)
         offsets = [0] * ways
+        at = at.tolist()
         numbers = {w: self.next + k for k, w in enumerate(sorted(set(at)))}
         for (doc, ids, start, n, total), w in zip(pieces, at, strict=True):
             yield self.piece(doc, ids, start, n, total, numbers[w], offsets[w], 0)
