@@ -4,8 +4,6 @@ its language's reference, with guards for short texts."""
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -118,15 +116,20 @@ def with_features(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", lang.cast("string").alias("lang")).mapInArrow(run, schema)
 
 
-def distance(own: list[Column], ref: list[Column]) -> Column:
-    """Jensen-Shannon distance (0 to 1) of two histograms given as counts; null if either is empty."""
-    n, m = reduce(add, own), reduce(add, ref)
+def distance(own: Column, ref: Column) -> Column:
+    """Jensen-Shannon distance (0 to 1) of two histograms, given as arrays of counts; null if either is empty or null."""
 
-    def terms(p: Column, q: Column) -> Column:
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
+
+    def part(p: Column, q: Column) -> Column:
         return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0)
 
-    parts = [(a / F.nullif(n, F.lit(0)), b / F.nullif(m, F.lit(0))) for a, b in zip(own, ref, strict=True)]
-    return F.sqrt(F.greatest(F.lit(0.0), 0.5 * reduce(add, (terms(p, q) + terms(q, p) for p, q in parts))))
+    def shares(x: Column) -> Column:
+        return F.transform(x, lambda v: v / F.nullif(total(x), F.lit(0.0)))
+
+    terms = F.zip_with(shares(own), shares(ref), lambda p, q: part(p, q) + part(q, p))
+    return F.sqrt(F.greatest(F.lit(0.0), 0.5 * total(terms)))
 
 
 def judged(docs: DataFrame, min_words: int = MIN_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
@@ -140,10 +143,10 @@ def judged(docs: DataFrame, min_words: int = MIN_WORDS, max_class: float = MAX_C
     """
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     got = checkpointed(with_features(docs)).withColumn("base_failed", failed)
-    sums = [F.sum(F.col(c)[i].cast("long")).alias(f"{c}{i}") for c, n in (("classes", CLASSES), ("common", BINS)) for i in range(n)]
+    sums = [F.array(*(F.sum(F.col(c)[i].cast("double")) for i in range(n))).alias(f"{c}_ref") for c, n in (("classes", CLASSES), ("common", BINS))]
     refs = got.where(~F.col("base_failed") & (F.col("n_words") >= min_words)).groupBy("language").agg(*sums)
     both = got.join(F.broadcast(refs), "language", "left")
-    far = [distance([F.col(c)[i].cast("double") for i in range(n)], [F.col(f"{c}{i}").cast("double") for i in range(n)]) for c, n in (("classes", CLASSES), ("common", BINS))]
+    far = [distance(F.col(c).cast("array<double>"), F.col(f"{c}_ref")) for c in ("classes", "common")]
     both = both.withColumns({"class_distance": far[0], "word_distance": far[1]})
     near = F.coalesce(F.col("class_distance") <= max_class, F.lit(True)) & F.coalesce(F.col("word_distance") <= max_word, F.lit(True))
     kept = ~F.col("base_failed") & ((F.col("n_words") < min_words) | near)

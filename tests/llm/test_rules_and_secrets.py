@@ -124,5 +124,5 @@ def test_distances_reject_shouting_and_keep_prose(spark):
     plain = np.sqrt(((p * np.log2(p / m)).sum() + (q * np.log2(q / m)).sum()) / 2)
     from pyspark.sql import functions as F
 
-    own = spark.range(1).select(quality_rules.distance([F.lit(x) for x in (3.0, 5.0, 2.0)], [F.lit(x) for x in (1.0, 1.0, 8.0)])).first()[0]
+    own = spark.range(1).select(quality_rules.distance(F.array(*map(F.lit, (3.0, 5.0, 2.0))), F.array(*map(F.lit, (1.0, 1.0, 8.0))))).first()[0]
     assert abs(own - plain) < 1e-12
