@@ -30,6 +30,8 @@ SMALL_RUN = 48
 LANES = 4096
 #: A larger bucket is dealt again by the bits that its key doesn't hold.
 LARGE_RUN = 1 << 14
+#: Buckets to this size give each near pair to an exact check that follows, larger ones a forest of them.
+PAIRED = 8
 #: Rows of sorted buckets that are compared together.
 TOGETHER = 1 << 16
 #: Of similar documents: fingerprint words of 64 bits, words a shingle, the similarity aimed at, and the part of the pairs just
@@ -201,8 +203,11 @@ def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, again: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Places (a, b) of near fingerprints that join those of each run of equal keys as their distances do."""
+def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, again: bool = True, paired: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Places (a, b) of near fingerprints that join those of each run of equal keys as their distances do.
+
+    Runs of paired members at most give each of their near pairs, larger ones a forest.
+    """
     starts, sizes = _runs(keys)
     found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2]
     small = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SMALL_RUN), sizes))
@@ -217,6 +222,9 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, again: bool = T
         pairs.append((small[at[hit]], small[at[hit] + shift]))
     if pairs:
         a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        short = np.repeat(sizes, sizes)[a] <= paired
+        found.append((a[short], b[short]))
+        a, b = a[~short], b[~short]
         kept = _forest(a, b)
         found.append((a[kept], b[kept]))
     for at, n in zip(starts[sizes > SMALL_RUN].tolist(), sizes[sizes > SMALL_RUN].tolist(), strict=True):
@@ -243,37 +251,41 @@ def tables(radius: int) -> list[list[tuple[int, int]]]:
     return [[(edges[i], edges[i + 1] - edges[i]) for i in chosen] for chosen in combinations(range(n), CHOSEN)]
 
 
-def compared(dealt: DataFrame, radius: int, size: int = 0) -> DataFrame:
-    """(a, b): ids of near fingerprints, from rows (key, id, fp as size words in bytes); equal keys make a bucket.
+def compared(dealt: DataFrame, radius: int, size: int = 1) -> DataFrame:
+    """(a, b): nodes of near fingerprints, from rows (key, f0, ... f of size words); equal keys make a bucket.
 
-    With size 0 there is no fp, and an id is its fingerprint.
+    A fingerprint of one word is its own node; that of a wider one is the XXH64 of its bytes.
     """
 
-    def told(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def nodes(fps: np.ndarray) -> pa.Array:
+        if size == 1:
+            return pa.array(fps[:, 0].view(np.int64))
+        return pa.array(np.array([xxhash.xxh64_intdigest(f.tobytes(), SEED) for f in fps], np.uint64).view(np.int64))
+
+    def told(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(keys) > 1:
-            a, b = bucket_links(keys, fps, radius)
+            a, b = bucket_links(keys, fps, radius, paired=PAIRED if size > 1 else 0)
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([nodes(fps[a]), nodes(fps[b])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []
         n, goal = 0, TOGETHER
         for b in batches:
-            ids = b.column(1).to_numpy()
-            fps = np.frombuffer(b"".join(b.column(2).to_pylist()), "<u8").reshape(-1, size) if size else ids.view(np.uint64).reshape(-1, 1)
-            waiting.append((b.column(0).to_numpy(), ids, fps))
+            fps = np.stack([c.to_numpy().view(np.uint64) for c in b.columns[1:]], axis=1)
+            waiting.append((b.column(0).to_numpy(), fps))
             n += b.num_rows
             if n >= goal:
-                keys, ids, fps = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                keys, fps = (np.concatenate(x) for x in zip(*waiting, strict=True))
                 whole = int(np.searchsorted(keys, keys[-1]))  # the last bucket may go on in the next batch
-                yield from told(keys[:whole], ids[:whole], fps[:whole])
-                waiting, n = [(keys[whole:], ids[whole:], fps[whole:])], n - whole
+                yield from told(keys[:whole], fps[:whole])
+                waiting, n = [(keys[whole:], fps[whole:])], n - whole
                 goal = max(TOGETHER, 2 * n)
         if waiting:
             yield from told(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
 
     n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long")
+    return dealt.repartition(n, "key").sortWithinPartitions(*dealt.columns).mapInArrow(run, "a long, b long")
 
 
 def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
@@ -284,8 +296,7 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
         for at, width in blocks:
             key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << width) - 1)))
         keys.append(key)
-    dealt = distinct.select(F.explode(F.array(*keys)).alias("key"), F.col("fp").alias("id"))
-    return compared(dealt, radius)
+    return compared(distinct.select(F.explode(F.array(*keys)).alias("key"), F.col("fp").alias("f0")), radius)
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
@@ -339,8 +350,8 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILAR, size: int = WID
     """doc_id, text_key (xxhash64 of the text), group (long): equal groups for documents that similarity joins.
 
     Fingerprints of size x 64 bits are near within the distance that this Jaccard similarity of shingle sets leads to,
-    and half a standard deviation more. Tables take as many sampled bits as the number of different fingerprints has
-    binary digits. Null and empty texts are one group. A row for each row of docs: repeated rows share a group and
+    and two standard deviations more; near ones are linked if their texts' sets are that similar. Tables take as many
+    sampled bits as the number of different fingerprints has binary digits. Null and empty texts are one group. A row for each row of docs: repeated rows share a group and
     null doc_ids stay null. An empty table gives an empty one; other columns are not read.
     """
     small_batches(docs.sparkSession)
@@ -355,22 +366,57 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILAR, size: int = WID
     distinct = marked.groupBy("node").agg(F.first("fp").alias("fp"))
     agrees, bits = agreement(similarity), 64 * size
     chosen = sampled_bits(marked.select("node").distinct().count(), bits, agrees)
-    radius = math.ceil(bits * (1 - agrees) + 0.5 * math.sqrt(bits * agrees * (1 - agrees)))
+    radius = math.ceil(bits * (1 - agrees) + 2 * math.sqrt(bits * agrees * (1 - agrees)))
     powers = 1 << np.arange(chosen.shape[1], dtype=np.int64)
+    words_of = [f"f{i}" for i in range(size)]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(b.num_rows, -1)
             set_bits = np.unpackbits(fps, axis=1, bitorder="little")
+            parts = [pa.array(c) for c in np.ascontiguousarray(fps.view("<i8").T)]
             for t, own in enumerate(chosen):
                 key = (t << chosen.shape[1]) + set_bits[:, own] @ powers
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), b.column(0), b.column(1)], names=["key", "id", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), *parts], names=["key", *words_of])
 
-    dealt = distinct.mapInArrow(deal, "key long, id long, fp binary")
-    joined = connected_components(compared(dealt, radius, size)).withColumnRenamed("node", "id")
+    dealt = distinct.mapInArrow(deal, ", ".join(f"{c} long" for c in ("key", *words_of)))
+    candidates = checkpointed(compared(dealt, radius, size).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    joined = connected_components(similar(docs, marked, candidates, similarity, width)).withColumnRenamed("node", "id")
     return marked.join(joined, F.col("node") == F.col("id"), "left").select("doc_id", "text_key", F.coalesce("root", "node").alias("group"))
 
 
+def similar(docs: DataFrame, marked: DataFrame, candidates: DataFrame, similarity: float, width: int) -> DataFrame:
+    """The candidates (a, b) whose texts' shingle sets have that Jaccard similarity, each node by one of its documents.
+
+    Sets are hashes cut to 32 bits; only documents of candidates take part.
+    """
+    nodes = candidates.select(F.explode(F.array("a", "b")).alias("of")).distinct()
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k")
+    chosen = marked.join(nodes, F.col("node") == F.col("of")).groupBy("node").agg(one).select("node", F.col("k.doc_id").alias("its_id"), F.col("k.text_key").alias("its_key"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    found = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("text_key") == F.col("its_key"))).select("node", "text")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [np.unique(np.array(shingle_hashes(t, width), np.uint64).astype(np.uint32)).tobytes() for t in utf8(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.binary())], names=["node", "shingles"])
+
+    own = found.mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"])
+    first = own.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    second = own.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(shared >= similarity * (len(x) + len(y) - shared))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return candidates.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(judge, "a long, b long")
+
+
 def one_of_each(docs: DataFrame, similarity: float = SIMILAR) -> DataFrame:
     """docs' rows, one of each group of similar_groups: that of the smallest doc_id (nulls last), whole and with all its columns."""
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
