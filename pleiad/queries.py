@@ -353,7 +353,8 @@ SELECT e.event_id, e.ts, p.paid FROM (SELECT * FROM events WHERE event_type = 'c
 def join_asof(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     bought = e.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("bought_at"), F.col("value").alias("paid"))
-    return J.asof_join(e.where("event_type = 'click'").select("event_id", "user_id", "ts"), bought, "user_id", "ts", "bought_at", ["paid"]).select("event_id", "ts", "paid")
+    clicks = e.where("event_type = 'click'").select("event_id", "user_id", "ts")
+    return J.asof_join(clicks, bought, "user_id", "ts", "bought_at", ["paid"], lambda t: F.date_trunc("day", t)).select("event_id", "ts", "paid")
 
 
 @query("""SELECT p_partkey, s_suppkey FROM part JOIN (SELECT s_suppkey, 900 + s_suppkey * 10 AS low, 930 + s_suppkey * 10 AS high FROM supplier) ON p_retailprice >= low AND p_retailprice < high""")

@@ -66,6 +66,17 @@ def test_asof_takes_the_latest_before(spark):
     assert sorted(map(str, map(tuple, joins.asof_join(left, right, "k", "t", "at", ["v"]).collect()))) == sorted(map(str, [(1, 5, "c"), (1, 1, None), (2, 9, None), (None, 3, None)]))
 
 
+def test_asof_by_slots_is_the_same(spark):
+    import random
+
+    rng = random.Random(3)
+    left = spark.createDataFrame([(rng.choice([1, 1, 1, 2, None]), rng.randint(0, 400), i) for i in range(300)], "k int, t int, i int")
+    right = spark.createDataFrame([(rng.choice([1, 1, 3, None]), rng.randint(0, 400), float(i)) for i in range(60)], "k int, at int, v double")
+    whole = joins.asof_join(left, right, "k", "t", "at", ["v"]).collect()
+    split = joins.asof_join(left, right, "k", "t", "at", ["v"], lambda t: F.floor(t / 25)).collect()
+    assert sorted(map(str, whole)) == sorted(map(str, split)) and any(r["v"] is not None for r in whole)
+
+
 def test_range_and_salted_joins(spark):
     points = spark.createDataFrame([(float(i) / 3,) for i in range(-30, 60)], "x double")
     ranges = spark.createDataFrame([(0.0, 5.0), (-3.5, 12.25), (4.0, 4.0), (7.0, 6.0)], "a double, b double")
