@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -21,3 +27,18 @@ def session(app: str = "pleiad", master: str | None = None, **settings: str) ->
         builder = builder.master(master)
     own = {k.replace("__", "."): v for k, v in settings.items()}
     return builder.config(map=SETTINGS | own).getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors, once a context: their Python workers may not have it on their path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_pleiad_shipped", False):
+        return
+    top = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="pleiad-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/pleiad_code.zip", "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(f"{folder}/pleiad_code.zip")
+    sc._pleiad_shipped = True

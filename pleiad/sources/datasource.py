@@ -23,6 +23,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..plans import passes
 from ..plans.layout import Root, column_name
+from ..session import ship
 from .binary import BadFile
 from .tree import NoTree, Tree
 
@@ -147,6 +148,7 @@ class TreeReader(DataSourceReader):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(TreeSource)
 
 
