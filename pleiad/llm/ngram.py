@@ -78,7 +78,8 @@ def in_bytes(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shard_bits(spark: SparkSession) -> int:
-    return min(16, max(4, 2 + int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length()))
+    """About a shard for each shuffle partition: shards send rows to each other, as many as their square."""
+    return min(16, max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
 
 
 def by_shard(run, bits: int, rows: DataFrame, schema: str) -> DataFrame:
