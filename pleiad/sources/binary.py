@@ -173,7 +173,7 @@ class KeyedFile:
 
         def walk(seek: int | None) -> Key | None:
             for key in self.directory(seek):
-                if key.class_name == "TDirectory":
+                if key.class_name in ("TDirectory", "TDirectoryFile"):
                     c = self.object_cursor(key)
                     v, _, _, _, _ = c.take("hIIii")
                     _, _, inner = c.take("qqq" if v > 1000 else "iii")

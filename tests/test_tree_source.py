@@ -108,7 +108,7 @@ def test_tree_choice_and_folders(spark, tmp_path):
     f = TreeFile(str(tmp_path / "t.root"))
     mark = len(f.keys)
     f.tree("inner", [f.leaf("inner", "x", "I", [1, 2])[0]], 2)
-    f.folder("dir", mark)
+    f.folder("dir", mark, "TDirectoryFile")
     f.tree("other", [f.leaf("other", "y", "L", [5])[0]], 1)
     path = f.close()
     assert datasource.read_trees(spark, path).columns == ["x"]

@@ -206,12 +206,12 @@ class TreeFile:
         b.value("TTree", {"fName": name, "fTitle": "title", "fEntries": entries, "fBranches": branches})
         self.key(cls, name, "title", bytes(b.b))
 
-    def folder(self, name: str, keys_from: int) -> None:
+    def folder(self, name: str, keys_from: int, cls: str = "TDirectory") -> None:
         """A directory of the keys written since then."""
         inner = self.keys[keys_from:]
         del self.keys[keys_from:]
         seek, _ = self.raw_key("", "", "", struct.pack(">i", len(inner)) + b"".join(inner))
-        self.key("TDirectory", name, "", struct.pack(">hIIiiiii", 5, 0, 0, 0, 0, 0, 100, seek), method="")
+        self.key(cls, name, "", struct.pack(">hIIiiiii", 5, 0, 0, 0, 0, 0, 100, seek), method="")
 
     def raw_key(self, cls: str, name: str, title: str, data: bytes) -> tuple[int, int]:
         n = len(self.keys)
