@@ -12,7 +12,10 @@ from .functions import physics, sql
 from .operators import histogram as H
 from .operators import joins as J
 from .plans import codegen, layout, passes
+from .session import scratch
+from .sources.datasource import read_trees
 from .sources.events import order_events, read_events, table
+from .sources.treewriter import write_trees
 from .streaming import windows as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -473,3 +476,32 @@ def subqueries(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT p_partkey, f AS field, v AS amount FROM (SELECT p_partkey, CAST(p_size AS DOUBLE) AS size, p_retailprice AS price FROM part) UNPIVOT (v FOR f IN (size, price))")
 def unpivot(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", F.col("p_size").cast("double").alias("size"), F.col("p_retailprice").alias("price")).unpivot("p_partkey", ["size", "price"], "field", "amount")
+
+
+# --- tree files --------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT p_partkey, p_name, p_size, p_retailprice FROM part WHERE p_size > 10")
+def tree_scan(spark: SparkSession, d: str) -> DataFrame:
+    """A table written as tree files and read again, a column less."""
+    folder = scratch(spark)
+    write_trees(table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"), folder)
+    return read_trees(spark, folder, tree="Events", columns=["p_partkey", "p_name", "p_size", "p_retailprice"]).where("p_size > 10")
+
+
+@query(f"WITH {_PARTICLES} SELECT event_id, pt, l_partkey FROM particles")
+def tree_split_collection(spark: SparkSession, d: str) -> DataFrame:
+    """Events with collections of records, stored a member at a time; two members of five are read."""
+    folder = scratch(spark)
+    write_trees(order_events(spark, d), folder)
+    got = read_trees(spark, folder, columns=["event_id", "muons.pt_", "muons.l_partkey"], entries="10000")
+    return got.select("event_id", F.inline("muons").alias("pt", "l_partkey"))
+
+
+@query(f"WITH {_MASSES} SELECT round(max(mass), 6) AS largest, count(*) AS n FROM masses")
+def tree_dimuon_mass(spark: SparkSession, d: str) -> DataFrame:
+    """The dimuon analysis from tree files to its figures."""
+    folder = scratch(spark)
+    write_trees(order_events(spark, d), folder)
+    masses = dimuon_masses(read_trees(spark, folder, columns=["event_id", "muons.pt_", "muons.eta_", "muons.phi_"]))
+    return masses.agg(F.round(F.max("mass"), 6).alias("largest"), F.count(F.lit(1)).alias("n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -42,3 +43,13 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(top.parent))
     sc.addPyFile(f"{folder}/pleiad_code.zip")
     sc._pleiad_shipped = True
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or a temporary one where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared}/pleiad-{uuid.uuid4().hex}"
+    made = tempfile.mkdtemp(prefix="pleiad-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    return made

@@ -1,4 +1,4 @@
-"""Writes small tree files for the tests, by the class layouts listed here."""
+"""Writes trees to keyed files by the class layouts listed here; write_trees() makes a file of each partition."""
 
 from __future__ import annotations
 
@@ -10,6 +10,10 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+
+from ..session import ship
 
 COUNTED, NEW_CLASS, CLASS = 0x40000000, 0xFFFFFFFF, 0x80000000
 FORMATS = {1: "b", 2: "h", 3: "i", 4: "q", 5: "f", 6: "i", 8: "d", 11: "B", 13: "I", 16: "q", 18: "?"}
@@ -158,21 +162,24 @@ class TreeFile:
         return at, len(raw) + len(body)
 
     def baskets(self, branch: str, tree: str, entries: list[bytes], offsets: bool) -> dict:
-        seeks, sizes, firsts = [], [], []
-        for a in range(0, len(entries), self.per_basket):
-            part = entries[a : a + self.per_basket]
-            data = b"".join(part)
+        return self.packed_baskets(branch, tree, b"".join(entries), np.cumsum([0, *map(len, entries)]), offsets)
+
+    def packed_baskets(self, branch: str, tree: str, data: bytes, at: np.ndarray, offsets: bool) -> dict:
+        """Baskets of entries that lie one behind another, each from its place in at to the next."""
+        seeks, sizes, firsts, total = [], [], [], len(at) - 1
+        for a in range(0, total, self.per_basket):
+            b = min(total, a + self.per_basket)
+            part = data[at[a] : at[b]]
             head = 26 + 3 + len("TBasket") + len(branch) + len(tree) + 19
-            last = head + len(data)
+            last = head + len(part)
             if offsets:
-                at = np.cumsum([0, *map(len, part)])[:-1] + head
-                data += struct.pack(f">i{len(part) + 1}i", len(part) + 1, *at.tolist(), 0)
-            seek, size = self.key("TBasket", branch, tree, data, struct.pack(">hiiiiB", 3, 32000, 4, len(part), last, 0))
+                part += struct.pack(">i", b - a + 1) + np.append(at[a:b] - at[a] + head, 0).astype(">i4").tobytes()
+            seek, size = self.key("TBasket", branch, tree, part, struct.pack(">hiiiiB", 3, 32000, 4, b - a, last, 0))
             seeks.append(seek)
             sizes.append(size)
             firsts.append(a)
         n = len(seeks)
-        return {"fWriteBasket": n, "fMaxBaskets": n + 1, "fBasketBytes": [*sizes, 0], "fBasketEntry": [*firsts, len(entries)], "fBasketSeek": [*seeks, 0], "fEntries": len(entries), "fEntryOffsetLen": 1000 * offsets}
+        return {"fWriteBasket": n, "fMaxBaskets": n + 1, "fBasketBytes": [*sizes, 0], "fBasketEntry": [*firsts, total], "fBasketSeek": [*seeks, 0], "fEntries": total, "fEntryOffsetLen": 1000 * offsets}
 
     def leaf(self, tree: str, name: str, code: str, values: list, dims: str = "", counter: tuple | None = None, unsigned: bool = False) -> tuple:
         """A branch of one simple leaf; values as numpy can take them, or strings for code C."""
@@ -270,15 +277,18 @@ class TreeFile:
         return bytes(b.b)
 
     def close(self) -> str:
+        with open(self.path, "wb") as f:
+            f.write(self.bytes())
+        return self.path
+
+    def bytes(self) -> bytes:
         # the directory record stands right behind the file's own key at 100; here both come last and the header says where
         info_at, info_size = self.raw_key("TList", "StreamerInfo", "", self.infos())
         keys_at, keys_size = self.raw_key("TFile", "f", "", struct.pack(">i", len(self.keys)) + b"".join(self.keys))
         begin = len(self.out)
         self.out += struct.pack(">hIIiiiii", 5, 0, 0, keys_size, 0, begin, 0, keys_at) + bytes(40)
         struct.pack_into(">4siiiiiiiBiii", self.out, 0, b"root", 62206, begin, len(self.out), 0, 0, 0, 0, 4, 1, info_at, info_size)
-        with open(self.path, "wb") as f:
-            f.write(self.out)
-        return self.path
+        return bytes(self.out)
 
 
 def vector_entry(values: list, dtype: str) -> bytes:
@@ -289,3 +299,89 @@ def vector_entry(values: list, dtype: str) -> bytes:
 def nested_vector_entry(values: list[list], dtype: str) -> bytes:
     body = struct.pack(">i", len(values)) + b"".join(struct.pack(">i", len(v)) + np.asarray(v).astype(dtype).tobytes() for v in values)
     return struct.pack(">IH", COUNTED | (len(body) + 2), 9) + body
+
+
+#: Arrow types of numbers: leaf code, C++ name and member code.
+NUMBERS = {pa.int8(): ("B", "char", 1), pa.int16(): ("S", "short", 2), pa.int32(): ("I", "int", 3), pa.int64(): ("L", "Long64_t", 16), pa.float32(): ("F", "float", 5), pa.float64(): ("D", "double", 8), pa.bool_(): ("O", "bool", 18)}
+
+
+def _numbers(values: pa.Array, code: str) -> bytes:
+    return values.to_numpy(zero_copy_only=False).astype(LEAF_DTYPES[code]).tobytes()
+
+
+def add_column(f: TreeFile, tree: str, name: str, values: pa.Array) -> tuple:
+    """A branch of a column: numbers, strings, lists of numbers, or lists of records of numbers, which are stored split."""
+    kind = values.type
+    if values.null_count or (pa.types.is_list(kind) and values.flatten().null_count):
+        raise ValueError(f"column {name} holds nulls, which a tree has no place for")
+    if kind in NUMBERS:
+        code = NUMBERS[kind][0]
+        width = np.dtype(LEAF_DTYPES[code]).itemsize
+        baskets = f.packed_baskets(name, tree, _numbers(values, code), np.arange(len(values) + 1) * width, False)
+        leaf = (f"TLeaf{code}", {"fName": name, "fTitle": name, "fLen": 1}, ("leaf", name))
+        return "TBranch", {"fName": name, "fTitle": f"{name}/{code}", "fLeaves": [leaf], **baskets}, ("branch", name)
+    if pa.types.is_string(kind):
+        return f.element(tree, name, "string", [_text(v) for v in values.cast(pa.binary()).to_pylist()])
+    if pa.types.is_list(kind):
+        sizes = np.diff(values.offsets.to_numpy())
+        at, flat, item = np.concatenate(([0], np.cumsum(sizes))), values.flatten(), kind.value_type
+        if item in NUMBERS:
+            code, c_name, _ = NUMBERS[item]
+            width = np.dtype(LEAF_DTYPES[code]).itemsize
+            data = _numbers(flat, code)
+            head = [struct.pack(">IHi", COUNTED | (6 + width * n), 9, n) for n in sizes.tolist()]
+            return f.element(tree, name, f"vector<{c_name}>", [h + data[a * width : b * width] for h, a, b in zip(head, at[:-1].tolist(), at[1:].tolist(), strict=True)])
+        if pa.types.is_struct(item) and all(x.type in NUMBERS for x in item):
+            cls = f"Record_{name}"
+            f.describe(cls, [(x.name, NUMBERS[x.type][2], NUMBERS[x.type][1]) for x in item])
+            subs = []
+            for k, x in enumerate(item):
+                code = NUMBERS[x.type][0]
+                sub, width = f"{name}.{x.name}", np.dtype(LEAF_DTYPES[code]).itemsize
+                own = {"fName": sub, "fTitle": sub, "fLeaves": [("TLeafElement", {"fName": sub, "fTitle": sub, "fLen": 1}, ("leaf", sub))], "fClassName": cls, "fType": 41, "fID": k}
+                subs.append(("TBranchElement", own | f.packed_baskets(sub, tree, _numbers(flat.field(k), code), at * width, True), ("branch", sub)))
+            return f.element(tree, name, f"vector<{cls}>", [struct.pack(">i", n) for n in sizes.tolist()], subs, kind=4, offsets=False)
+    raise ValueError(f"column {name} of type {kind} can't be written to a tree")
+
+
+def _text(raw: bytes) -> bytes:
+    body = (bytes([len(raw)]) if len(raw) < 255 else b"\xff" + struct.pack(">I", len(raw))) + raw
+    return struct.pack(">IH", COUNTED | (len(body) + 2), 1) + body
+
+
+def write_trees(df: DataFrame, folder: str, tree: str = "Events", method: str = "ZL", per_basket: int = 8192) -> DataFrame:
+    """Writes a file of each partition that has rows; path and entries of each, in a table that is already made.
+
+    Columns hold numbers, strings, lists of numbers, or lists of records of numbers, without nulls. A task holds its
+    partition's packed columns, and one that runs again replaces its file.
+    """
+    ship(df.sparkSession)
+    names = df.columns
+
+    def run(batches):
+        import os
+
+        parts = list(batches)
+        rows = sum(b.num_rows for b in parts)
+        if not rows:
+            return
+        table = pa.Table.from_batches(parts).combine_chunks()
+        f = TreeFile("", method, per_basket)
+        f.tree(tree, [add_column(f, tree, n, table.column(i).chunk(0)) for i, n in enumerate(names)], rows)
+        name = f"part-{TaskContext.get().partitionId():05d}.root"
+        if "://" in folder and not folder.startswith("file:"):
+            import pyarrow.fs as fs
+
+            store, at = fs.FileSystem.from_uri(folder)
+            with store.open_output_stream(f"{at}/{name}") as out:
+                out.write(f.bytes())
+        else:
+            local = folder.removeprefix("file://").removeprefix("file:")
+            os.makedirs(local, exist_ok=True)
+            with open(f"{local}/.{name}", "wb") as out:
+                out.write(f.bytes())
+            os.replace(f"{local}/.{name}", f"{local}/{name}")
+        yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "entries": [rows]})
+
+    made = df.mapInArrow(run, "path string, entries long").collect()
+    return df.sparkSession.createDataFrame(made, "path string, entries long")

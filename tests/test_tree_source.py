@@ -8,8 +8,7 @@ import pytest
 from pleiad.sources import datasource
 from pleiad.sources.binary import BadFile
 from pleiad.sources.tree import NoTree, Tree
-
-from .treefile import COUNTED, TreeFile, nested_vector_entry, vector_entry
+from pleiad.sources.treewriter import COUNTED, TreeFile, nested_vector_entry, vector_entry, write_trees
 
 N = 100
 #: Fixed values of the 100-row unit table: the filled places of arr1, from index 68.
@@ -198,3 +197,17 @@ def test_unreadable_files(spark, tmp_path):
     assert datasource.read_trees(spark, good, ignorecorrupt="on").count() == N
     with pytest.raises(Exception, match="path to files must be given"):
         datasource.TreeSource({}).schema()
+
+
+def test_tables_come_back_as_they_were_written(spark, tmp_path):
+    df = spark.sql("select cast(id as int) as i, id * 3 as l, cast(id as float) / 3 as f, id / 7 as d, id % 2 = 0 as b, concat('ä', repeat('x', cast(id % 300 as int))) as s, transform(sequence(0L, id % 5), x -> x * 1.5D) as v, filter(transform(sequence(1L, 4L), x -> struct(x / 2 as pt_, cast(x as int) as q)), r -> r.q <= id % 4) as muons from range(0, 1000, 1, 3)")
+    files = write_trees(df, str(tmp_path / "out"), per_basket=50).collect()
+    assert sum(r["entries"] for r in files) == 1000 and len(files) == 3
+    back = datasource.read_trees(spark, str(tmp_path / "out"), entries="100")
+    assert back.schema.simpleString() == df.schema.simpleString()
+    assert sorted(back.collect(), key=lambda r: r["i"]) == sorted(df.collect(), key=lambda r: r["i"])
+    assert datasource.read_trees(spark, str(tmp_path / "out"), columns=["muons.q"]).selectExpr("sum(size(muons.q))").first()[0] == sum(min(4, i % 4) for i in range(1000))
+    with pytest.raises(Exception, match="holds nulls"):
+        write_trees(spark.sql("select cast(null as int) as x"), str(tmp_path / "bad"))
+    with pytest.raises(Exception, match="can't be written"):
+        write_trees(spark.sql("select map(1, 2) as m"), str(tmp_path / "bad"))
