@@ -17,7 +17,7 @@ FUNCTIONS = {
     "bin_index": (
         "x DOUBLE, bins BIGINT, low DOUBLE, high DOUBLE",
         "BIGINT",
-        "CASE WHEN x IS NULL OR isnan(x) THEN NULL WHEN x < low THEN 0 WHEN x >= high THEN bins + 1 ELSE least(CAST(floor((x - low) / ((high - low) / bins)) AS BIGINT) + 1, bins) END",
+        "width_bucket(x, low, high, bins)",
     ),
     "column_name": ("name STRING", "STRING", "replace(replace(name, '.', '_'), '::', '__')"),
 }

@@ -192,14 +192,14 @@ def dimuon_mass(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {_MASSES}, counted AS (
-  SELECT CASE WHEN mass < 0 THEN 0 WHEN mass >= 200 THEN 101 ELSE least(CAST(floor(mass / 2) AS BIGINT) + 1, 100) END AS bin, count(*) AS n FROM masses GROUP BY 1)
+  SELECT CASE WHEN mass < 0 THEN 0 WHEN mass >= 200 THEN 101 ELSE CAST(floor(100 * mass / 200) AS BIGINT) + 1 END AS bin, count(*) AS n FROM masses GROUP BY 1)
 SELECT CAST(b.bin AS BIGINT) AS bin, coalesce(n, 0) AS n FROM range(102) AS b(bin) LEFT JOIN counted USING (bin)""")
 def dimuon_hist(spark: SparkSession, d: str) -> DataFrame:
     return H.histogram(dimuon_masses(order_events(spark, d)), F.col("mass"), 100, 0.0, 200.0).select("bin", "n")
 
 
 @query("""WITH x AS (SELECT CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings), counted AS (
-  SELECT CASE WHEN x < -0.5 THEN 0 WHEN x >= 0.5 THEN 101 ELSE least(CAST(floor((x - (-0.5)) / ((0.5 - (-0.5)) / 100)) AS BIGINT) + 1, 100) END AS bin, count(*) AS n FROM x GROUP BY 1)
+  SELECT CASE WHEN x < -0.5 THEN 0 WHEN x >= 0.5 THEN 101 ELSE CAST(floor(100 * (x + 0.5)) AS BIGINT) + 1 END AS bin, count(*) AS n FROM x GROUP BY 1)
 SELECT CAST(b.bin AS BIGINT) AS bin, coalesce(n, 0) AS n FROM range(102) AS b(bin) LEFT JOIN counted USING (bin)""")
 def flatten_hist(spark: SparkSession, d: str) -> DataFrame:
     flat = table(spark, d, "embeddings").select(F.explode("embedding").alias("x"))
