@@ -119,7 +119,7 @@ def grade(labels: DataFrame) -> Column:
 
 
 def graded(docs: DataFrame, labels: DataFrame, least: int = 1, chance: float = 0.5, bound: int = BOUND) -> DataFrame:
-    """doc_id, held_out, expected_grade, tail_probability (of a grade of least or more), selected: a row for each of docs.
+    """doc_id, held_out, expected_grade, tail_probability (of a grade of least or more), kept (that chance is chance or more): a row for each of docs.
 
     Trained on at most bound labelled rows of each grade that are not held out (crc32 of doc_id mod 5 is 0). Null
     and empty texts are graded as texts without words. Repeated rows are graded alike, null doc_ids are held out and
@@ -140,4 +140,4 @@ def graded(docs: DataFrame, labels: DataFrame, least: int = 1, chance: float = 0
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tails.sum(axis=1)), pa.array(tails[:, least - 1])], names=schema.names)
 
     got = docs.select("doc_id", "text").mapInArrow(run, schema)
-    return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "expected_grade", "tail_probability", (F.col("tail_probability") >= chance).alias("selected"))
+    return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "expected_grade", "tail_probability", (F.col("tail_probability") >= chance).alias("kept"))

@@ -79,7 +79,7 @@ def test_ordinal_grades_on_held_out_rows(spark):
     docs, marks = corpus()
     got = {r["doc_id"]: r for r in quality_model.graded(spark.createDataFrame(docs, H.DOCS), H.labels(spark, marks)).collect()}
     held = [(got[i], q) for i, q, _ in marks if out(i)]
-    assert np.mean([r["selected"] == bool(q) for r, q in held]) > 0.95
+    assert np.mean([r["kept"] == bool(q) for r, q in held]) > 0.95
     assert all(r["held_out"] and 0 <= r["expected_grade"] <= 2 and 0 <= r["tail_probability"] <= 1 for r, _ in held)
     by = [np.mean([got[i]["expected_grade"] for i, q, t in marks if (q, t) == k]) for k in ((0, 0), (1, 1), (1, 0))]
     assert by[0] < by[1] < by[2]
@@ -93,9 +93,9 @@ def test_cuts_stay_ordered():
 
 
 def test_grades_awkward_rows(spark):
-    docs = H.clashing(spark, "selected", "expected_grade", "label", "quality")
+    docs = H.clashing(spark, "kept", "expected_grade", "label", "quality")
     got = quality_model.graded(docs, H.labels(spark, [(8, 1, None), (11, 0, 0), (52, None, 1)]))
-    assert got.count() == docs.count() and got.where("selected is null").count() == 0
+    assert got.count() == docs.count() and got.where("kept is null").count() == 0
     assert got.where(F.col("doc_id").isNull() & ~F.col("held_out")).count() == 0
     assert quality_model.graded(H.none(spark), H.labels(spark, [])).collect() == []
     assert quality_model.graded(docs, H.labels(spark, [])).select("tail_probability").distinct().count() <= 1 + 0
