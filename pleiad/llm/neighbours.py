@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, ship
 
-#: Pivots (the fitted sample: vectors of the least hashes), length of a representation, part of a block that is ranked again.
-PIVOTS, PREFIX, RERANKED, LEAST = 128, 64, 0.15, 64
+#: Pivots (different ones of a sample, the vectors of the least hashes), length of a representation, and part of a block's
+#: different vectors that is ranked again.
+PIVOTS, SAMPLED, ALIKE, PREFIX, RERANKED, LEAST = 128, 1024, 0.8, 64, 0.2, 64
 VECTOR_BLOCK, QUERY_BLOCK = 4096, 256
 SEED = 3
 
@@ -32,6 +33,16 @@ def lengths(x: np.ndarray) -> np.ndarray:
     return np.sqrt((x * x).sum(axis=1))
 
 
+def apart(sample: np.ndarray) -> np.ndarray:
+    """The first PIVOTS of a sample, at length one, without those near an earlier one: many near copies make one pivot."""
+    unit = sample / lengths(sample)[:, None]
+    kept: list[int] = []
+    for i in range(len(unit)):
+        if len(kept) < PIVOTS and not (kept and (unit[kept] @ unit[i]).max() > ALIKE):
+            kept.append(i)
+    return unit[kept]
+
+
 def ranks(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     """For each vector and pivot the pivot's place among the vector's nearest; prefix for those behind."""
     near = -(x / lengths(x)[:, None]) @ pivots.T
@@ -42,30 +53,41 @@ def ranks(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
 
 
 def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, pivots: np.ndarray, k: int, part: float, least: int, prefix: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each query its k nearest of the block: (query ids, vec ids, cosines). ids in ascending order."""
+    """For each query its k nearest of the block: (query ids, vec ids, cosines). ids in ascending order.
+
+    Equal vectors of the block are one candidate, so copies of one vector don't crowd out others; the k + 1 smallest
+    ids of each are enough for an answer.
+    """
     out = []
+    rows = np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).reshape(-1)
+    _, first, group = np.unique(rows, return_index=True, return_inverse=True)
+    members = np.argsort(group, kind="stable")  # by group, ids ascending within
+    begin = np.searchsorted(group[members], np.arange(len(first) + 1))
+    x, lead = x[first], ids[first]
     size, query_size = lengths(x), lengths(q)
     if len(pivots):
         own, asked = ranks(x, pivots, prefix), ranks(q, pivots, prefix)
         files = [np.flatnonzero(own[:, p] < prefix) for p in range(len(pivots))]  # pivot -> vectors that have it
         places = [own[f, p] for p, f in enumerate(files)]
-    n = max(least, int(np.ceil(part * len(ids))))
+    n = max(least, int(np.ceil(part * len(x))))
     for i in range(len(q)):
-        if len(pivots) and n < len(ids):
-            saved = np.zeros(len(ids), np.int32)
+        if len(pivots) and n < len(x):
+            saved = np.zeros(len(x), np.int32)
             for p in np.flatnonzero(asked[i] < prefix).tolist():
                 r = int(asked[i, p])
                 # both miss prefix - place when the other lacks the pivot; sharing it leaves the places' difference
                 saved[files[p]] += 2 * (prefix - np.maximum(places[p], r))
             pick = np.argsort(-saved, kind="stable")[:n]  # every footrule distance is one constant less its savings
-            pick.sort()
         else:
-            pick = np.arange(len(ids))
+            pick = np.arange(len(x))
         score = (x[pick] * q[i]).sum(axis=1) / (size[pick] * query_size[i])
-        other = ids[pick] != query_ids[i]
-        pick, score = pick[other], score[other]
-        best = np.lexsort((ids[pick], -score))[:k]
-        out.append((np.full(len(best), query_ids[i]), ids[pick][best], score[best]))
+        best = np.lexsort((lead[pick], -score))[: k + 1]  # one may be the query's own
+        found = [members[begin[g] : begin[g + 1]][: k + 1] for g in pick[best]]
+        other, score = ids[np.concatenate(found)], np.repeat(score[best], [len(f) for f in found])
+        mine = other == query_ids[i]
+        other, score = other[~mine], score[~mine]
+        best = np.lexsort((other, -score))[:k]
+        out.append((np.full(len(best), query_ids[i]), other[best], score[best]))
     return out
 
 
@@ -91,9 +113,8 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, part: float = RERAN
     counts = own.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("vec_id") % every == 0).cast("long")).alias("q"))
     top = counts.orderBy(F.desc("n"), "dim").first()
     dim = top["dim"] if top else 0
-    fitted = own.where(F.col("dim") == dim).orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(PIVOTS).collect()
-    pivots = np.array([r["embedding"] for r in fitted], float).reshape(len(fitted), dim)
-    pivots = pivots / lengths(pivots)[:, None]
+    fitted = own.where(F.col("dim") == dim).orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(SAMPLED).collect()
+    pivots = apart(np.array([r["embedding"] for r in fitted], float).reshape(len(fitted), dim))
     prefix = max(1, min(PREFIX, len(pivots) // 2))
     sizes = counts.withColumns({"vectors": F.ceil(F.col("n") / VECTOR_BLOCK).cast("int"), "queries": F.ceil(F.col("q") / QUERY_BLOCK).cast("int")}).where("q > 0").select("dim", "vectors", "queries")
     placed = own.join(sizes, "dim")
