@@ -197,7 +197,7 @@ class Synthesis:
         A branch below a collection or an object has the members of inner objects and bases directly below itself, under
         dotted names; they come together in a record of their own again.
         """
-        found = {_last(s.name, b.name): s for s in b.branches}
+        found = {within(s.name, b.name): s for s in b.branches}
         out = []
         for m in k.members:
             if m.code == BASE or (m.code in NAMED_BASES and m.type_name == "BASE"):
@@ -255,7 +255,7 @@ class Synthesis:
         return Leaf(name, "string") if m.stl == STL_STRING else Unknown(name)
 
 
-def _last(name: str, parent: str) -> str:
+def within(name: str, parent: str) -> str:
     """A sub-branch's name within its parent, without array dimensions."""
     name = name.split("[")[0]
     return name[len(parent) :].lstrip(".") if parent and name.startswith(f"{parent.rstrip('.')}.") else name

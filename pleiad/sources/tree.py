@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ..plans import passes
 from ..plans.layout import Array, Leaf, MapOf, Node, Root, Struct, Unknown, Vector, column_name
-from ..plans.synthesis import Branch, LeafInfo, Synthesis, _last, arrange, template
+from ..plans.synthesis import Branch, LeafInfo, Synthesis, within, arrange
 from .binary import BadFile, Cursor, Key, KeyedFile, inflated
 
 DTYPES = {"B": "i1", "b": "i1", "S": ">i2", "s": ">i2", "I": ">i4", "i": ">i4", "L": ">i8", "l": ">i8", "F": ">f4", "D": ">f8", "O": "?"}
@@ -136,7 +136,7 @@ class Tree:
             return pa.nulls(end - start)
         if b["class"] != "TBranchElement":
             return self.leaves(node, b, start, end)
-        subs = {_last(s["fName"], b["fName"]): s for s in b["fBranches"] or [] if s}
+        subs = {within(s["fName"], b["fName"]): s for s in b["fBranches"] or [] if s}
         if isinstance(node, Vector) and node.split and isinstance(node.item, Struct):
             counts, arrays, names = None, [], []
             for m, s in self.split_members(node.item, subs):
@@ -164,8 +164,7 @@ class Tree:
         for name, s in subs.items():
             if column_name(name) == node.column:
                 return s
-        inner = {n: s for n, s in subs.items()}
-        return {"class": "TBranchElement", "fName": "", "fBranches": list(inner.values()), "fLeaves": []}
+        return {"class": "TBranchElement", "fName": "", "fBranches": list(subs.values()), "fLeaves": []}  # a base or an inner object
 
     def split_members(self, item: Struct, subs: dict[str, dict]) -> Iterator[tuple[Leaf, dict]]:
         for m in item.members:
@@ -312,6 +311,3 @@ class Decoder:
                 c.at = end
             return {m.column: out[m.column] for m in node.members if not m.hidden}
         raise BadFile(f"{node.name} can't be decoded")
-
-
-__all__ = ["NoTree", "Tree", "template"]
