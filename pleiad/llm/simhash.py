@@ -392,7 +392,8 @@ def similar(docs: DataFrame, marked: DataFrame, candidates: DataFrame, similarit
     """
     nodes = candidates.select(F.explode(F.array("a", "b")).alias("of")).distinct()
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k")
-    chosen = marked.join(nodes, F.col("node") == F.col("of")).groupBy("node").agg(one).select("node", F.col("k.doc_id").alias("its_id"), F.col("k.text_key").alias("its_key"))
+    first_of = marked.groupBy("node").agg(one)  # before the join, where a group of copies would be one key's rows
+    chosen = first_of.join(nodes, F.col("node") == F.col("of")).select("node", F.col("k.doc_id").alias("its_id"), F.col("k.text_key").alias("its_key"))
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     found = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("text_key") == F.col("its_key"))).select("node", "text")
 
