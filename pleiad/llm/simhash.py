@@ -9,7 +9,8 @@ no link is lost; tables of a large radius take sampled bits, as many as a stated
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -19,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, small_batches, utf8, words
+from . import shared_files
+from .common import checkpointed, remove, shared_dir, small_batches, utf8, words
 from .components import connected_components
 
 SEED = 42
@@ -30,10 +32,10 @@ SMALL_RUN = 48
 LANES = 4096
 #: A larger bucket is dealt again by the bits that its key doesn't hold.
 LARGE_RUN = 1 << 14
-#: Buckets to this size give each near pair to an exact check that follows, larger ones a forest of them.
-PAIRED = 8
 #: Rows of sorted buckets that are compared together.
 TOGETHER = 1 << 16
+#: Places of a table that shows which sets may share enough with one, and elements of sets that are looked up in it together.
+MARKS, AT_ONCE = 1 << 20, 1 << 20
 #: Of similar documents: fingerprint words of 64 bits, words a shingle, the similarity aimed at, and the part of the pairs just
 #: that similar which no table may bring together.
 WIDE, SHINGLE, SIMILAR, MISSED = 4, 5, 0.8, 0.03
@@ -203,11 +205,23 @@ def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, again: bool = True, paired: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Places (a, b) of near fingerprints that join those of each run of equal keys as their distances do.
+def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least of n places that the pairs join each place to."""
+    up = list(range(n))
 
-    Runs of paired members at most give each of their near pairs, larger ones a forest.
-    """
+    def root(x: int) -> int:
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        x, y = root(x), root(y)
+        up[max(x, y)] = min(x, y)
+    return np.array([root(x) for x in range(n)], np.int64)
+
+
+def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, again: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Places (a, b) of near fingerprints that join those of each run of equal keys as their distances do."""
     starts, sizes = _runs(keys)
     found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2]
     small = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SMALL_RUN), sizes))
@@ -222,9 +236,6 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, again: bool = T
         pairs.append((small[at[hit]], small[at[hit] + shift]))
     if pairs:
         a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        short = np.repeat(sizes, sizes)[a] <= paired
-        found.append((a[short], b[short]))
-        a, b = a[~short], b[~short]
         kept = _forest(a, b)
         found.append((a[kept], b[kept]))
     for at, n in zip(starts[sizes > SMALL_RUN].tolist(), sizes[sizes > SMALL_RUN].tolist(), strict=True):
@@ -251,22 +262,8 @@ def tables(radius: int) -> list[list[tuple[int, int]]]:
     return [[(edges[i], edges[i + 1] - edges[i]) for i in chosen] for chosen in combinations(range(n), CHOSEN)]
 
 
-def compared(dealt: DataFrame, radius: int, size: int = 1) -> DataFrame:
-    """(a, b): nodes of near fingerprints, from rows (key, f0, ... f of size words); equal keys make a bucket.
-
-    A fingerprint of one word is its own node; that of a wider one is the XXH64 of its bytes.
-    """
-
-    def nodes(fps: np.ndarray) -> pa.Array:
-        if size == 1:
-            return pa.array(fps[:, 0].view(np.int64))
-        return pa.array(np.array([xxhash.xxh64_intdigest(f.tobytes(), SEED) for f in fps], np.uint64).view(np.int64))
-
-    def told(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(keys) > 1:
-            a, b = bucket_links(keys, fps, radius, paired=PAIRED if size > 1 else 0)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([nodes(fps[a]), nodes(fps[b])], names=["a", "b"])
+def by_bucket(dealt: DataFrame, told: Callable[[np.ndarray, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """told(keys, fingerprints) -> rows of schema, of rows (key, f0, ...) in order; equal keys make a bucket and stay together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []
@@ -285,7 +282,40 @@ def compared(dealt: DataFrame, radius: int, size: int = 1) -> DataFrame:
             yield from told(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
 
     n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "key").sortWithinPartitions(*dealt.columns).mapInArrow(run, "a long, b long")
+    return dealt.repartition(n, "key").sortWithinPartitions(*dealt.columns).mapInArrow(run, schema)
+
+
+def compared(dealt: DataFrame, radius: int) -> DataFrame:
+    """(a, b): near fingerprints of one word that join those of each bucket, from rows (key, f0)."""
+
+    def told(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(keys) > 1:
+            a, b = bucket_links(keys, fps, radius)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(fps[x, 0].view(np.int64)) for x in (a, b)], names=["a", "b"])
+
+    return by_bucket(dealt, told, "a long, b long")
+
+
+def gathered(dealt: DataFrame, radius: int) -> DataFrame:
+    """(nodes): the nodes that near fingerprints join within a bucket, two or more, sorted and each list once.
+
+    From rows (key, f0, ...); the node of a fingerprint is the XXH64 of its bytes. Whatever two near ones meet in a
+    bucket are in one list.
+    """
+
+    def told(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a, b = bucket_links(keys, fps, radius) if len(keys) > 1 else (keys[:0], keys[:0])
+        if len(a):
+            at, back = np.unique(np.concatenate((a, b)), return_inverse=True)
+            nodes = np.array([xxhash.xxh64_intdigest(f.tobytes(), SEED) for f in fps[at]], np.uint64).view(np.int64)
+            label = _joined(len(at), back[: len(a)], back[len(a) :])
+            order = np.lexsort((nodes, label))
+            cuts = np.append(_runs(label[order])[0], len(at))
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(nodes[order]))], names=["nodes"])
+
+    n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return by_bucket(dealt, told, "nodes array<long>").repartition(n, "nodes").dropDuplicates(["nodes"])
 
 
 def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
@@ -350,7 +380,8 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILAR, size: int = WID
     """doc_id, text_key (xxhash64 of the text), group (long): equal groups for documents that similarity joins.
 
     Fingerprints of size x 64 bits are near within the distance that this Jaccard similarity of shingle sets leads to,
-    and two standard deviations more; near ones are linked if their texts' sets are that similar. Tables take as many
+    and two standard deviations more. What near ones join in a bucket, of whatever size, is linked by the exact
+    similarity of the texts' sets: each pair of it is tested unless links that hold join it already. Tables take as many
     sampled bits as the number of different fingerprints has binary digits. Null and empty texts are one group. A row for each row of docs: repeated rows share a group and
     null doc_ids stay null. An empty table gives an empty one; other columns are not read.
     """
@@ -380,17 +411,21 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILAR, size: int = WID
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), *parts], names=["key", *words_of])
 
     dealt = distinct.mapInArrow(deal, ", ".join(f"{c} long" for c in ("key", *words_of)))
-    candidates = checkpointed(compared(dealt, radius, size).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    joined = connected_components(similar(docs, marked, candidates, similarity, width)).withColumnRenamed("node", "id")
+    met = checkpointed(gathered(dealt, radius))
+    top, shards = f"{shared_dir(docs.sparkSession)}/shingles-{uuid.uuid4().hex}", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    write_sets(docs, marked, met, width, top, shards)
+    joined = connected_components(similar(met, similarity, top, shards)).withColumnRenamed("node", "id")
+    remove(docs.sparkSession, top)  # the components stand in a checkpoint
     return marked.join(joined, F.col("node") == F.col("id"), "left").select("doc_id", "text_key", F.coalesce("root", "node").alias("group"))
 
 
-def similar(docs: DataFrame, marked: DataFrame, candidates: DataFrame, similarity: float, width: int) -> DataFrame:
-    """The candidates (a, b) whose texts' shingle sets have that Jaccard similarity, each node by one of its documents.
+def write_sets(docs: DataFrame, marked: DataFrame, met: DataFrame, width: int, top: str, shards: int) -> None:
+    """Writes the shingle sets of met's nodes, each by one of its documents, as files of sorted nodes below top.
 
-    Sets are hashes cut to 32 bits; only documents of candidates take part.
+    Sets are sorted hashes cut to 32 bits; a shard's file has the number of its nodes, the nodes, where their sets
+    begin and end, and the sets.
     """
-    nodes = candidates.select(F.explode(F.array("a", "b")).alias("of")).distinct()
+    nodes = met.select(F.explode("nodes").alias("of")).distinct()
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k")
     first_of = marked.groupBy("node").agg(one)  # before the join, where a group of copies would be one key's rows
     chosen = first_of.join(nodes, F.col("node") == F.col("of")).select("node", F.col("k.doc_id").alias("its_id"), F.col("k.text_key").alias("its_key"))
@@ -402,20 +437,93 @@ def similar(docs: DataFrame, marked: DataFrame, candidates: DataFrame, similarit
             own = [np.unique(np.array(shingle_hashes(t, width), np.uint64).astype(np.uint32)).tobytes() for t in utf8(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.binary())], names=["node", "shingles"])
 
-    own = found.mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"])
-    first = own.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    second = own.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    def write(shard: int, own: dict[int, bytes]) -> pa.RecordBatch:
+        ends = np.cumsum([0, *(len(x) // 4 for x in own.values())], dtype=np.int64)
+        shared_files.write(f"{top}/{shard}", b"".join((np.array([len(own), *own], np.int64).tobytes(), ends.tobytes(), *own.values())))
+        return pa.RecordBatch.from_arrays([pa.array([len(own)], pa.int64())], names=["n"])
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, own = None, {}
+        for b in batches:
+            for shard, node, shingles in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if shard != now:
+                    if own:
+                        yield write(now, own)
+                    now, own = shard, {}
+                own[node] = shingles  # repeated rows have one set
+        if own:
+            yield write(now, own)
+
+    made = found.mapInArrow(sets, "node long, shingles binary").select(F.pmod("node", F.lit(shards)).alias("shard"), "node", "shingles")
+    made.repartition(shards, "shard").sortWithinPartitions("shard", "node").mapInArrow(each, "n long").agg(F.sum("n")).collect()
+
+
+class Sets:
+    """Shingle sets by node, from files that are mapped as they are asked for."""
+
+    def __init__(self, top: str, shards: int):
+        self.top, self.shards, self.maps = top, shards, {}
+
+    def __call__(self, node: int) -> np.ndarray:
+        shard = node % self.shards
+        if shard not in self.maps:
+            data = np.asarray(shared_files.mapped(f"{self.top}/{shard}"))
+            n = int(data[:8].view(np.int64)[0])
+            self.maps[shard] = data[8 : 8 + 8 * n].view(np.int64), data[8 + 8 * n : 16 + 16 * n].view(np.int64), data[16 + 16 * n :].view(np.uint32)
+        nodes, ends, sets = self.maps[shard]
+        at = int(np.searchsorted(nodes, node))
+        return sets[ends[at] : ends[at + 1]]
+
+
+def alike(sets: list[np.ndarray], similarity: float, marks: np.ndarray) -> np.ndarray:
+    """A forest of links that hold: for each sorted set one before it of that Jaccard similarity, or itself.
+
+    Breadth first: a set that is reached is compared with all that aren't yet, so every pair is tested that links
+    don't join already. marks, all False between calls, bounds what two sets share from above: only pairs that
+    may pass are intersected.
+    """
+    parent, sizes = np.arange(len(sets)), np.array([len(x) for x in sets], np.int64)
+    left, front = np.arange(len(sets)), []
+    while len(left):
+        if not front:
+            front, left = [int(left[0])], left[1:]
+        i = front.pop()
+        own, n = sets[i], sizes[i]
+        mask = np.uint32(len(marks) - 1)
+        marks[own & mask] = True
+        could = left[np.minimum(sizes[left], n) >= similarity * np.maximum(sizes[left], n)]
+        hit = could.tolist() if not n else []
+        part = np.cumsum(sizes[could]) // AT_ONCE
+        for k in np.unique(part).tolist() if n else ():
+            some = could[part == k]
+            starts = np.concatenate(([0], np.cumsum(sizes[some])[:-1]))
+            most = np.add.reduceat(marks[np.concatenate([sets[j] for j in some.tolist()]) & mask], starts, dtype=np.int64)
+            for j in some[most >= similarity * (n + sizes[some] - most)].tolist():
+                shared = len(np.intersect1d(own, sets[j], assume_unique=True))
+                if shared >= similarity * (n + sizes[j] - shared):
+                    hit.append(j)
+        marks[own & mask] = False
+        parent[hit] = i
+        front += hit
+        left = left[~np.isin(left, hit)] if hit else left
+    return parent
+
+
+def similar(met: DataFrame, similarity: float, top: str, shards: int) -> DataFrame:
+    """(a, b): nodes that join those of each of met's lists as the exact Jaccard similarity of their sets does."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, marks = Sets(top, shards), np.zeros(MARKS, bool)
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(shared >= similarity * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return candidates.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(judge, "a long, b long")
+            pairs = [np.zeros((2, 0), np.int64)]
+            for nodes in b.column(0):
+                nodes = nodes.values.to_numpy()
+                parent = alike([sets(x) for x in nodes.tolist()], similarity, marks)
+                at = np.flatnonzero(parent != np.arange(len(nodes)))
+                pairs.append(np.stack((nodes[parent[at]], nodes[at])))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(pairs, axis=1)], names=["a", "b"])
+
+    return met.mapInArrow(run, "a long, b long")
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILAR) -> DataFrame:

@@ -121,3 +121,37 @@ def test_near_copies_leave_one(spark):
     assert {family[i] for i in kept if i in family} == set(range(40))
     assert sum(i in family for i in kept) <= 42  # 160 documents in 40 groups
     assert 999 not in kept and kept.count(0) == 1
+
+
+def test_true_copies_within_a_large_family_of_relatives(spark):
+    rng = random.Random(4)
+    core = H.prose(rng, 300, 5000)
+    rows = []
+    for i in range(1040):  # any two share the core alone: a similarity of 0.74 to 0.75
+        tail = [f"t{i}n{j}" for j in range(50)]
+        rows.append((i, f"{core} {' '.join(tail)}", "en", "a", None))
+        if i < 200:  # a copy with one word changed: 0.97
+            tail[25] = "edited"
+            rows.append((10_000 + i, f"{core} {' '.join(tail)}", "en", "a", None))
+    sets = {r[0]: set(simhash.shingle_hashes(r[1].encode(), simhash.SHINGLE)) for r in rows}
+    like = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert 0.7 < min(like(0, i) for i in range(1, 1040)) and max(like(0, i) for i in range(1, 1040)) < 0.79 and like(0, 10_000) > 0.95
+    group = {r["doc_id"]: r["group"] for r in simhash.similar_groups(spark.createDataFrame(rows, H.DOCS)).collect()}
+    assert sum(group[i] == group[10_000 + i] for i in range(200)) >= 199
+    assert len({group[i] for i in range(1040)}) == 1040
+
+
+def test_forest_of_links_that_hold():
+    rng = np.random.default_rng(5)
+    sets = [np.zeros(0, np.uint32)] * 2
+    for n in (1, 3, 40, 700):
+        base = rng.integers(0, 1 << 32, 2 * n, dtype=np.uint32)
+        sets += [np.unique(np.concatenate((rng.permutation(base)[: n + k], rng.integers(0, 1 << 32, k, dtype=np.uint32)))) for k in rng.integers(0, n + 1, 25)]
+    sets = [sets[i] for i in rng.permutation(len(sets))]
+    holds = lambda x, y: len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y))
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if holds(sets[a], sets[b])]
+    marks = np.zeros(64, bool)
+    parent = simhash.alike(sets, 0.8, marks)
+    assert not marks.any() and all(holds(sets[i], sets[p]) for i, p in enumerate(parent.tolist()) if i != p)
+    own = simhash._joined(len(sets), np.arange(len(sets)), parent)
+    assert (own == simhash._joined(len(sets), *np.array(pairs).T)).all()
