@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -159,7 +160,10 @@ def line_digest(docs: DataFrame, min_docs: int = 10) -> DataFrame:
 
 
 def without_shared_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
-    """docs with the shared lines gone from text; every row and column stays, a null text stays null."""
+    """docs with the shared lines gone from text; every row and column stays, a null text stays null.
+
+    n_chars, where docs have it, is the number of code points of the text that is left; that of a null text stays.
+    """
     names = list(docs.columns)
     at = names.index("text")
 
@@ -167,6 +171,9 @@ def without_shared_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
         for b in batches:
             cols = b.column(0).flatten()
             cols[at] = pa.array([None if t is None else kept_text(t, m)[0].decode() for t, m in zip(cols[at].cast(pa.binary()).to_pylist(), b.column(1).to_pylist(), strict=True)], pa.string())
+            if "n_chars" in names:
+                k = names.index("n_chars")
+                cols[k] = pc.coalesce(pc.utf8_length(cols[at]).cast(cols[k].type), cols[k])
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return with_bitmaps(docs, min_docs).mapInArrow(run, docs.schema)

@@ -58,3 +58,13 @@ def test_stage_keeps_rows_and_columns(spark):
     assert got.count() == docs.count() and texts[0] is None and texts[25] == "only 5 here\n\nlast2"
     assert line_dedup.line_digest(H.none(spark)).collect() == []
     assert line_dedup.without_shared_lines(H.none(spark)).collect() == []
+
+
+def test_n_chars_follows_the_text(spark):
+    rows = [(i, f"all have this\nnaïve {i} 日本", "en", "a", len(f"all have this\nnaïve {i} 日本")) for i in range(12)] + [(90, "alone", "en", "a", 5), (91, None, "en", "a", None), (92, None, "en", "a", 7), (93, "all have this", "en", "a", 13)]
+    got = {r["doc_id"]: r for r in line_dedup.without_shared_lines(spark.createDataFrame(rows, H.DOCS)).collect()}
+    assert got[3]["text"] == "naïve 3 日本" and got[93]["text"] == ""
+    assert all(got[i]["n_chars"] == len(got[i]["text"]) for i in [*range(12), 90, 93])
+    assert got[91]["n_chars"] is None and got[92]["n_chars"] == 7
+    bare = line_dedup.without_shared_lines(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"))
+    assert bare.columns == ["doc_id", "text"] and bare.count() == len(rows)
