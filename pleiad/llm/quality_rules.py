@@ -34,8 +34,9 @@ CLASS_OF[list(b"\n\r\x0b\x0c")] = 5
 CLASS_OF[list(b".,;:?!'\"()-")] = 6
 COUNTED = CLASS_OF.copy()
 COUNTED[0x80:0xC0] = CLASSES  # the rest of a code point counts nowhere
-#: The shortest text that the distances judge, and how far they may be.
-MIN_WORDS, MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 40, 0.35, 0.55
+#: The shortest text that the distances judge, and how far they may be; words as a part of the distance that a text without any
+#: common word has, and only where the reference lets one expect so many common words that their lack tells something.
+MIN_WORDS, MAX_CLASS_DISTANCE, MAX_WORD_PART, EXPECTED = 40, 0.35, 0.9, 5
 WINDOW = 5
 
 
@@ -132,12 +133,13 @@ def distance(own: Column, ref: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), 0.5 * total(terms)))
 
 
-def judged(docs: DataFrame, min_words: int = MIN_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
+def judged(docs: DataFrame, min_words: int = MIN_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_PART) -> DataFrame:
     """doc_id, the counts, base_failed, kept, class_distance, word_distance, language: a row for each row of docs.
 
     The language is lang where COMMON has it, else the one whose common words are most frequent in the text. Its
     reference sums the histograms of all its texts of min_words or more that the base rules pass: one row for each
-    language of COMMON, so its broadcast is bounded. Shorter texts and languages without a reference are judged by the
+    language of COMMON, so its broadcast is bounded. The word distance may be max_word of that which a text without common
+    words has from the reference, so the cut follows the reference's share of common words. Shorter texts and languages without a reference are judged by the
     base rules alone. Null and empty texts have no words and fail them. Repeated rows are judged alike, null
     doc_ids stay null, other columns are not read, and an empty table gives an empty one.
     """
@@ -145,9 +147,12 @@ def judged(docs: DataFrame, min_words: int = MIN_WORDS, max_class: float = MAX_C
     got = checkpointed(with_features(docs)).withColumn("base_failed", failed)
     sums = [F.array(*(F.sum(F.col(c)[i].cast("double")) for i in range(n))).alias(f"{c}_ref") for c, n in (("classes", CLASSES), ("common", BINS))]
     refs = got.where(~F.col("base_failed") & (F.col("n_words") >= min_words)).groupBy("language").agg(*sums)
+    bare = distance(F.array(*map(F.lit, [0.0] * (BINS - 1) + [1.0])), F.col("common_ref"))
+    share = 1 - F.col("common_ref")[BINS - 1] / F.nullif(F.aggregate("common_ref", F.lit(0.0), lambda s, v: s + v), F.lit(0.0))
+    refs = refs.withColumns({"bare_distance": bare, "common_share": share})
     both = got.join(F.broadcast(refs), "language", "left")
     far = [distance(F.col(c).cast("array<double>"), F.col(f"{c}_ref")) for c in ("classes", "common")]
     both = both.withColumns({"class_distance": far[0], "word_distance": far[1]})
-    near = F.coalesce(F.col("class_distance") <= max_class, F.lit(True)) & F.coalesce(F.col("word_distance") <= max_word, F.lit(True))
+    near = F.coalesce(F.col("class_distance") <= max_class, F.lit(True)) & F.coalesce((F.col("word_distance") <= max_word * F.col("bare_distance")) | (F.col("n_words") * F.col("common_share") < EXPECTED), F.lit(True))
     kept = ~F.col("base_failed") & ((F.col("n_words") < min_words) | near)
     return both.select("doc_id", *COUNTS, "base_failed", kept.alias("kept"), "class_distance", "word_distance", "language")

@@ -126,3 +126,17 @@ def test_distances_reject_shouting_and_keep_prose(spark):
 
     own = spark.range(1).select(quality_rules.distance(F.array(*map(F.lit, (3.0, 5.0, 2.0))), F.array(*map(F.lit, (1.0, 1.0, 8.0))))).first()[0]
     assert abs(own - plain) < 1e-12
+
+
+def test_only_the_common_words_reject(spark):
+    rng = random.Random(8)
+    common = quality_rules.COMMON["en"]
+    rare = [f"{a}{b}{c}" for a in ("lor", "men", "tas", "vel") for b in ("ami", "one", "ura") for c in ("dal", "ket", "sin")]
+    text = lambda n, part: " ".join(rng.choice(common) if rng.random() < part else rng.choice(rare) for _ in range(n))
+    rows = [(i, text(200, 0.25), "en", "a", None) for i in range(80)] + [(100, text(200, 0), "en", "a", None), (101, text(60, 0), "en", "a", None), (102, text(20, 0), "en", "a", None)]
+    got = {r["doc_id"]: r for r in quality_rules.judged(spark.createDataFrame(rows, H.DOCS)).collect()}
+    assert all(got[i]["kept"] for i in range(80)) and got[102]["kept"]
+    for i in (100, 101):
+        assert not got[i]["base_failed"] and got[i]["class_distance"] <= quality_rules.MAX_CLASS_DISTANCE and got[i]["kept"] is False
+    seldom = [(i, text(200, 0.01), "en", "a", None) for i in range(80)]  # the lack of what is seldom tells nothing
+    assert all(r["kept"] for r in quality_rules.judged(spark.createDataFrame(seldom, H.DOCS)).collect())
