@@ -27,7 +27,7 @@ PATTERNS = {
     "github": re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
     "npm": re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
     "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+"),
-    "key_block": re.compile(r"-----BEGIN ([A-Z]+ )?PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1?PRIVATE KEY-----"),
+    "key_block": re.compile(r"-----BEGIN ([A-Z]+ )?PRIVATE KEY-----\s*+((?:[A-Za-z][A-Za-z0-9-]*+:[^\r\n]*+\r?\n)*+)([A-Za-z0-9+/=\s]+)-----END \1?PRIVATE KEY-----"),
 }
 #: Runs of hex digits have no keyword; this pattern is anchored by its own character class.
 HEX = re.compile(r"[0-9a-f]{16,}")
@@ -60,11 +60,14 @@ def web_token(m: re.Match) -> bool:
 
 
 def key_block(m: re.Match) -> bool:
-    """The body is base64 of a DER sequence."""
+    """The body is base64 of a DER sequence or an OpenSSH key, or of whole cipher blocks if a header line says so."""
     try:
-        return base64.b64decode("".join(m[2].split()), validate=True)[:1] == b"\x30"
+        body = base64.b64decode("".join(m[3].split()), validate=True)
     except (ValueError, binascii.Error):
         return False
+    if re.search(r"^Proc-Type:.*\bENCRYPTED\b", m[2], re.M):
+        return len(body) > 0 and len(body) % 8 == 0
+    return body.startswith((b"\x30", b"openssh-key-v1\0"))
 
 
 VALID = {

@@ -140,3 +140,16 @@ def test_only_the_common_words_reject(spark):
         assert not got[i]["base_failed"] and got[i]["class_distance"] <= quality_rules.MAX_CLASS_DISTANCE and got[i]["kept"] is False
     seldom = [(i, text(200, 0.01), "en", "a", None) for i in range(80)]  # the lack of what is seldom tells nothing
     assert all(r["kept"] for r in quality_rules.judged(spark.createDataFrame(seldom, H.DOCS)).collect())
+
+
+def test_key_blocks_of_all_forms():
+    b64 = lambda x: "\n".join(re.findall(".{1,64}", base64.b64encode(x).decode()))
+    block = lambda kind, body, head="": f"-----BEGIN {kind}PRIVATE KEY-----\n{head}{body}\n-----END {kind}PRIVATE KEY-----"
+    sealed = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    der, ssh, cipher = b64(b"\x30\x82" + bytes(90)), b64(b"openssh-key-v1\0" + bytes(90)), b64(b"\x91" * 96)
+    of = lambda text: [text[a:b] for a, b, k in secrets.Scanner()(text.encode()) if k == "key_block"]
+    good = [block("OPENSSH ", ssh), block("RSA ", cipher, sealed), block("RSA ", cipher, sealed).replace("\n", "\r\n"), block("EC ", der, "Comment: mine\n\n"), block("", der)]
+    for text in good:
+        assert of(f"x {text} y") == [text]
+    for text in (block("OPENSSH ", b64(b"openssh-key-v2\0" + bytes(90))), block("RSA ", cipher), block("RSA ", b64(bytes(91)), sealed), block("RSA ", "", sealed), block("RSA ", cipher, "Comment: mine\n\n")):
+        assert of(text) == []
