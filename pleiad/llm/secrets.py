@@ -26,9 +26,15 @@ PATTERNS = {
     "access": re.compile(r"AKIA[A-Z0-9]+"),
     "github": re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
     "npm": re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
-    "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+"),
-    "key_block": re.compile(r"-----BEGIN ([A-Z]+ )?PRIVATE KEY-----\s*+((?:[A-Za-z][A-Za-z0-9-]*+:[^\r\n]*+\r?\n)*+)([A-Za-z0-9+/=\s]+)-----END \1?PRIVATE KEY-----"),
+    "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]++)\.(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_-]++"),
 }
+#: A run of a web token's characters: what a failed match at one of its places says holds for all of them.
+RUN = re.compile(r"[A-Za-z0-9_-]*+")
+#: A key block by its parts, so that lines which many beginnings share are read once.
+BEGIN = re.compile(r"-----BEGIN ([A-Z]++ )?PRIVATE KEY-----\s*+")
+HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*+:[^\r\n]*+\r?\n")
+HEADERS = re.compile(rf"(?:{HEADER.pattern})*+")
+BODY = re.compile(r"([A-Za-z0-9+/=\s]++)-----END ([A-Z]++ )?PRIVATE KEY-----")
 #: Runs of hex digits have no keyword; this pattern is anchored by its own character class.
 HEX = re.compile(r"[0-9a-f]{16,}")
 KEYWORDS = {
@@ -59,24 +65,50 @@ def web_token(m: re.Match) -> bool:
     return all(isinstance(p, dict) for p in parts) and "alg" in parts[0]
 
 
-def key_block(m: re.Match) -> bool:
+def key_body(headers: str, packed: str) -> bool:
     """The body is base64 of a DER sequence or an OpenSSH key, or of whole cipher blocks if a header line says so."""
     try:
-        body = base64.b64decode("".join(m[3].split()), validate=True)
+        body = base64.b64decode("".join(packed.split()), validate=True)
     except (ValueError, binascii.Error):
         return False
-    if re.search(r"^Proc-Type:.*\bENCRYPTED\b", m[2], re.M):
+    if re.search(r"^Proc-Type:.*\bENCRYPTED\b", headers, re.M):
         return len(body) > 0 and len(body) % 8 == 0
     return body.startswith((b"\x30", b"openssh-key-v1\0"))
 
 
+class Blocks:
+    """Key blocks of one text; header lines and bodies that several beginnings lead to are read once."""
+
+    def __init__(self, text: str):
+        self.text, self.lines, self.bodies = text, (0, 0), {}
+
+    def headers_end(self, at: int) -> int:
+        a, b = self.lines
+        if a <= at < b:  # behind its own line this run of header lines goes on as the one read before
+            return b if HEADER.match(self.text, at) else at
+        self.lines = at, HEADERS.match(self.text, at).end()
+        return self.lines[1]
+
+    def match(self, start: int) -> tuple[int, bool] | None:
+        """(end, whether the body is one of a key) of the block that begins here."""
+        begin = BEGIN.match(self.text, start)
+        if begin is None:
+            return None
+        at = self.headers_end(begin.end())
+        if at not in self.bodies:
+            self.bodies[at] = BODY.match(self.text, at)
+        body = self.bodies[at]
+        if body is None or body[2] not in (None, begin[1]):
+            return None
+        return body.end(), key_body(self.text[begin.end() : at], body[1])
+
+
 VALID = {
     "assign": lambda m: len(m[2]) >= 12,
     "access": lambda m: len(m[0]) >= 18,
     "github": checksummed,
     "npm": checksummed,
     "jwt": web_token,
-    "key_block": key_block,
 }
 
 
@@ -93,13 +125,20 @@ class Scanner:
     def __call__(self, raw: bytes) -> list[tuple[int, int, str]]:
         """(start, end, kind) in code points, by start and then by kind as listed; leftmost, without overlap within a kind."""
         text = raw.decode()
-        found, past = [], dict.fromkeys(KINDS, 0)
+        found, past, blocks = [], dict.fromkeys(KINDS, 0), Blocks(text)
         near = sorted((end - n + 1, kind) for end, (n, kind) in self.hits.iter(raw.lower().decode()))  # lower() of bytes: A-Z alone
         for start, kind in near:
-            if start >= past[kind] and (m := PATTERNS[kind].match(text, start)):
-                past[kind] = m.end()  # one that fails below takes its characters too
-                if VALID[kind](m):
-                    found.append((start, m.end(), kind))
+            if start < past[kind]:
+                continue
+            if kind == "key_block":
+                end, holds = blocks.match(start) or (start, False)
+            elif m := PATTERNS[kind].match(text, start):
+                end, holds = m.end(), VALID[kind](m)
+            else:
+                end, holds = RUN.match(text, start).end() if kind == "jwt" else start, False
+            past[kind] = end  # what matches and fails its check takes its characters too
+            if holds:
+                found.append((start, end, kind))
         found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
         return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
@@ -112,7 +151,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """doc_id and spans (array of start, end, kind), a row for each row of docs.
 
     Null, empty and clean texts have no spans; repeated rows are scanned again, null doc_ids stay null, other
-    columns are not read, and an empty table gives an empty one. Work and memory follow the text's length.
+    columns are not read, and an empty table gives an empty one. Spans of one start come by kind as KINDS lists them.
+    Work and memory follow the text's length, however long: a run or header lines that failed once are not read again.
     """
     small_batches(docs.sparkSession)
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("kind", T.StringType())])
