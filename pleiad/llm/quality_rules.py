@@ -88,13 +88,15 @@ def features(text: bytes, lang: str | None) -> tuple:
             seen.add(line)
     points = int(by.sum() - by[0x80:0xC0].sum())
     lower = text.translate(LOWER, b".,;:!?").split()
-    of = {k: [0] * BINS for k in ([lang] if lang in COMMON else COMMON)}
+    of = {k: [0] * BINS for k in (COMMON if lang is None else [lang] if lang in COMMON else [])}
     for k, bins in of.items():
         place = PLACES[k]
         at = np.bincount(np.fromiter((place.get(w, BINS - 1) for w in lower), np.int64, len(lower)), minlength=BINS)
         of[k] = at.tolist()
-    best = min(of, key=lambda k: of[k][-1])
-    return len(words), points - int(by[list(WHITE)].sum()), int(by[list(SYMBOLS)].sum()), twice, repeated_words(words), best, np.bincount(COUNTED, weights=by, minlength=CLASSES + 1)[:CLASSES].astype(np.int64).tolist(), of[best]
+    best = min(of, key=lambda k: of[k][-1], default=lang)
+    if lang is None and of[best][-1] == len(lower):
+        best = None
+    return len(words), points - int(by[list(WHITE)].sum()), int(by[list(SYMBOLS)].sum()), twice, repeated_words(words), best, np.bincount(COUNTED, weights=by, minlength=CLASSES + 1)[:CLASSES].astype(np.int64).tolist(), of.get(best)
 
 
 PLACES = {k: {w.encode(): i for i, w in enumerate(v)} for k, v in COMMON.items()}
@@ -130,23 +132,26 @@ def distance(own: Column, ref: Column) -> Column:
         return F.transform(x, lambda v: v / F.nullif(total(x), F.lit(0.0)))
 
     terms = F.zip_with(shares(own), shares(ref), lambda p, q: part(p, q) + part(q, p))
-    return F.sqrt(F.greatest(F.lit(0.0), 0.5 * total(terms)))
+    square = 0.5 * total(terms)
+    return F.when(square > 0, F.sqrt(square)).when(square.isNotNull(), 0.0)
 
 
 def judged(docs: DataFrame, min_words: int = MIN_WORDS, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_PART) -> DataFrame:
     """doc_id, the counts, base_failed, kept, class_distance, word_distance, language: a row for each row of docs.
 
-    The language is lang where COMMON has it, else the one whose common words are most frequent in the text. Its
-    reference sums the histograms of all its texts of min_words or more that the base rules pass: one row for each
-    language of COMMON, so its broadcast is bounded. The word distance may be max_word of that which a text without common
+    The language is lang; where that is null it is the one of COMMON whose common words are most frequent in the text,
+    the first listed of equal ones, and none if the text has no such word. Its reference sums the histograms of all
+    its texts of min_words or more that the base rules pass: one row for each language of COMMON, so its broadcast is
+    bounded. The word distance may be max_word of that which a text without common
     words has from the reference, so the cut follows the reference's share of common words. Shorter texts and languages without a reference are judged by the
-    base rules alone. Null and empty texts have no words and fail them. Repeated rows are judged alike, null
-    doc_ids stay null, other columns are not read, and an empty table gives an empty one.
+    base rules alone. Null and empty texts have no words and fail them; texts are counted whole, however long.
+    Repeated rows are judged alike, null doc_ids stay null, other columns are not read, and an empty table gives
+    an empty one. A distance that equals its limit passes.
     """
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     got = checkpointed(with_features(docs)).withColumn("base_failed", failed)
     sums = [F.array(*(F.sum(F.col(c)[i].cast("double")) for i in range(n))).alias(f"{c}_ref") for c, n in (("classes", CLASSES), ("common", BINS))]
-    refs = got.where(~F.col("base_failed") & (F.col("n_words") >= min_words)).groupBy("language").agg(*sums)
+    refs = got.where(F.col("language").isin(*COMMON) & ~F.col("base_failed") & (F.col("n_words") >= min_words)).groupBy("language").agg(*sums)
     bare = distance(F.array(*map(F.lit, [0.0] * (BINS - 1) + [1.0])), F.col("common_ref"))
     share = 1 - F.col("common_ref")[BINS - 1] / F.nullif(F.aggregate("common_ref", F.lit(0.0), lambda s, v: s + v), F.lit(0.0))
     refs = refs.withColumns({"bare_distance": bare, "common_share": share})

@@ -142,6 +142,70 @@ def test_only_the_common_words_reject(spark):
     assert all(r["kept"] for r in quality_rules.judged(spark.createDataFrame(seldom, H.DOCS)).collect())
 
 
+def plain_distance(own: list, ref: list) -> float | None:
+    if not sum(own) or not sum(ref):
+        return None
+    p, q = np.array(own) / sum(own), np.array(ref) / sum(ref)
+    parts = [sum(x * np.log2(2 * x / (x + y)) for x, y in both if x > 0) for both in (list(zip(p, q)), list(zip(q, p)))]
+    return float(np.sqrt(max(0, sum(parts) / 2)))
+
+
+def plain_kept(rows: list) -> list:
+    """Every step of the verdict over again, from the letters of the text on."""
+    classes = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", None, "0123456789", " \t", "\n\r\x0b\x0c", ".,;:?!'\"()-"]
+    told = []
+    for doc, text, lang, *_ in rows:
+        text = text or ""
+        n_words, failed = plain_counts(text)[0], plain_counts(text)[5]
+        of_class = [0] * 8
+        for c in text:
+            of_class[2 if ord(c) >= 128 else next((i for i, x in enumerate(classes) if x and c in x), 7)] += 1
+        lower = H.WORD.findall(text.translate(H.LOWER).translate({ord(c): None for c in ".,;:!?"}))
+        bins = {k: [sum(w == v for w in lower) for v in words] for k, words in quality_rules.COMMON.items()}
+        if lang is None:
+            best = max(bins, key=lambda k: sum(bins[k]))
+            lang = best if sum(bins[best]) else None
+        common = [*bins[lang], len(lower) - sum(bins[lang])] if lang in bins else None
+        told.append((doc, lang, n_words, failed, of_class, common))
+    refs: dict = {}
+    for _, lang, n_words, failed, of_class, common in told:
+        if common and not failed and n_words >= quality_rules.MIN_WORDS:
+            a, b = refs.setdefault(lang, (np.zeros(8), np.zeros(21)))
+            a += of_class
+            b += common
+    out = []
+    for doc, lang, n_words, failed, of_class, common in told:
+        kept = not failed
+        if kept and n_words >= quality_rules.MIN_WORDS and lang in refs:
+            a, b = (list(x) for x in refs[lang])
+            far, word = plain_distance(of_class, a), plain_distance(common, b)
+            bare, share = plain_distance([0] * 20 + [1], b), 1 - b[-1] / sum(b)
+            kept = far <= quality_rules.MAX_CLASS_DISTANCE and (word is None or word <= quality_rules.MAX_WORD_PART * bare or n_words * share < quality_rules.EXPECTED)
+        out.append((doc, kept))
+    return out
+
+
+def test_verdicts_equal_plain_version(spark):
+    rng = random.Random(14)
+
+    def text(lang: str, n: int, part: float) -> str:
+        return " ".join(rng.choice(quality_rules.COMMON[lang]) if rng.random() < part else H.prose(rng, 1) for _ in range(n))
+
+    rows = [(1000 + i, text(lang, rng.randint(8, 120), rng.choice([0, 0.05, 0.3, 0.3, 0.3])), lang if rng.random() < 0.8 else None, "a", None) for i, lang in enumerate(["en", "de", "fr", "es"] * 60)]
+    rows += [(1500 + i, "".join(rng.choice("ABC 123 !?# \nzé") for _ in range(400)), rng.choice(["en", "pl", None]), "a", None) for i in range(40)]
+    rows += [(1600, text("en", 80, 0), "pl", "a", None), (1601, "\u65e5\u672c " * 60, "ja", "a", None), (1602, H.prose(rng, 90), None, "a", None), *H.awkward_rows()]
+    got = [(r["doc_id"], r["kept"]) for r in quality_rules.judged(spark.createDataFrame(rows, H.DOCS)).select("doc_id", "kept").collect()]
+    assert sorted(got, key=str) == sorted(plain_kept(rows), key=str)
+    assert len({k for _, k in got}) == 2
+
+
+def test_a_language_without_a_reference_is_judged_by_the_base_rules():
+    polish = ("zażółć gęślą jaźń " * 20).encode()
+    assert quality_rules.features(polish, "pl")[5] == "pl" and quality_rules.features(polish, "pl")[7] is None
+    assert quality_rules.features(polish, None)[5] is None
+    assert quality_rules.features(b"der Hund und die Katze", None)[5] == "de"
+
+
 def test_key_blocks_of_all_forms():
     b64 = lambda x: "\n".join(re.findall(".{1,64}", base64.b64encode(x).decode()))
     block = lambda kind, body, head="": f"-----BEGIN {kind}PRIVATE KEY-----\n{head}{body}\n-----END {kind}PRIVATE KEY-----"
@@ -153,3 +217,43 @@ def test_key_blocks_of_all_forms():
         assert of(f"x {text} y") == [text]
     for text in (block("OPENSSH ", b64(b"openssh-key-v2\0" + bytes(90))), block("RSA ", cipher), block("RSA ", b64(bytes(91)), sealed), block("RSA ", "", sealed), block("RSA ", cipher, "Comment: mine\n\n")):
         assert of(text) == []
+
+
+#: The method's rules in one piece each, for texts short enough to be searched from every place.
+METHOD = {
+    "github": re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
+    "npm": re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
+    "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+"),
+    "key_block": re.compile(r"-----BEGIN ([A-Z]+ )?PRIVATE KEY-----\s*+((?:[A-Za-z][A-Za-z0-9-]*+:[^\r\n]*+\r?\n)*+)([A-Za-z0-9+/=\s]+)-----END \1?PRIVATE KEY-----"),
+}
+
+
+def plain_method(text: str) -> list[tuple[int, int, str]]:
+    holds = {"github": secrets.checksummed, "npm": secrets.checksummed, "jwt": secrets.web_token, "key_block": lambda m: secrets.key_body(m[2], m[3])}
+    return sorted((m.start(), m.end(), k) for k, rule in METHOD.items() for m in rule.finditer(text) if holds[k](m))
+
+
+def part(x) -> str:
+    return base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+
+
+FORTY = checksummed("", "a1" * 15)
+TOKENS = ["ghp_", "ghs_", "npm_", FORTY, FORTY[:-1] + "~", part({"alg": "HS256"}), part({"sub": 1}), "eyJ", ".", ".", "c2ln", "é", " ", "\n", "-----BEGIN PRIVATE KEY-----", "-----BEGIN RSA PRIVATE KEY-----", "-----END PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED\n", "A: b\r\n", base64.b64encode(b"\x30" + bytes(14)).decode(), "AAAAAAAAAAA="]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(TOKENS), max_size=16))
+def test_the_method_finds_what_its_rules_find_anywhere(pieces):
+    text = "".join(pieces)
+    assert [s for s in secrets.Scanner()(text.encode()) if s[2] in METHOD] == plain_method(text)
+
+
+def test_time_follows_the_length(spark):
+    import time
+
+    scan = secrets.Scanner()
+    worst = ["eyJ", "eyJa.", "-----BEGIN PRIVATE KEY-----\nA:", "password ", "gh" + "p_" * 9, "AKIA", "token:", "-----BEGIN RSA PRIVATE KEY-----\n", "a" * 15 + " ", "npm_npm_"]
+    for piece in worst:
+        began = time.process_time()
+        scan((piece * (1_000_000 // len(piece))).encode())
+        assert time.process_time() - began < 5, piece
