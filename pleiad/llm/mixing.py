@@ -95,22 +95,32 @@ def solve(sources: DataFrame, entropy: float, max_epochs: float, budget: float |
     return Mixture(x, z, spent(x, z), total)
 
 
-def mixed(docs: DataFrame, entropy: float = ENTROPY, max_epochs: float = MAX_EPOCHS, budget: float | None = None) -> DataFrame:
-    """docs' rows as often as the mixture takes them, with their columns, mix_tokens, mix_weight, mix_epoch, mix_key.
+#: Columns that mixed() adds.
+ADDED = ("mix_tokens", "mix_weight", "mix_epoch", "mix_key")
 
-    mix_key (0 to 1) orders all rows into the mixture: at any point of that order the sources have had their weights'
-    part of the tokens, to a block. A pass that the budget ends within takes the first blocks of its permutation, and
-    of the block cut through, documents in order of a hash while they fit. Without a budget every document is taken
-    at least once and none more than max_epochs rounded up.
 
-    Null and empty texts are one token; null sources are a source of their own; documents are told apart by doc_id
-    and text, so repeated rows share their fate, as null doc_ids with equal texts do. Columns of docs with an
-    added one's name give way to it. An empty table gives an empty one. Blocks of a source hold about
-    BLOCK_TOKENS, so a hot source is many groups; no window is wider than a source's block list.
+def _before(rows: DataFrame, keys: list[str], cells: Column, turn: Column, value: str) -> DataFrame:
+    """rows with before: the sum of value of the rows before it in its keys' permutation, by cells and turns.
+
+    Two levels of prefix sums: over the sums of cells, and within a cell. With as many cells as the square root of a
+    group's rows no window is wider than about that. Null keys are keys like any other.
     """
-    names = [c for c in docs.columns if not c.startswith("mix_")]
+    placed = rows.withColumn("turn", turn).withColumn("cell", F.pmod(F.shiftrightunsigned("turn", 20), cells))
+    whole = placed.groupBy(*keys, "cell").agg(F.sum(value).alias("whole"))
+    earlier = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    whole = whole.select(*(F.col(k).alias(f"of_{k}") for k in keys), F.col("cell").alias("of_cell"), F.coalesce(F.sum("whole").over(earlier), F.lit(0)).alias("ahead"))
+    within = Window.partitionBy(*keys, "cell").orderBy("turn", "mix_block").rowsBetween(Window.unboundedPreceding, -1)
+    own = placed.withColumn("behind", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    same = F.col("cell") == F.col("of_cell")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
+    return own.join(whole, same).withColumn("before", F.col("ahead") + F.col("behind")).drop("turn", "cell", "behind", "ahead", "of_cell", *(f"of_{k}" for k in keys))
+
+
+def _taken(docs: DataFrame, entropy: float, max_epochs: float, budget: float | None) -> DataFrame:
+    """mix_row (a row of docs as one struct, so that no name clashes) and the added columns."""
     hashed = F.xxhash64(F.lit(SEED), "doc_id", "text")
-    sized = docs.select(F.struct(*names).alias("mix_row"), "source", tokens_of(F.col("text")).alias("mix_tokens"), hashed.alias("mix_hash"))
+    sized = docs.select(F.struct("*").alias("mix_row"), "source", tokens_of(F.col("text")).alias("mix_tokens"), hashed.alias("mix_hash"))
     light = checkpointed(sized.select("source", "mix_tokens", "mix_hash"))
     sources = checkpointed(light.groupBy("source").agg(F.sum("mix_tokens").alias("t")))
     m = solve(sources, entropy, max_epochs, budget)
@@ -122,12 +132,12 @@ def mixed(docs: DataFrame, entropy: float = ENTROPY, max_epochs: float = MAX_EPO
         g = goals.withColumnRenamed("source", "mix_source")
         return rows.join(g, F.col("source").eqNullSafe(F.col("mix_source"))).withColumn("mix_block", F.pmod(F.col("mix_hash"), F.col("blocks")))
 
-    blocks = blocked(light).groupBy("source", "mix_block", "t", "mix_weight", "goal").agg(F.sum("mix_tokens").alias("own"))
+    blocks = blocked(light).groupBy("source", "mix_block", "t", "mix_weight", "goal", "blocks").agg(F.sum("mix_tokens").alias("own"))
     passes = blocks.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.ceil(F.col("goal") / F.col("t") - 1e-9) - 1).cast("long"))))
     turn = F.xxhash64(F.lit(SEED), "source", "mix_epoch", "mix_block")
-    before = Window.partitionBy("source", "mix_epoch").orderBy(turn, "mix_block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = _before(passes, ["source", "mix_epoch"], F.ceil(F.sqrt("blocks")), turn, "own").withColumnRenamed("before", "start")
     left = F.col("goal") - F.col("mix_epoch") * F.col("t") + F.lit(1e-6) * F.col("t")
-    plan = passes.withColumns({"start": F.coalesce(F.sum("own").over(before), F.lit(0)), "left": left}).where("start < left")
+    plan = placed.withColumn("left", left).where("start < left")
     plan = checkpointed(plan.withColumns({"cut": F.col("start") + F.col("own") > F.col("left"), "mix_key": (F.col("mix_epoch") * F.col("t") + F.col("start")) / F.col("goal"), "mix_span": F.col("own") / F.col("goal")}))
 
     # documents of the blocks that a budget cuts through: at most one block a source
@@ -138,13 +148,37 @@ def mixed(docs: DataFrame, entropy: float = ENTROPY, max_epochs: float = MAX_EPO
     last = within.withColumn("filled", filled).where("start + filled <= left").groupBy("source", "mix_block", "mix_epoch").agg(F.max("o").alias("last"))
     named = [F.col(c).alias(f"mix_{c}") if not c.startswith("mix_") else F.col(c) for c in ("source", "mix_block", "mix_epoch", "cut", "mix_key", "mix_span", "last")]
     last = last.select(F.col("source").alias("s"), F.col("mix_block").alias("b"), F.col("mix_epoch").alias("e"), "last")
-    plan = plan.join(last, F.col("source").eqNullSafe(F.col("s")) & (F.col("mix_block") == F.col("b")) & (F.col("mix_epoch") == F.col("e")), "left").select(*named)
+    plan = plan.join(last, F.col("source").eqNullSafe(F.col("s")) & (F.col("mix_block") == F.col("b")) & (F.col("mix_epoch") == F.col("e")), "left").select("mix_weight", *named)
 
-    p = plan.withColumnsRenamed({"mix_source": "plan_source", "mix_block": "plan_block"})
+    p = plan.withColumnsRenamed({"mix_source": "plan_source", "mix_block": "plan_block", "mix_weight": "plan_weight"})
     taken = blocked(sized).join(p, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("mix_block") == F.col("plan_block")))
     taken = taken.where(~F.col("mix_cut") | (order <= F.col("mix_last")))
     place = F.shiftrightunsigned(order, 11) / float(1 << 53)  # of a document in its block
-    return taken.select("mix_row.*", "mix_tokens", "mix_weight", "mix_epoch", F.least(F.lit(1.0), F.col("mix_key") + F.col("mix_span") * place).alias("mix_key"))
+    return taken.select("mix_row", "mix_tokens", "mix_weight", "mix_epoch", F.least(F.lit(1.0), F.col("mix_key") + F.col("mix_span") * place).alias("mix_key"))
+
+
+def mixed(docs: DataFrame, entropy: float = ENTROPY, max_epochs: float = MAX_EPOCHS, budget: float | None = None) -> DataFrame:
+    """docs' rows as often as the mixture takes them, with their columns, mix_tokens, mix_weight, mix_epoch, mix_key.
+
+    mix_key (0 to 1) orders all rows into the mixture: at any point of that order the sources have had their weights'
+    part of the tokens, to a block. A pass that the budget ends within takes the first blocks of its permutation, and
+    of the block cut through, documents in order of a hash while they fit. Without a budget every document is taken
+    at least once and none more than max_epochs rounded up.
+
+    Null and empty texts are one token, a very long one is as many as it has and never cut; null sources are a source
+    of their own; documents are told apart by doc_id and text, so repeated rows share their fate, as null doc_ids
+    with equal texts do. Blocks that tie in their turn come by number. Columns of docs named as one of ADDED give way
+    to it, all others stay. An empty table gives an empty one. Blocks of a source hold about BLOCK_TOKENS, so a hot
+    source is many groups, and their order's sums are taken in two levels: of a source of b blocks no window holds
+    more than about the square root of b (12,400 for 10^13 tokens), nor one of documents more than a block's.
+    """
+    names = [F.col(f"mix_row.`{c}`") for c in docs.columns if c not in ADDED]
+    return _taken(docs, entropy, max_epochs, budget).select(*names, *ADDED)
+
+
+def repeated(docs: DataFrame, entropy: float = ENTROPY, max_epochs: float = MAX_EPOCHS, budget: float | None = None) -> DataFrame:
+    """The rows of mixed() with the columns of docs alone, whatever their names."""
+    return _taken(docs, entropy, max_epochs, budget).select("mix_row.*")
 
 
 def mixing_digest(docs: DataFrame) -> DataFrame:

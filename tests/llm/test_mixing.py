@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+from itertools import groupby
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,9 +64,12 @@ def test_a_budget_below_the_corpus(spark, monkeypatch):
 
 
 def test_awkward_rows_and_empty_table(spark):
-    docs = H.clashing(spark, "mix_key", "t", "goal", "blocks", "weight")
+    docs = H.clashing(spark, "mix_key", "t", "goal", "blocks", "weight", "mix_ratio", "mix_row", "mix_hash", "mix_block", "turn", "start", "a.b")
     got = mixing.mixed(docs)
     assert got.columns == [c for c in docs.columns if c != "mix_key"] + ["mix_tokens", "mix_weight", "mix_epoch", "mix_key"]
+    assert got.select("mix_ratio", "mix_row", "mix_hash", "mix_block", "turn", "start", "`a.b`").distinct().collect() == [("mine",) * 7]
+    again = mixing.repeated(docs)
+    assert again.schema == docs.schema and again.select("mix_key").distinct().collect() == [("mine",)] and again.count() == got.count()
     once = got.where("mix_epoch = 0").select("doc_id", "text", "source").collect()
     assert sorted(map(str, once)) == sorted(map(str, docs.select("doc_id", "text", "source").collect()))
     assert mixing.mixing_digest(H.none(spark)).collect() == []
@@ -74,3 +78,78 @@ def test_awkward_rows_and_empty_table(spark):
 def test_main_path_has_no_python(spark):
     plan = mixing.mixing_digest(H.awkward(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def xxh(*values) -> int:
+    """The session's hash of a row: each value's XXH64 is the seed of the next one's, nulls aside."""
+    import xxhash
+
+    h = 42
+    for kind, v in values:
+        if v is not None:
+            raw = v.encode() if kind == "s" else int(v).to_bytes(4 if kind == "i" else 8, "little", signed=True)
+            h = xxhash.xxh64_intdigest(raw, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def plain_mixture(rows: list, entropy: float, max_epochs: float, budget: float | None, block: int) -> list:
+    """(doc_id, source, epoch, weight) of the mixture, by lists alone; the exponent by plain bisection."""
+    size = {i: len(H.words(r[1])) + 1 for i, r in enumerate(rows)}
+    total: dict = {}
+    for i, r in enumerate(rows):
+        total[r[3]] = total.get(r[3], 0) + size[i]
+    n = sum(total.values())
+    share = {s: t / n for s, t in total.items()}
+
+    def weights(x: float) -> dict:
+        z = sum(p**x for p in share.values())
+        return {s: p**x / z for s, p in share.items()}
+
+    def tokens(x: float) -> float:
+        return budget if budget is not None else max(total[s] / w for s, w in weights(x).items())
+
+    def bisected(holds) -> float:
+        if not holds(0.0):
+            return 0.0
+        if holds(1.0):
+            return 1.0
+        a, b = 0.0, 1.0
+        for _ in range(60):
+            a, b = ((a + b) / 2, b) if holds((a + b) / 2) else (a, (a + b) / 2)
+        return a
+
+    even = bisected(lambda x: -sum(w * math.log(w) for w in weights(x).values()) >= entropy * math.log(len(share)))
+    floor = bisected(lambda x: max(w * tokens(x) / total[s] for s, w in weights(x).items()) > max_epochs * (1 + 1e-12))
+    x = max(even, floor)
+    out = []
+    for s, w in weights(x).items():
+        goal, blocks = w * tokens(x), -(-total[s] // block)
+        hashes = {i: xxh(("i", mixing.SEED), ("l", r[0]), ("s", r[1])) for i, r in enumerate(rows) if r[3] == s}
+        cells = math.ceil(math.sqrt(blocks))
+        for epoch in range(max(1, math.ceil(goal / total[s] - 1e-9))):
+            def place(b: int) -> tuple:
+                turn = xxh(("i", mixing.SEED), ("s", s), ("l", epoch), ("l", b))
+                return (turn % (1 << 64) >> 20) % cells, turn, b
+
+            left = goal - epoch * total[s] + 1e-6 * total[s]
+            for b in sorted({h % blocks for h in hashes.values()}, key=place):
+                own = sorted((xxh(("i", mixing.SEED), ("l", epoch), ("l", h)), i) for i, h in hashes.items() if h % blocks == b)
+                for _, same in groupby(own, key=lambda o: o[0]):
+                    same = [i for _, i in same]
+                    left -= sum(size[i] for i in same)
+                    if left < 0:
+                        break
+                    out += [(rows[i][0], s, epoch, w) for i in same]
+                if left < 0:
+                    break
+    return out
+
+
+@pytest.mark.parametrize("entropy,max_epochs,budget,block", [(0.9, 2.0, None, 150), (0.9, 3.5, None, 90), (0.5, 50.0, 9000.0, 200), (1.0, 4.0, 2500.0, 60)])
+def test_the_mixture_equals_a_plain_one(spark, monkeypatch, entropy, max_epochs, budget, block):
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", block)
+    docs, rows = corpus(spark, {"big": 260, "mid": 60, "low": 25, None: 20})
+    got = mixing.mixed(docs, entropy, max_epochs, budget).select("doc_id", "source", "mix_epoch", "mix_weight").collect()
+    plain = plain_mixture(rows, entropy, max_epochs, budget, block)
+    assert sorted((str(r[1]), r[2], r[0]) for r in got) == sorted((str(r[1]), r[2], r[0]) for r in plain)
+    assert {str(r[1]): r[3] for r in got} == pytest.approx({str(r[1]): r[3] for r in plain}, rel=1e-6)
