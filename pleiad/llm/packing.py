@@ -17,9 +17,7 @@ from .common import small_batches, utf8
 
 CAPACITY = 2048
 #: Windows balanced together, and the tokens left free in each for the differences that remain.
-WINDOWS, SLACK = 96, 10
-#: Document tails are cut into pieces of at most this many tokens before they are balanced.
-PIECE = 160
+WINDOWS, SLACK = 96, 8
 END = 1
 #: Words whose ids a worker remembers, in each of two generations; bytes of text whose new words are learnt at once.
 REMEMBERED, TOGETHER = 600_000, 1 << 20
@@ -138,14 +136,44 @@ def difference(sizes: list[int], ways: int) -> np.ndarray:
     return at[:-1]
 
 
-def balance(sizes: list[int], capacity: int) -> tuple[np.ndarray, int]:
-    """(window of each size, window count): the least count from the total's quotient up that holds every window."""
+def balance(sizes: list[int], capacity: int) -> tuple[list[tuple[int, int, int, int]], int]:
+    """((item, start, length, window) of each piece, window count): items in windows of at most capacity.
+
+    The count is the total's quotient and rises while a window that differencing has filled beyond capacity leaves
+    over what the gaps of the others can't hold. What stands over a window is cut from the end of its largest item
+    (of equal ones the first) and fills the largest gaps, so items that fit are whole and few are cut.
+    """
     ways = max(1, -(-sum(sizes) // capacity))
     while True:
         at = difference(sizes, ways)
-        if np.bincount(at, weights=sizes, minlength=1).max(initial=0) <= capacity:
-            return at, ways
+        over = np.bincount(at, weights=sizes, minlength=ways).astype(np.int64) - capacity
+        if over[over > 0].sum() <= -over[over < 0].sum():
+            break
         ways += 1
+    pieces, loose = [], []
+    keep = np.array(sizes, np.int64)
+    for w in np.flatnonzero(over > 0).tolist():
+        own = np.flatnonzero(at == w)
+        for i in own[np.argsort(-keep[own], kind="stable")].tolist():
+            if over[w] <= 0:
+                break
+            cut = min(int(over[w]), int(keep[i]))  # an item smaller than what stands over goes whole
+            keep[i] -= cut
+            over[w] -= cut
+            loose.append((cut, i))
+    pieces += [(i, 0, n, w) for i, (n, w) in enumerate(zip(keep.tolist(), at.tolist(), strict=True)) if n]
+    gaps = [(int(o), w) for w, o in enumerate(over.tolist()) if o < 0]  # the largest first
+    heapq.heapify(gaps)
+    for n, i in sorted(loose, key=lambda x: (-x[0], x[1])):
+        start = int(keep[i])
+        while n:
+            free, w = heapq.heappop(gaps)
+            k = min(n, -free)
+            pieces.append((i, start, k, w))
+            start, n = start + k, n - k
+            if k < -free:
+                heapq.heappush(gaps, (free + k, w))
+    return pieces, ways
 
 
 class Packer:
@@ -163,7 +191,7 @@ class Packer:
             self.next += 1
             start += self.capacity
         while start < total:
-            n = min(PIECE, total - start, self.full - self.held)
+            n = min(total - start, self.full - self.held)
             self.waiting.append((doc, ids[4 * start : 4 * (start + n)], start, n, total))
             self.held += n
             start += n
@@ -175,13 +203,13 @@ class Packer:
         cut = start if cut is None else cut
         return doc, start, n, zlib.crc32(ids[4 * cut : 4 * (cut + n)]), total, sequence, offset
 
-    def deal(self, pieces: list[tuple]) -> Iterator[tuple]:
-        at, ways = balance([p[3] for p in pieces], self.capacity)
+    def deal(self, tails: list[tuple]) -> Iterator[tuple]:
+        pieces, ways = balance([t[3] for t in tails], self.capacity)
         offsets = [0] * ways
-        at = at.tolist()
-        numbers = {w: self.next + k for k, w in enumerate(sorted(set(at)))}
-        for (doc, ids, start, n, total), w in zip(pieces, at, strict=True):
-            yield self.piece(doc, ids, start, n, total, numbers[w], offsets[w], 0)
+        numbers = {w: self.next + k for k, w in enumerate(sorted({p[3] for p in pieces}))}
+        for i, a, n, w in pieces:
+            doc, ids, start, _, total = tails[i]
+            yield self.piece(doc, ids, start + a, n, total, numbers[w], offsets[w], a)
             offsets[w] += n
         self.next += len(numbers)
 
@@ -215,11 +243,12 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) that cover each document's ids once.
 
     tokenizer: path of a word-level-split BPE file for the tokenizers library, at the same place on each executor.
-    Whole sequences are cut from a document first; tails, in pieces of at most PIECE tokens, are balanced by
-    groups of WINDOWS windows, whose count rises while one exceeds the capacity. Nothing is shuffled: a group is
-    made of neighbours in a partition, sequence_id holds the partition in its high bits, and a lost task gives the
-    same pieces again. Null and empty texts are the end id alone. Repeated rows and null doc_ids are documents
-    of their own. An empty table gives an empty one; other columns of docs are not read.
+    Whole sequences are cut from a document first, so a very long text is many of them and one tail; tails are
+    balanced whole by groups of WINDOWS windows, and only what stands over a window is cut (see balance). Of tails of
+    one length those that come first are placed first. Nothing is shuffled: a group is made of neighbours in a
+    partition, sequence_id holds the partition in its high bits, and a lost task gives the same pieces again. Null
+    and empty texts are the end id alone. Repeated rows and null doc_ids are documents of their own. An empty table
+    gives an empty one; other columns of docs are not read.
     """
     small_batches(docs.sparkSession)
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
