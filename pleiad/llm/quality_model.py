@@ -18,7 +18,7 @@ from .labelled import held_out, sample
 ROWS = 1 << 16
 #: At most this many labelled rows of each grade train the model.
 BOUND = 4000
-EPOCHS, RATE, SEED, RIDGE = 8, 0.3, 11, 1e-5
+EPOCHS, STEP, RATE, SEED, RIDGE = 8, 4, 0.3, 11, 1e-5
 REMEMBERED = 200_000
 #: A word's shape: letters, capitals and digits as a, A and 9; marks stay.
 SHAPE = bytes.maketrans(bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100)) + bytes(range(0x41, 0x5B)) + b"0123456789", b"a" * 154 + b"A" * 26 + b"9" * 10)
@@ -75,38 +75,42 @@ def _cuts(raw: np.ndarray) -> np.ndarray:
     return raw[0] + np.concatenate(([0.0], np.cumsum(np.log1p(np.exp(raw[1:])) + 1e-3)))
 
 
-def train(rows: list[tuple[bytes, int, str | None]], grades: int) -> Model:
-    """Adagrad on the cumulative-link likelihood: all grades share the weights, each cut is its own."""
+def slopes(s: np.ndarray, y: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of minus the log likelihood: its slope by each text's sum s, and by each cut, a row a text."""
+    sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -30, 30)))
+    edges = sigmoid(np.concatenate(([-np.inf], cuts, [np.inf]))[None, :] - s[:, None])
+    edges[:, 0], edges[:, -1] = 0.0, 1.0
+    i = np.arange(len(s))
+    lo, hi = edges[i, y], edges[i, y + 1]
+    p = np.maximum(hi - lo, 1e-9)
+    by_cut = np.zeros((len(s), len(cuts) + 2))
+    by_cut[i, y + 1] -= hi * (1 - hi) / p
+    by_cut[i, y] += lo * (1 - lo) / p
+    return -by_cut.sum(axis=1), by_cut[:, 1:-1]
+
+
+def train(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, grades: int) -> Model:
+    """Adagrad on the cumulative-link likelihood, a few texts a step: all grades share the weights, each cut is its own."""
     w = np.zeros(ROWS)
-    n = np.bincount([r[1] for r in rows], minlength=grades)[:grades] + 0.5
+    n = np.bincount(y, minlength=grades)[:grades] + 0.5
     share = np.cumsum(n)[:-1] / n.sum()
     goal = np.log(share / (1 - share))
-    steps = np.maximum(np.diff(goal), 1e-2)
-    raw = np.concatenate((goal[:1], np.log(np.expm1(steps))))
-    hashed, rng = Hasher(), np.random.default_rng(SEED)
-    x = [hashed(r[0]) for r in rows]
+    raw = np.concatenate((goal[:1], np.log(np.expm1(np.maximum(np.diff(goal), 1e-2)))))
+    rng = np.random.default_rng(SEED)
     g_w, g_c = np.full(ROWS, 1e-2), np.full(len(raw), 1.0)
-    sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -30, 30)))
-    for _ in range(EPOCHS if len(set(r[1] for r in rows)) > 1 else 0):
-        for i in rng.permutation(len(rows)):
-            (at, v), y = x[i], rows[i][1]
-            cuts = _cuts(raw)
-            s = float(w[at] @ v)
-            hi = sigmoid(cuts[y] - s) if y < grades - 1 else 1.0
-            lo = sigmoid(cuts[y - 1] - s) if y else 0.0
-            p = max(hi - lo, 1e-9)
-            d_hi, d_lo = -hi * (1 - hi) / p, lo * (1 - lo) / p  # of minus log p by each cut
-            d_s = -(d_hi + d_lo)
-            d_cuts = np.zeros(grades - 1)
-            if y < grades - 1:
-                d_cuts[y] += d_hi
-            if y:
-                d_cuts[y - 1] += d_lo
-            tail = np.cumsum(d_cuts[::-1])[::-1]
-            d_raw = np.concatenate((tail[:1], tail[1:] * sigmoid(raw[1:])))
-            d_w = d_s * v + RIDGE * w[at]
-            g_w[at] += d_w * d_w
-            w[at] -= RATE * d_w / np.sqrt(g_w[at])
+    for _ in range(EPOCHS if len(set(y.tolist())) > 1 else 0):
+        order = rng.permutation(len(x))
+        for a in range(0, len(order), STEP):
+            own = order[a : a + STEP]
+            at, v = (np.concatenate([x[i][k] for i in own.tolist()]) for k in (0, 1))
+            starts = np.cumsum([0, *(len(x[i][0]) for i in own.tolist())])
+            d_s, d_cuts = slopes(np.add.reduceat(w[at] * v, starts[:-1]), y[own], _cuts(raw))
+            tail = np.cumsum(d_cuts.sum(axis=0)[::-1])[::-1]
+            d_raw = np.concatenate((tail[:1], tail[1:] / (1 + np.exp(-np.clip(raw[1:], -30, 30)))))
+            touched, back = np.unique(at, return_inverse=True)
+            d_w = np.bincount(back, weights=np.repeat(d_s, np.diff(starts)) * v) + RIDGE * w[touched]
+            g_w[touched] += d_w * d_w
+            w[touched] -= RATE * d_w / np.sqrt(g_w[touched])
             g_c += d_raw * d_raw
             raw -= 0.1 * d_raw / np.sqrt(g_c)
     return Model(w.astype(np.float32), _cuts(raw), grades)
@@ -118,16 +122,37 @@ def grade(labels: DataFrame) -> Column:
     return F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(toxic == 1, 1).otherwise(2))
 
 
+def hashed_sample(found: DataFrame) -> list[tuple[int, bytes, bytes]]:
+    """(label, places, values) of each text of a sample, hashed on the executors: no text reaches the driver, and of one no more than ROWS places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = Hasher()
+        for b in batches:
+            x = [hashed(t) for t in utf8(b.column(0))]
+            cells = [pa.array([np.asarray(v, kind).tobytes() for v in col], pa.binary()) for col, kind in zip(zip(*x, strict=True), ("<i4", "<f8"), strict=True)] if x else [pa.array([], pa.binary())] * 2
+            yield pa.RecordBatch.from_arrays([b.column(1), *cells], names=["label", "places", "weights"])
+
+    small_batches(found.sparkSession)
+    rows = found.select("text", "label").mapInArrow(run, "label int, places binary, weights binary").collect()
+    return sorted(((r["label"], bytes(r["places"]), bytes(r["weights"])) for r in rows), key=lambda r: (crc32(r[1]), r))
+
+
+def fitted(docs: DataFrame, labels: DataFrame, grades: int = 3, bound: int = BOUND) -> Model:
+    rows = hashed_sample(sample(docs, labels, grade(labels), tuple(range(grades)), bound))
+    return train([(np.frombuffer(a, "<i4"), np.frombuffer(v, "<f8")) for _, a, v in rows], np.array([r[0] for r in rows], int), grades)
+
+
 def graded(docs: DataFrame, labels: DataFrame, least: int = 1, chance: float = 0.5, bound: int = BOUND) -> DataFrame:
     """doc_id, held_out, expected_grade, tail_probability (of a grade of least or more), kept (that chance is chance or more): a row for each of docs.
 
-    Trained on at most bound labelled rows of each grade that are not held out (crc32 of doc_id mod 5 is 0). Null
-    and empty texts are graded as texts without words. Repeated rows are graded alike, null doc_ids are held out and
-    stay null, other columns are not read, and an empty table gives an empty one; without labels the cuts alone
-    decide, alike for all texts.
+    Trained on at most bound labelled rows of each grade that are not held out (crc32 of doc_id mod 5 is 0); labels
+    that make no grade take no part. Null and empty texts are graded as texts without words, very long ones whole.
+    Repeated rows are graded alike, null doc_ids are held out and stay null, other columns are not read, a chance that
+    equals the limit is kept, and an empty table gives an empty one; without labels the cuts alone decide, alike for
+    all texts.
     """
     grades = 3
-    model = train(sample(docs, labels, grade(labels), bound), grades)
+    model = fitted(docs, labels, grades, bound)
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([docs.schema["doc_id"], T.StructField("expected_grade", T.DoubleType()), T.StructField("tail_probability", T.DoubleType())])
