@@ -35,9 +35,8 @@ def test_small_tables_are_exact(spark):
     assert np.allclose([r[3] for r in got], [r[3] for r in expected], atol=1e-15)
 
 
-def test_recall_over_tiles(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "VECTOR_BLOCK", 700)
-    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 20)
+def test_recall_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SMALL_BLOCK", 800)
     x = dict(enumerate(np.random.default_rng(4).normal(size=(3000, 32)).astype(np.float32).astype(float)))
     got = rows_of(neighbours.nearest(spark.createDataFrame([(i, v.tolist(), 0) for i, v in x.items()], SCHEMA)))
     expected = plain(x, 5, 50)
@@ -45,6 +44,28 @@ def test_recall_over_tiles(spark, monkeypatch):
     assert len({r[0::2][:2] for r in got} & {r[0::2][:2] for r in expected}) / 300 >= 0.9
 
 
+def test_savings_are_the_footrule_distance():
+    rng = np.random.default_rng(7)
+    x, pivots, prefix = rng.normal(size=(90, 12)), neighbours.apart(rng.normal(size=(40, 12)), 24), 9
+    posted = neighbours.Posted(np.arange(90), x, pivots, prefix)
+    unit = posted.x / neighbours.lengths(posted.x)[:, None]
+    full = np.argsort(-(unit @ pivots.T), axis=1, kind="stable")[:, :prefix]
+    asked = neighbours.nearest_pivots(rng.normal(size=(7, 12)), pivots, prefix)
+    savings = posted.savings(asked)
+    for q in range(7):
+        at = {p: i for i, p in enumerate(asked[q].tolist())}
+        footrule = [sum(abs(at.get(p, prefix) - (own.index(p) if p in own else prefix)) for p in range(len(pivots))) for own in full.tolist()]
+        assert (prefix * (prefix + 1) - savings[q] == footrule).all()
+
+
+def test_all_of_equal_distance_are_ranked_again():
+    x = np.concatenate([np.eye(6)] * 40) + np.arange(240)[:, None] * 1e-9
+    posted = neighbours.Posted(np.arange(240), x, np.eye(6), 2)
+    ((ids, _),) = posted.search(np.array([1000]), np.eye(6)[2:3], neighbours.nearest_pivots(np.eye(6)[2:3], np.eye(6), 2), 5, 1)
+    cosine = (x @ np.eye(6)[2]) / neighbours.lengths(x)
+    assert ids.tolist() == np.lexsort((np.arange(240), -cosine))[:5].tolist()
+
+
 def test_many_copies_give_the_smallest_ids(spark):
     rng = np.random.default_rng(6)
     x = {i: (np.ones(16) if i % 3 == 0 else rng.normal(size=16)) for i in range(1500)}
