@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,9 +30,8 @@ CHOSEN = 2
 #: Buckets to this size are compared by shifted lanes of many buckets at once, larger ones block by block.
 SMALL_RUN = 48
 LANES = 4096
-#: A larger bucket is dealt again by the bits that its key doesn't hold.
-LARGE_RUN = 1 << 14
-#: Rows of sorted buckets that are compared together.
+#: Rows of sorted buckets that are compared together, and so the largest bucket that one task compares; a larger one is sent back
+#: and dealt again.
 TOGETHER = 1 << 16
 #: Places of a table that shows which sets may share enough with one, and elements of sets that are looked up in it together.
 MARKS, AT_ONCE = 1 << 20, 1 << 20
@@ -220,7 +219,7 @@ def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([root(x) for x in range(n)], np.int64)
 
 
-def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, again: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Places (a, b) of near fingerprints that join those of each run of equal keys as their distances do."""
     starts, sizes = _runs(keys)
     found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2]
@@ -240,18 +239,9 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, again: bool = T
         found.append((a[kept], b[kept]))
     for at, n in zip(starts[sizes > SMALL_RUN].tolist(), sizes[sizes > SMALL_RUN].tolist(), strict=True):
         own = fps[at : at + n]
-        if n > LARGE_RUN and again and own.shape[1] == 1 and radius < 8:
-            for chosen in combinations(range(8), 8 - radius):  # blocks of 8 bits, as many agree as the radius leaves
-                key = np.zeros(n, np.uint64)
-                for c in chosen:
-                    key = key << np.uint64(8) | (own[:, 0] >> np.uint64(8 * c) & np.uint64(255))
-                order = np.argsort(key, kind="stable")
-                a, b = bucket_links(key[order], own[order], radius, False)
-                found.append((at + order[a], at + order[b]))
-        else:
-            parent = group(own, radius)
-            moved = np.flatnonzero(parent != np.arange(n))
-            found.append((at + moved, at + parent[moved]))
+        parent = group(own, radius)
+        moved = np.flatnonzero(parent != np.arange(n))
+        found.append((at + moved, at + parent[moved]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -262,71 +252,124 @@ def tables(radius: int) -> list[list[tuple[int, int]]]:
     return [[(edges[i], edges[i + 1] - edges[i]) for i in chosen] for chosen in combinations(range(n), CHOSEN)]
 
 
-def by_bucket(dealt: DataFrame, told: Callable[[np.ndarray, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """told(keys, fingerprints) -> rows of schema, of rows (key, f0, ...) in order; equal keys make a bucket and stay together."""
+def by_bucket(dealt: DataFrame, told: Callable[[np.ndarray, np.ndarray], list[pa.Array]], fields: str, together: int) -> DataFrame:
+    """told(keys, fingerprints) -> columns of fields, of rows (key, f0, ...) in order; equal keys make a bucket and stay together.
+
+    Rows of buckets above together are not compared but come back as they were, in columns key, f0, ... behind the
+    fields, which are null in them; of other rows those columns are null. So no task holds more than about twice together.
+    """
+    names, kinds = [f.split()[0] for f in fields.split(", ")], [pa.list_(pa.int64()) if "array" in f else pa.int64() for f in fields.split(", ")]
+    columns = dealt.columns
+
+    def compared(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(keys) > 1 and len((own := told(keys, fps))[0]):
+            yield pa.RecordBatch.from_arrays([*own, *(pa.nulls(len(own[0]), pa.int64()) for _ in columns)], names=[*names, *columns])
+
+    def returned(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(keys):
+            cols = [pa.array(keys), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in fps.T)]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(keys), k) for k in kinds), *cols], names=[*names, *columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []
-        n, goal = 0, TOGETHER
+        n, large = 0, None
         for b in batches:
-            fps = np.stack([c.to_numpy().view(np.uint64) for c in b.columns[1:]], axis=1)
-            waiting.append((b.column(0).to_numpy(), fps))
-            n += b.num_rows
-            if n >= goal:
+            keys, fps = b.column(0).to_numpy(), np.stack([c.to_numpy().view(np.uint64) for c in b.columns[1:]], axis=1)
+            if large is not None:
+                own = int(np.searchsorted(keys, large, "right"))
+                yield from returned(keys[:own], fps[:own])
+                keys, fps = keys[own:], fps[own:]
+                if not len(keys):
+                    continue
+                large = None
+            waiting.append((keys, fps))
+            n += len(keys)
+            if n >= together:
                 keys, fps = (np.concatenate(x) for x in zip(*waiting, strict=True))
                 whole = int(np.searchsorted(keys, keys[-1]))  # the last bucket may go on in the next batch
-                yield from told(keys[:whole], fps[:whole])
+                yield from compared(keys[:whole], fps[:whole])
                 waiting, n = [(keys[whole:], fps[whole:])], n - whole
-                goal = max(TOGETHER, 2 * n)
+                if n > together:
+                    large = keys[-1]
+                    yield from returned(*waiting.pop())
+                    n = 0
         if waiting:
-            yield from told(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+            yield from compared(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
 
     n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "key").sortWithinPartitions(*dealt.columns).mapInArrow(run, schema)
+    return dealt.repartition(n, "key").sortWithinPartitions(*columns).mapInArrow(run, ", ".join((fields, *(f"{c} long" for c in columns))))
 
 
-def compared(dealt: DataFrame, radius: int) -> DataFrame:
-    """(a, b): near fingerprints of one word that join those of each bucket, from rows (key, f0)."""
+def compared(dealt: DataFrame, radius: int, together: int) -> DataFrame:
+    """(a, b): near fingerprints of one word that join those of each bucket, from rows (key, f0); and buckets sent back."""
 
-    def told(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(keys) > 1:
-            a, b = bucket_links(keys, fps, radius)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(fps[x, 0].view(np.int64)) for x in (a, b)], names=["a", "b"])
+    def told(keys: np.ndarray, fps: np.ndarray) -> list[pa.Array]:
+        return [pa.array(fps[x, 0].view(np.int64)) for x in bucket_links(keys, fps, radius)]
 
-    return by_bucket(dealt, told, "a long, b long")
+    return by_bucket(dealt, told, "a long, b long", together)
 
 
-def gathered(dealt: DataFrame, radius: int) -> DataFrame:
+def gathered(dealt: DataFrame, radius: int, together: int = TOGETHER) -> DataFrame:
     """(nodes): the nodes that near fingerprints join within a bucket, two or more, sorted and each list once.
 
     From rows (key, f0, ...); the node of a fingerprint is the XXH64 of its bytes. Whatever two near ones meet in a
-    bucket are in one list.
+    bucket are in one list, of at most about twice together nodes: a larger bucket is dealt to tiles, in which each
+    two parts of it meet, so that no pair is lost and no task holds more than two parts.
     """
 
-    def told(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
-        a, b = bucket_links(keys, fps, radius) if len(keys) > 1 else (keys[:0], keys[:0])
-        if len(a):
-            at, back = np.unique(np.concatenate((a, b)), return_inverse=True)
-            nodes = np.array([xxhash.xxh64_intdigest(f.tobytes(), SEED) for f in fps[at]], np.uint64).view(np.int64)
-            label = _joined(len(at), back[: len(a)], back[len(a) :])
-            order = np.lexsort((nodes, label))
-            cuts = np.append(_runs(label[order])[0], len(at))
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(nodes[order]))], names=["nodes"])
-
-    n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return by_bucket(dealt, told, "nodes array<long>").repartition(n, "nodes").dropDuplicates(["nodes"])
-
-
-def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
-    """(a, b): fingerprints of the one column fp (long) that lie within the radius, enough of them to join all that do."""
+    def told(keys: np.ndarray, fps: np.ndarray) -> list[pa.Array]:
+        a, b = bucket_links(keys, fps, radius)
+        at, back = np.unique(np.concatenate((a, b)), return_inverse=True)
+        nodes = np.array([xxhash.xxh64_intdigest(f.tobytes(), SEED) for f in fps[at]], np.uint64).view(np.int64)
+        label = _joined(len(at), back[: len(a)], back[len(a) :])
+        order = np.lexsort((nodes, label))
+        cuts = np.append(_runs(label[order])[0], len(at)) if len(at) else np.zeros(1)
+        return [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(nodes[order]))]
+
+    n, columns = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")), dealt.columns
+    parts, step = [], 0
+    while True:
+        met = checkpointed(by_bucket(dealt, told, "nodes array<long>", together))
+        parts.append(met.where("nodes is not null").select("nodes"))
+        back = met.where("nodes is null").select(*columns)
+        if not back.limit(1).count():
+            break
+        step += 1
+        sizes = back.groupBy("key").agg(F.ceil(F.count(F.lit(1)) * 4 / together).cast("int").alias("parts"))
+        own = back.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64(F.lit(step), *columns[1:]), F.col("parts")).cast("int"))
+        tiled = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        dealt = tiled.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("key"), *columns[1:])
+    lists = parts[0]
+    for p in parts[1:]:
+        lists = lists.unionByName(p)
+    return lists.repartition(n, "nodes").dropDuplicates(["nodes"])
+
+
+def keyed(fp: str, blocks: list[list[tuple[int, int]]]) -> Column:
+    """A key for each table: its number and the bits of its blocks."""
     keys = []
-    for t, blocks in enumerate(tables(radius)):
+    for t, own in enumerate(blocks):
         key = F.lit(t).cast("long")
-        for at, width in blocks:
-            key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << width) - 1)))
+        for at, width in own:
+            key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << width) - 1)))
         keys.append(key)
-    return compared(distinct.select(F.explode(F.array(*keys)).alias("key"), F.col("fp").alias("f0")), radius)
+    return F.explode(F.array(*keys))
+
+
+def links(distinct: DataFrame, radius: int = 2, together: int = TOGETHER) -> DataFrame:
+    """(a, b): fingerprints of the one column fp (long) that lie within the radius, enough of them to join all that do.
+
+    A bucket above together is dealt again by eight blocks of eight bits, of which all but radius must agree: what
+    agrees in a key then differs in 8 * radius bits alone, so of radius 2 no bucket holds more than 65,536.
+    """
+    met = checkpointed(compared(distinct.select(keyed("fp", tables(radius)).alias("key"), F.col("fp").alias("f0")), radius, together))
+    found = met.where("a is not null").select("a", "b")
+    back = met.where("a is null").select(F.col("f0").alias("fp")).distinct()
+    if back.limit(1).count():
+        fine = [[(8 * i, 8) for i in chosen] for chosen in combinations(range(8), 8 - radius)]
+        again = compared(back.select(keyed("fp", fine).alias("key"), F.col("fp").alias("f0")), radius, max(together, 1 << 8 * radius))
+        found = found.unionByName(again.where("a is not null").select("a", "b"))
+    return found
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
@@ -335,8 +378,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFra
     Texts whose fingerprints differ in at most radius bits are linked; component_id is the smallest doc_id
     reachable. Null, empty and wordless texts have fingerprint zero and are linked by it like any other. Repeated
     rows are rows of their own in the same component. A null doc_id is returned as it is and names a component
-    only where no other does (then null). An empty table gives an empty one. Equal fingerprints are taken
-    together before any comparison, so a group of copies counts once.
+    only where no other does (then null). Texts count whole, however long; a bit set in just half the hashes is not
+    set. An empty table gives an empty one. Equal fingerprints are taken together before any comparison, so a group
+    of copies counts once.
     """
     marked = checkpointed(fingerprints(docs, width))
     first = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
@@ -382,8 +426,9 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILAR, size: int = WID
     Fingerprints of size x 64 bits are near within the distance that this Jaccard similarity of shingle sets leads to,
     and two standard deviations more. What near ones join in a bucket, of whatever size, is linked by the exact
     similarity of the texts' sets: each pair of it is tested unless links that hold join it already. Tables take as many
-    sampled bits as the number of different fingerprints has binary digits. Null and empty texts are one group. A row for each row of docs: repeated rows share a group and
-    null doc_ids stay null. An empty table gives an empty one; other columns are not read.
+    sampled bits as the number of different fingerprints has binary digits. Null and empty texts are one group. A row
+    for each row of docs: repeated rows share a group and null doc_ids stay null. Texts count whole, however long; a
+    similarity that equals the limit links. An empty table gives an empty one; other columns are not read.
     """
     small_batches(docs.sparkSession)
     schema = T.StructType([docs.schema["doc_id"], T.StructField("text_key", T.LongType()), T.StructField("fp", T.BinaryType())])

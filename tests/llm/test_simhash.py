@@ -80,21 +80,65 @@ def test_buckets_of_any_size_and_radius():
             assert (label == up).all()
 
 
-def test_large_bucket_is_dealt_again(monkeypatch):
-    monkeypatch.setattr(simhash, "LARGE_RUN", 100)
+def labels(pairs: list[tuple], nodes: list) -> dict:
+    up = {n: n for n in nodes}
+
+    def root(x: int) -> int:
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    return {n: root(n) for n in nodes}
+
+
+def test_large_buckets_are_dealt_again(spark):
     rng = np.random.default_rng(3)
-    fps = rng.integers(0, 1 << 12, (600, 1), dtype=np.uint64)
-    fps = np.unique(fps, axis=0)
-    a, b = simhash.bucket_links(np.zeros(len(fps), np.int64), fps, 1)
-    whole = simhash.group(fps, 1)
-    up, down = np.arange(len(fps)), np.arange(len(fps))
-    for _ in range(200):
-        np.minimum.at(up, a, up[b])
-        np.minimum.at(up, b, up[a])
-        at = np.arange(len(fps))
-        np.minimum.at(down, at, down[whole])
-        np.minimum.at(down, whole, down[at])
-    assert (up == down).all()
+    fps = np.unique(np.concatenate((rng.integers(0, 1 << 11, 400), rng.integers(0, 1 << 40, 400), [(1 << 45) + (1 << i) for i in range(16)])))
+    df = spark.createDataFrame([(int(f),) for f in fps], "fp long")
+    near = lambda r: [(int(a), int(b)) for i, a in enumerate(fps) for b in fps[:i] if int(a ^ b).bit_count() <= r]
+    for radius in (1, 2):
+        got = [tuple(r) for r in simhash.links(df, radius, 60).collect()]
+        assert all((a ^ b).bit_count() <= radius for a, b in got)
+        assert labels(got, fps.tolist()) == labels(near(radius), fps.tolist())
+
+
+def test_no_pair_of_a_large_bucket_is_lost_in_tiles(spark):
+    rng = np.random.default_rng(8)
+    fps = np.unique(rng.integers(0, 1 << 62, (700, 2), dtype=np.int64) & np.array([0x1F1F, (1 << 62) - 1]), axis=0)
+    fps = np.concatenate((fps, fps[:200] ^ np.array([0, 5]), fps[100:250] ^ np.array([1 << 40, 0])))
+    dealt = spark.createDataFrame([(int(i % 3 > 0), int(a), int(b)) for i, (a, b) in enumerate(fps)], "key long, f0 long, f1 long")
+    node = lambda f: int(np.array(xxhash.xxh64_intdigest(np.asarray(f, np.int64).tobytes(), simhash.SEED), np.uint64).view(np.int64))
+    lists = [set(r["nodes"]) for r in simhash.gathered(dealt, 3, 90).collect()]
+    for i, a in enumerate(fps):
+        for j in range(i):
+            if (i % 3 > 0) == (j % 3 > 0) and sum(int(x).bit_count() for x in a ^ fps[j]) <= 3 and (a != fps[j]).any():
+                assert any({node(a), node(fps[j])} <= own for own in lists)
+    assert max(map(len, lists)) <= 180 + 90
+
+
+def test_groups_equal_plain_similarity(spark):
+    """Clusters of 5, 40 and 200 whose members are alike by 0.8 or more, and relatives below that."""
+    rng = random.Random(11)
+    rows, of = [], {}
+    for c, size in enumerate((5, 40, 200)):
+        base = H.prose(rng, 240, 6000).split()
+        for _ in range(size):
+            own = base.copy()
+            for _ in range(rng.randint(0, 2)):
+                own[rng.randrange(240)] = f"edit{rng.randrange(10**6)}"
+            of[len(rows)] = c
+            rows.append((len(rows), " ".join(own), "en", "a", None))
+        for k in range(10):  # half of it is another text
+            rows.append((len(rows), " ".join(base[:120]) + " " + H.prose(rng, 120, 6000), "en", "a", None))
+    sets = {r[0]: set(simhash.shingle_hashes(r[1].encode(), simhash.SHINGLE)) for r in rows}
+    pairs = [(a, b) for a in sets for b in sets if b < a and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    plain = labels(pairs, list(sets))
+    group = {r["doc_id"]: r["group"] for r in simhash.similar_groups(spark.createDataFrame(rows, H.DOCS)).collect()}
+    together = lambda own: {frozenset(i for i in own if own[i] == g) for g in set(own.values())}
+    assert together(group) == together(plain)
 
 
 def test_components_of_paths_stars_and_loops(spark):
