@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +31,15 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one that the context has, or, on one machine, a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
     now = spark.sparkContext._jsc.sc().getCheckpointDir()
     if now.isDefined():
         return now.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     made = tempfile.mkdtemp(prefix="pleiad-")
     atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(made)
@@ -47,7 +51,34 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    out = df.checkpoint()
+    for made in _MADE:
+        made.append(out)
+    return out
+
+
+#: Lists that note the checkpoints made meanwhile; see releasing().
+_MADE: list[list[DataFrame]] = []
+
+
+def release(*frames: DataFrame) -> None:
+    """Removes the files of checkpointed frames that nothing reads any more; of one released before there is nothing left."""
+    for df in frames:
+        kept = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if kept.isDefined():
+            remove(df.sparkSession, kept.get())
+
+
+@contextmanager
+def releasing() -> Iterator[None]:
+    """Removes all checkpoints made within at the end: what is read afterwards must have been written elsewhere."""
+    made: list[DataFrame] = []
+    _MADE.append(made)
+    try:
+        yield
+    finally:
+        _MADE.remove(made)
+        release(*made)
 
 
 def utf8(column: pa.Array) -> list[bytes]:

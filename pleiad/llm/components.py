@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, release
 
 
 def _marks(edges: DataFrame) -> tuple:
@@ -37,7 +37,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = checkpointed(edges.select("a", "b").where("a <> b").distinct())
     marks = _marks(now)
     while marks[0]:
-        now = checkpointed(_small_star(_large_star(now)))
+        now, before = checkpointed(_small_star(_large_star(now))), now
+        release(before)
         if (after := _marks(now)) == marks:
             break
         marks = after

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, WHITE, checkpointed, small_batches, utf8
+from .common import LOWER, WHITE, checkpointed, release, small_batches, utf8
 
 HASHED = ["h1", "h2", "doc", "text_key", "pos"]
 
@@ -79,6 +79,7 @@ def shared_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     lines = checkpointed(hashed_lines(docs))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = checkpointed(lines.repartitionByRange(n, "h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc", "pos"))
+    release(lines)
     edges = docs.sparkSession.sparkContext.broadcast(edge_counts(ordered))
     kind = ordered.schema["doc"].dataType
 

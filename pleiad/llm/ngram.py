@@ -17,12 +17,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import shared_files
-from .common import checkpointed, shared_dir, small_batches, utf8, words
+from .common import checkpointed, release, remove, shared_dir, small_batches, utf8, words
 from .labelled import held_out
 
 FOLDS = 10
@@ -147,7 +147,8 @@ def count_pairs(train: DataFrame, hot: np.ndarray, bits: int, top: str) -> DataF
     """Writes each shard's pairs; kind, shard, key, x: what they add to the tables of words.
 
     kind c: contexts (key: 64-bit hash; x: total, and how many pairs were seen once, twice, more often); kind f:
-    second words (48-bit hash; x: different first words); kind m: counts of pairs seen once to four times.
+    second words (48-bit hash; x: different first words); kind m, one row a shard that has pairs (key: its number):
+    counts of pairs seen once to four times.
     """
 
     def send(texts: list[np.ndarray]) -> pa.RecordBatch:
@@ -186,7 +187,7 @@ def count_pairs(train: DataFrame, hot: np.ndarray, bits: int, top: str) -> DataF
         sums = [np.add.reduceat(x.astype(U64), new) for x in (n, n == 1, n == 2, n > 2)]
         yield from sent_on("c", v[new], np.stack(sums, axis=1), 64)
         yield from sent_on("f", *summed(w, np.ones(len(w), U64)), 48)
-        yield "m", -1, b"", np.array([(n == k).sum() for k in (1, 2, 3, 4)], U64).tobytes()
+        yield "m", -1, np.array([shard], U64).tobytes(), np.array([(n == k).sum() for k in (1, 2, 3, 4)], U64).tobytes()
 
     def sent_on(kind: str, key: np.ndarray, x: np.ndarray, width: int) -> Iterator[tuple]:
         cuts = np.searchsorted(key >> U64(width - bits), np.arange((1 << bits) + 1, dtype=U64))
@@ -247,7 +248,7 @@ def discounts(n: np.ndarray) -> tuple[float, float, float]:
 
 @dataclass
 class Model:
-    """Where the files are, and the totals of the training tokens; a shard without a file has no entries."""
+    """Where the files are and which shards have them, and the totals of the training tokens; other shards have no entries."""
 
     top: str
     bits: int
@@ -260,6 +261,7 @@ class Model:
     start: np.ndarray = field(default_factory=lambda: np.zeros(4))
     hot: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))
     word_shards: frozenset[int] = frozenset()
+    pair_shards: frozenset[int] = frozenset()
 
 
 def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,8 +288,8 @@ def fit(docs: DataFrame) -> Model:
     m.hot = np.array(sorted([r["h"] % (1 << 64) for r in vocabulary.mapInArrow(largest, "h long").toLocalIterator()] + [START]), U64)
     stats = checkpointed(count_pairs(texts, m.hot, m.bits, m.top))
     tables = checkpointed(write_words(vocabulary, stats, m.bits, m.top))
-    by_kind = [np.frombuffer(r["x"], U64).astype(float) for r in stats.where("kind = 'm'").select("x").toLocalIterator()]
-    m.high = discounts(sum(by_kind, np.zeros(4)))
+    by_shard_of = {int(np.frombuffer(r["key"], U64)[0]): np.frombuffer(r["x"], U64).astype(float) for r in stats.where("kind = 'm'").select("key", "x").toLocalIterator()}
+    m.high, m.pair_shards = discounts(sum(by_shard_of.values(), np.zeros(4))), frozenset(by_shard_of)
     sums = np.zeros(7)
     for r in tables.toLocalIterator():
         x = np.frombuffer(r["x"], U64).astype(float)
@@ -301,6 +303,7 @@ def fit(docs: DataFrame) -> Model:
         more = m.words - sums[3] - sums[4]
         m.spare = float((m.low[0] * sums[3] + m.low[1] * sums[4] + m.low[2] * more) / m.kinds)
     m.word_shards = frozenset(r["shard"] for r in vocabulary.select("shard").distinct().collect())
+    release(vocabulary, stats, tables)
     return m
 
 
@@ -327,9 +330,9 @@ class Lookup:
         order = np.lexsort((key, s))
         out = np.zeros(len(v))
         for k, a, b in self.runs(s[order]):
-            keys, wide, large, n = self.pair_file(k)
-            if not len(keys):
+            if k not in self.m.pair_shards:
                 continue
+            keys, wide, large, n = self.pair_file(k)
             own_keys = key[order[a:b]]
             at = np.minimum(np.searchsorted(keys, own_keys), len(keys) - 1)
             found = n[at].astype(float)
@@ -353,10 +356,7 @@ class Lookup:
 
     def pair_file(self, s: int) -> tuple:
         if ("p", s) not in self.maps:
-            try:
-                data = shared_files.mapped(f"{self.m.top}/pairs/{s}")
-            except FileNotFoundError:  # no pair of the training texts fell to this shard
-                data = np.zeros(16, U8)
+            data = shared_files.mapped(f"{self.m.top}/pairs/{s}")  # one that is missing raises: no entries would be wrong scores
             n, k = (int(x) for x in data[:16].view(U64))
             edges = np.cumsum([16, 8 * n, 8 * k, 8 * k])
             self.maps["p", s] = (*(data[a:b].view(U64) for a, b in zip(edges[:-1], edges[1:], strict=True)), data[edges[-1] :])
@@ -402,11 +402,21 @@ def scored(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for each row of docs.
 
     Learns from the rows whose crc32 of doc_id (as text) mod folds is not 0; a null doc_id is held out. Null, empty
-    and wordless texts are their end alone. Repeated rows count and are scored again, other columns are not read,
-    an empty table gives an empty one, and without training rows every token has the one probability that is left.
+    and wordless texts are their end alone, very long ones count and are scored whole. Repeated rows count and are
+    scored again, words that tie share one probability, other columns are not read, an empty table gives an empty one,
+    and without training rows every token has the one probability that is left. The scores stand in a checkpoint; the
+    model's files are removed.
     """
     out = held_out(F.col("doc_id"), folds)
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~out)))
+    fitted = fit(docs.where(~out))
+    done = checkpointed(with_scores(docs, fitted, out))
+    remove(docs.sparkSession, fitted.top)
+    return done
+
+
+def with_scores(docs: DataFrame, fitted: Model, out: Column) -> DataFrame:
+    """The rows of scored() by a model whose files are there; out says which rows were held out of its texts."""
+    model = docs.sparkSession.sparkContext.broadcast(fitted)
     names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     schema = T.StructType([docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()), *(T.StructField(n, T.LongType()) for n in names[:3]), *(T.StructField(n, T.DoubleType()) for n in names[3:])])
     fields = ["doc_id", "held_out", *names]

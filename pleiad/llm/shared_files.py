@@ -36,7 +36,12 @@ def write(uri: str, data: bytes) -> None:
 
 
 def mapped(uri: str) -> np.memmap | np.ndarray:
-    """Bytes of a file, mapped; one in a store that can't be mapped is mapped from a copy of this worker."""
+    """Bytes of a file, mapped.
+
+    One in a store that can't be mapped is read through a file that this worker alone has and that has no name by the
+    time it is mapped: a cache of what stays whole in the store, lost with the worker and read again by another. A
+    missing file raises.
+    """
     path = local(uri)
     if path is None:
         import pyarrow.fs as fs

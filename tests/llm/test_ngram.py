@@ -6,8 +6,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from pleiad.llm import ngram
+from pleiad.llm.common import remove
 
 from . import helpers as H
 
@@ -94,3 +96,37 @@ def test_held_out_text_is_likelier_than_by_words_alone(spark):
         rows.append((i, " ".join(text), None, None, None))
     got = ngram.scored(spark.createDataFrame(rows, H.DOCS)).where("held_out").selectExpr("avg(score)", "avg(base_score)").first()
     assert got[0] > 0.4 * got[1]
+
+
+def folders(spark, name: str) -> set:
+    import os
+
+    from pleiad.llm.common import shared_dir
+    from pleiad.llm.shared_files import local
+
+    return {f for f in os.listdir(local(shared_dir(spark))) if f.startswith(name)}
+
+
+def test_files_are_removed_and_a_missing_one_raises(spark):
+    before = folders(spark, "ngram-")
+    docs = spark.createDataFrame([(i, f"a b c d{i % 7}", None, None, None) for i in range(60)], H.DOCS)
+    assert ngram.scored(docs).count() == 60 and folders(spark, "ngram-") == before
+    model = ngram.fit(docs)
+    assert model.pair_shards and model.word_shards
+    got = ngram.with_scores(docs, model, F.lit(False))
+    assert got.count() == 60
+    remove(spark, f"{model.top}/pairs")
+    with pytest.raises(Exception, match="No such file"):
+        got.collect()
+    remove(spark, model.top)
+
+
+def test_checkpoints_are_released(spark):
+    from pleiad.llm.common import checkpointed, release, releasing
+
+    with releasing():
+        a = checkpointed(spark.range(5))
+        assert a.count() == 5
+    with pytest.raises(Exception):  # noqa: B017
+        a.collect()
+    release(a)
