@@ -57,8 +57,11 @@ class Node:
 
 @dataclass(frozen=True)
 class Leaf(Node):
+    """top: a string behind a header of its own, as a member or a branch has it and an item of a collection hasn't."""
+
     kind: str
     drop: bool = False
+    top: bool = False
 
     def spark_type(self) -> T.DataType:
         return PRIMITIVES[self.kind]

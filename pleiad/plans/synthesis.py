@@ -118,6 +118,7 @@ def template(name: str) -> tuple[str, list[str]]:
 class Synthesis:
     classes: Mapping[str, Klass] = field(default_factory=dict)
     custom: Mapping[str, Node] = field(default_factory=lambda: CUSTOM)
+    under_way: list[str] = field(default_factory=list, compare=False)
 
     # leaves ------------------------------------------------------------------------------------------------------------
 
@@ -145,7 +146,7 @@ class Synthesis:
     def by_name(self, type_name: str, name: str, b: Branch | None = None, top: bool = False) -> Node:
         type_name = type_name.strip()
         if type_name in STRINGS or type_name in ("std::string", "TString"):
-            return Leaf(name, "string")
+            return Leaf(name, "string", top=top and type_name != "TString")
         basic = BASIC_NAMES.get(type_name) or MORE_NAMES.get(type_name)
         if basic:
             return Leaf(name, basic)
@@ -167,7 +168,7 @@ class Synthesis:
 
     def item(self, type_name: str, b: Branch | None = None) -> Node:
         known = self.classes.get(type_name.rstrip("*").strip())
-        return self.record(known, "", b) if known is not None else self.by_name(type_name, "")
+        return self.record(known, "", b, nested=True) if known is not None else self.by_name(type_name, "")
 
     @staticmethod
     def renamed(node: Node, name: str) -> Node:
@@ -177,19 +178,26 @@ class Synthesis:
 
     # classes ---------------------------------------------------------------------------------------------------------------
 
-    def record(self, k: Klass, name: str, b: Branch | None = None, top: bool = False, base: bool = False) -> Node:
-        """A described class: split by its sub-branches, or in one piece. A class that holds itself is not decoded."""
-        if any(m.type_name in (f"vector<{k.name}>", f"{k.name}*") for m in k.members):
+    def record(self, k: Klass, name: str, b: Branch | None = None, top: bool = False, base: bool = False, nested: bool = False) -> Node:
+        """A described class: split by its sub-branches, or in one piece; nested as an item of a collection.
+
+        A class that holds itself, at any depth, is not decoded there.
+        """
+        if k.name in self.under_way or any(m.type_name in (f"vector<{k.name}>", f"{k.name}*") for m in k.members):
             return Unknown(name)
-        if not k.members:
-            return Struct(name, (), False, top, base)
-        if k.members[0].name == "This":
-            return self.member(k.members[0], b, name)
-        if k.name == "TClonesArray":
-            return self.by_name(f"vector<{b.clones}>", name, b, top) if b and b.clones else Unknown(name)
-        if b is None or not b.branches:
-            return Struct(name, tuple(self.member(m) for m in k.members), False, top and b is not None, base)
-        return Struct(name, tuple(self.sub_branches(k, b)), True, top, base)
+        self.under_way.append(k.name)
+        try:
+            if not k.members:
+                return Struct(name, (), False, top, base)
+            if k.members[0].name == "This":
+                return self.member(k.members[0], b, name, nested)
+            if k.name == "TClonesArray":
+                return self.by_name(f"vector<{b.clones}>", name, b, top) if b and b.clones else Unknown(name)
+            if b is None or not b.branches:
+                return Struct(name, tuple(self.member(m) for m in k.members), False, top and b is not None, base)
+            return Struct(name, tuple(self.sub_branches(k, b)), True, top, base)
+        finally:
+            self.under_way.pop()
 
     def sub_branches(self, k: Klass, b: Branch) -> list[Node]:
         """Members in the order of the class, each from the sub-branch of its name.
@@ -217,7 +225,7 @@ class Synthesis:
                 out.append(Struct(m.name, tuple(self.sub_branches(inner, deep)), True))
         return out
 
-    def member(self, m: Member, b: Branch | None = None, name: str | None = None) -> Node:
+    def member(self, m: Member, b: Branch | None = None, name: str | None = None, nested: bool = False) -> Node:
         name = m.name if name is None else name
         if m.code in BASIC_CODES:
             return Leaf(name, BASIC_CODES[m.code])
@@ -237,11 +245,11 @@ class Synthesis:
                 return self.renamed(self.custom[type_name], name)
             return Unknown(name)
         if m.code == STL:
-            return self.stl(m, name, b)
+            return self.stl(m, name, b, not nested)
         return Unknown(name)
 
-    def stl(self, m: Member, name: str, b: Branch | None) -> Node:
-        top = True
+    def stl(self, m: Member, name: str, b: Branch | None, top: bool) -> Node:
+        """A container member; top: behind a header of its own, which an item of another container hasn't."""
         if m.stl == STL_VECTOR:
             if m.item < 61:
                 code = 18 if m.item == 21 and "bool" in m.type_name else m.item
@@ -252,7 +260,7 @@ class Synthesis:
             return self.by_name(m.type_name, name, b, top)
         if m.stl == STL_BITSET:
             return Vector(name, Leaf("", "boolean"), False, top)
-        return Leaf(name, "string") if m.stl == STL_STRING else Unknown(name)
+        return Leaf(name, "string", top=top) if m.stl == STL_STRING else Unknown(name)
 
 
 def within(name: str, parent: str) -> str:

@@ -8,6 +8,7 @@ import zlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 
 from ..plans.synthesis import Klass, Member
@@ -270,7 +271,7 @@ class KeyedFile:
 
     @property
     def special(self) -> dict[str, Callable]:
-        return {"TObject": self._object, "TString": Cursor.text, "TNamed": self._named, "TList": self._list, "THashList": self._list, "TObjArray": self._array, "TStreamerInfo": self._info, "TArrayD": lambda c: [c.take("d") for _ in range(c.take("i"))], "TArrayI": lambda c: [c.take("i") for _ in range(c.take("i"))], **dict.fromkeys(("TStreamerBase", "TStreamerBasicType", "TStreamerBasicPointer", "TStreamerLoop", "TStreamerObject", "TStreamerObjectPointer", "TStreamerObjectAny", "TStreamerObjectAnyPointer", "TStreamerString", "TStreamerSTL", "TStreamerArtificial"), self._element), "TStreamerSTLstring": self._wrapped}
+        return {"TObject": self._object, "TString": Cursor.text, "TNamed": self._named, "TList": self._list, "THashList": self._list, "TObjArray": self._array, "TStreamerInfo": self._info, "TArrayD": lambda c: [c.take("d") for _ in range(c.take("i"))], "TArrayI": lambda c: [c.take("i") for _ in range(c.take("i"))], **dict.fromkeys(("TStreamerBase", "TStreamerBasicType", "TStreamerBasicPointer", "TStreamerLoop", "TStreamerObject", "TStreamerObjectPointer", "TStreamerObjectAny", "TStreamerObjectAnyPointer", "TStreamerString", "TStreamerSTL", "TStreamerArtificial"), self._element), "TStreamerSTLstring": self._wrapped, "TBasket": self._basket}
 
     def _object(self, c: Cursor) -> dict:
         c.take("H")
@@ -337,6 +338,29 @@ class KeyedFile:
             c.at = end
         return out
 
+    def _basket(self, c: Cursor) -> dict:
+        """A basket that the writer left within its branch: its key, sizes, the entries' places if it has them, and its bytes.
+
+        Places and the end count from the beginning of the key, which the bytes repeat.
+        """
+        key = Key.read(c)
+        c.take("H")
+        _, room = c.take("ii")
+        if room < 0:  # marks of the writer stand behind it
+            c.version()
+            c.take("B")
+        n, last, flag = c.take("iiB")
+        if flag >= 80:
+            raise BadFile(f"the basket of {key.name} leaves the places of its entries to be made up")
+        offsets = None
+        if flag and flag % 10 != 2 and n:
+            offsets = [c.take("i") & (0xFFFFFF if 20 < flag < 40 else -1) for _ in range(c.take("i"))]
+            if flag > 40:
+                c.bytes(4 * c.take("i"))
+        data = c.bytes(last)[key.head :] if flag == 1 or flag > 10 else b""
+        places = None if offsets is None else np.append(np.array(offsets[:n], np.int64) - key.head, len(data))
+        return {"class": "TBasket", "entries": n if data or not last else 0, "data": data, "offsets": places}
+
     def _wrapped(self, c: Cursor) -> dict:
         _, end = c.version()
         out = self._element(c)

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -85,11 +85,16 @@ class Tree:
 
     def baskets(self, b: dict, start: int, end: int) -> Iterator[tuple[int, bytes, np.ndarray | None]]:
         """(first entry, data, where each entry begins or None) of the baskets that hold entries of the range."""
-        n = b["fWriteBasket"]
-        firsts = [*b["fBasketEntry"][:n], b["fEntries"]]
+        n, held = b["fWriteBasket"], [x for x in b.get("fBaskets") or [] if x and x["entries"]]
+        firsts = [*b["fBasketEntry"][:n], b["fEntries"] - sum(x["entries"] for x in held)]
         for i in range(n):
             if firsts[i] < end and firsts[i + 1] > start:
                 yield firsts[i], *self.basket(b, i)
+        first = firsts[-1]
+        for x in held:  # what the writer left within the branch
+            if first < end and first + x["entries"] > start:
+                yield first, x["data"], x["offsets"]
+            first += x["entries"]
 
     def basket(self, b: dict, i: int) -> tuple[bytes, np.ndarray | None]:
         """A branch's basket; its latest one is kept, as batches may end within it."""
@@ -138,19 +143,10 @@ class Tree:
             return self.leaves(node, b, start, end)
         subs = {within(s["fName"], b["fName"]): s for s in b["fBranches"] or [] if s}
         if isinstance(node, Vector) and node.split and isinstance(node.item, Struct):
-            counts, arrays, names = None, [], []
-            for m, s in self.split_members(node.item, subs):
-                data, at = self.pieces(s, start, end, None)
-                flat = np.frombuffer(data, KIND_DTYPES[m.kind])
-                lengths = np.diff(at) // flat.dtype.itemsize
-                if counts is not None and (lengths != counts).any():
-                    raise BadFile(f"members of {b['fName']} differ in length")
-                counts = lengths
-                arrays.append(_flat(flat))
-                names.append(m)
-            if counts is None:
-                return pa.nulls(end - start)
-            return _lists(counts, self.nested(node.item, dict(zip([id(m) for m in names], arrays, strict=True))))
+            data, _ = self.pieces(b, start, end, 4)
+            counts = np.frombuffer(data, ">i4").astype(np.int64)
+            arrays = {id(m): self.items(m, s, start, end, counts) for m, s in self.split_members(node.item, subs)}
+            return _lists(counts, self.nested(node.item, arrays, int(counts.sum())))
         if isinstance(node, Struct) and node.split:
             shown = [m for m in node.members if not m.hidden]
             arrays = [self.column(m, self.sub(m, subs), start, end) for m in shown]
@@ -166,23 +162,43 @@ class Tree:
                 return s
         return {"class": "TBranchElement", "fName": "", "fBranches": list(subs.values()), "fLeaves": []}  # a base or an inner object
 
-    def split_members(self, item: Struct, subs: dict[str, dict]) -> Iterator[tuple[Leaf, dict]]:
+    def split_members(self, item: Struct, subs: dict[str, dict]) -> Iterator[tuple[Node, dict]]:
+        """Members that have a sub-branch, those of split bases and inner objects as well."""
         for m in item.members:
-            if isinstance(m, Struct):
+            if m.hidden:
+                continue
+            if isinstance(m, Struct) and m.split:
                 yield from self.split_members(m, {n.removeprefix(f"{m.name}."): s for n, s in subs.items()})
-            elif isinstance(m, Leaf) and m.kind in KIND_DTYPES:
+            elif m.name in subs:
                 yield m, subs[m.name]
 
-    def nested(self, item: Struct, arrays: dict[int, pa.Array]) -> pa.Array:
+    def items(self, m: Node, b: dict, start: int, end: int, counts: np.ndarray) -> pa.Array:
+        """Values of a member of a split collection, item behind item; counts of them an entry."""
+        data, at = self.pieces(b, start, end, None)
+        dims, inner = 1, m
+        while isinstance(inner, Array) and inner.length:
+            dims, inner = dims * inner.length, inner.item
+        if isinstance(inner, Leaf) and inner.kind in KIND_DTYPES:
+            flat = np.frombuffer(data, KIND_DTYPES[inner.kind])
+            if (np.diff(at) != counts * dims * flat.dtype.itemsize).any():
+                raise BadFile(f"members of {b['fName']} differ in length")
+            return _dimensions(m, flat, np.full(int(counts.sum()), dims))
+        read, out = Decoder(), []
+        for a, n in zip(at[:-1].tolist(), counts.tolist(), strict=True):
+            if n:
+                out += read.many(m, Cursor(data, a), n)
+        return pa.array(out, to_arrow_type(m.spark_type()))
+
+    def nested(self, item: Struct, arrays: dict[int, pa.Array], n: int) -> pa.Array:
         fields, cols = [], []
         for m in item.members:
             if not m.hidden:
-                a = self.nested(m, arrays) if isinstance(m, Struct) else arrays.get(id(m))
+                a = self.nested(m, arrays, n) if isinstance(m, Struct) and m.split else arrays.get(id(m))
                 if a is None:
-                    raise BadFile(f"member {m.name} of a split collection is not a number")
+                    raise BadFile(f"member {m.name} of a split collection has no branch")
                 fields.append(pa.field(m.column, a.type))
                 cols.append(a)
-        return pa.StructArray.from_arrays(cols, fields=fields)
+        return pa.StructArray.from_arrays(cols, fields=fields) if cols else pa.array([{}] * n, pa.struct([]))
 
     def leaves(self, node: Node, b: dict, start: int, end: int) -> pa.Array:
         leaves = [x for x in b["fLeaves"] if x]
@@ -214,8 +230,8 @@ class Tree:
             keep = np.ones(len(data), bool)
             keep[(at[:-1, None] + np.arange(10)).reshape(-1)] = False
             return _lists(sizes, _flat(np.frombuffer(np.frombuffer(data, np.uint8)[keep].tobytes(), dtype)))
-        read = Decoder(self.synthesis)
-        out = [read.top(node, Cursor(data, a)) for a in at[:-1].tolist()]
+        read, ends = Decoder(), at[1:].tolist()
+        out = [read.entry(node, Cursor(data, a), end) for a, end in zip(at[:-1].tolist(), ends, strict=True)]
         return pa.array(out, to_arrow_type(node.spark_type()))
 
     def batches(self, root: Root, start: int, end: int, size: int = 20_000) -> Iterator[pa.RecordBatch]:
@@ -248,35 +264,69 @@ def _dimensions(node: Node, flat: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 
 class Decoder:
-    """Values stored object by object (or member by member where a header says so), by their layout."""
+    """Values stored in one piece, by their layout: object by object, or member by member where a header says so.
+
+    What is a branch or a member (top) has a header of its own: a byte count, a version and the mark of the storage
+    member by member. Items of a collection have none, but for records, whose byte count may lack.
+    """
 
-    def __init__(self, synthesis: Synthesis):
-        self.synthesis = synthesis
+    def entry(self, node: Node, c: Cursor, end: int):
+        """The value of a whole entry that ends there; a record's members may begin at once, without a header."""
+        if isinstance(node, Struct) and node.top and not _is_pair(node):
+            head = int.from_bytes(c.data[c.at : c.at + 4], "big")
+            if head != 0x40000000 | (end - c.at - 4):
+                return self.members(node, c)
+        return self.value(node if not isinstance(node, (Vector, MapOf)) or node.top else replace(node, top=True), c)
 
-    def top(self, node: Node, c: Cursor):
+    def value(self, node: Node, c: Cursor):
+        if isinstance(node, Leaf):
+            if node.kind == "string":
+                if node.top:
+                    self.passed(c)
+                return c.text()
+            dtype = np.dtype(KIND_DTYPES[node.kind])
+            return np.frombuffer(c.bytes(dtype.itemsize), dtype)[0].item()
+        if isinstance(node, Array):
+            return self.many(node.item, c, node.length or 0)
         if isinstance(node, (Vector, MapOf)):
-            version, _ = c.version()
-            return self.collection(node, c, bool(version & MEMBERWISE))
-        if isinstance(node, Leaf) and node.kind == "string":
-            start = c.at
-            try:
-                if c.take("I") & 0x40000000:
-                    c.take("H")
-                else:
-                    c.at = start
-            except struct.error:
-                c.at = start
-            return c.text()
-        return self.value(node, c)
+            return self.behind_header(node, c, lambda memberwise: self.collection(node, c, memberwise)) if node.top else self.collection(node, c)
+        if isinstance(node, Struct):
+            if _is_pair(node):
+                return self.members(node, c)
+            version, end = c.version()
+            if not version:
+                c.take("I")  # the checksum of a class without a version
+            out = self.members(node, c)
+            if end is not None:
+                c.at = end
+            return out
+        raise BadFile(f"{node.name} can't be decoded")
 
-    def collection(self, node: Node, c: Cursor, memberwise: bool = False):
+    def members(self, node: Struct, c: Cursor) -> dict:
+        out = [(m, self.value(m, c)) for m in node.members]
+        return {m.column: v for m, v in out if not m.hidden}
+
+    @staticmethod
+    def passed(c: Cursor) -> None:
+        """The header of a string, where there is one."""
+        if int.from_bytes(c.data[c.at : c.at + 4], "big") & 0x40000000:
+            c.at += 6
+
+    def behind_header(self, node: Node, c: Cursor, read: Callable):
+        version, end = c.version()
+        memberwise = bool(version & MEMBERWISE)
         if memberwise and not c.take("H"):
-            c.take("I")  # the checksum of a class without a version
+            c.take("I")
+        out = read(memberwise)
+        if end is not None:
+            c.at = end
+        return out
+
+    def collection(self, node: Node, c: Cursor, memberwise: bool = False):
         n = c.take("i")
         if isinstance(node, MapOf):
             if memberwise:
-                keys, values = [self.value(node.key, c) for _ in range(n)], [self.value(node.value, c) for _ in range(n)]
-                pairs = list(zip(keys, values, strict=True))
+                pairs = list(zip(self.many(node.key, c, n), self.many(node.value, c, n), strict=True))
             else:
                 pairs = [(self.value(node.key, c), self.value(node.value, c)) for _ in range(n)]
             if not node.many:
@@ -285,29 +335,32 @@ class Decoder:
             for k, v in pairs:
                 grouped.setdefault(k, []).append(v)
             return list(grouped.items())
+        if memberwise and n and isinstance(node.item, Struct):
+            return self.columns(node.item, c, n)
         if isinstance(node.item, Leaf) and node.item.kind in KIND_DTYPES:
-            dtype = np.dtype(KIND_DTYPES[node.item.kind])
-            return np.frombuffer(c.bytes(n * dtype.itemsize), dtype).tolist()
-        if memberwise and isinstance(node.item, Struct):
-            columns = [(m, [self.value(m, c) for _ in range(n)]) for m in node.item.members]
-            return [{m.column: v[i] for m, v in columns if not m.hidden} for i in range(n)]
+            return self.many(node.item, c, n)
         return [self.value(node.item, c) for _ in range(n)]
 
-    def value(self, node: Node, c: Cursor):
-        if isinstance(node, Leaf):
-            if node.kind == "string":
-                return c.text()
+    def many(self, node: Node, c: Cursor, n: int) -> list:
+        """n values one behind another, as a member of n items is stored: containers have one header for all of them."""
+        if isinstance(node, Leaf) and node.kind in KIND_DTYPES:
             dtype = np.dtype(KIND_DTYPES[node.kind])
-            return np.frombuffer(c.bytes(dtype.itemsize), dtype)[0].item()
-        if isinstance(node, Array):
-            return [self.value(node.item, c) for _ in range(node.length or 0)]
-        if isinstance(node, (Vector, MapOf)):
-            return self.collection(node, c)
-        if isinstance(node, Struct):
-            pair = [m.name for m in node.members] == ["first", "second"]
-            end = None if pair else c.version()[1]
-            out = {m.column: self.value(m, c) for m in node.members}
-            if end is not None:
-                c.at = end
-            return {m.column: out[m.column] for m in node.members if not m.hidden}
-        raise BadFile(f"{node.name} can't be decoded")
+            return np.frombuffer(c.bytes(n * dtype.itemsize), dtype).tolist()
+        if isinstance(node, Leaf) and node.kind == "string":
+            if node.top:
+                self.passed(c)
+            return [c.text() for _ in range(n)]
+        if isinstance(node, (Vector, MapOf)) and node.top:
+            return self.behind_header(node, c, lambda memberwise: [self.collection(node, c, memberwise) for _ in range(n)])
+        if isinstance(node, Struct) and node.base:
+            return self.columns(node, c, n)
+        return [self.value(node, c) for _ in range(n)]
+
+    def columns(self, node: Struct, c: Cursor, n: int) -> list[dict]:
+        """n records stored member by member; bases have no header here."""
+        columns = [(m.column, v) for m in node.members for v in [self.many(m, c, n)] if not m.hidden]
+        return [{name: v[i] for name, v in columns} for i in range(n)]
+
+
+def _is_pair(node: Struct) -> bool:
+    return [m.name for m in node.members] == ["first", "second"]

@@ -104,6 +104,9 @@ class Buffer:
                 self.pointer(cls, lambda cls=cls, value=value: self.value(cls, value), key)
 
     def value(self, cls: str, value: dict) -> None:
+        if cls == "TBasket":
+            self.b += value  # as it is
+            return
         version, members = LAYOUTS[cls]
         with self.counted(version):
             for m in members:
@@ -286,6 +289,8 @@ class TreeFile:
         info_at, info_size = self.raw_key("TList", "StreamerInfo", "", self.infos())
         keys_at, keys_size = self.raw_key("TFile", "f", "", struct.pack(">i", len(self.keys)) + b"".join(self.keys))
         begin = len(self.out)
+        if begin >= 1 << 31:
+            raise ValueError("a file's places have 32 bits; write more partitions")
         self.out += struct.pack(">hIIiiiii", 5, 0, 0, keys_size, 0, begin, 0, keys_at) + bytes(40)
         struct.pack_into(">4siiiiiiiBiii", self.out, 0, b"root", 62206, begin, len(self.out), 0, 0, 0, 0, 4, 1, info_at, info_size)
         return bytes(self.out)
@@ -309,54 +314,188 @@ def _numbers(values: pa.Array, code: str) -> bytes:
     return values.to_numpy(zero_copy_only=False).astype(LEAF_DTYPES[code]).tobytes()
 
 
-def add_column(f: TreeFile, tree: str, name: str, values: pa.Array) -> tuple:
-    """A branch of a column: numbers, strings, lists of numbers, or lists of records of numbers, which are stored split."""
+def c_name(kind: pa.DataType, record: str) -> str:
+    """The C++ type of values; records are classes of their own, named by where they stand."""
+    if kind in NUMBERS:
+        return NUMBERS[kind][1]
+    if pa.types.is_string(kind):
+        return "string"
+    inner = []
+    if pa.types.is_list(kind):
+        inner = [c_name(kind.value_type, record)]
+    elif pa.types.is_map(kind):
+        inner = [c_name(kind.key_type, f"{record}_key"), c_name(kind.item_type, record)]
+    elif pa.types.is_struct(kind):
+        return f"Record_{record}"
+    if not inner:
+        raise ValueError(f"{record} of type {kind} can't be written to a tree")
+    text = ",".join(inner)
+    return f"{'map' if len(inner) == 2 else 'vector'}<{text}{' ' if text.endswith('>') else ''}>"
+
+
+def member_of(name: str, kind: pa.DataType, record: str) -> tuple:
+    """A class's member as TreeFile.describe() takes it."""
+    if kind in NUMBERS:
+        return name, NUMBERS[kind][2], NUMBERS[kind][1]
+    if pa.types.is_string(kind):
+        return name, 500, "string", (), 365, 0
+    if pa.types.is_struct(kind):
+        return name, 62, c_name(kind, record)
+    item = NUMBERS[kind.value_type][2] if pa.types.is_list(kind) and kind.value_type in NUMBERS else 61
+    return name, 500, c_name(kind, record), (), 4 if pa.types.is_map(kind) else 1, item
+
+
+def describe(f: TreeFile, kind: pa.DataType, record: str) -> None:
+    """Lists the classes of all records that a type holds."""
+    if pa.types.is_struct(kind):
+        f.describe(c_name(kind, record), [member_of(x.name, x.type, f"{record}_{x.name}") for x in kind])
+        for x in kind:
+            describe(f, x.type, f"{record}_{x.name}")
+    elif pa.types.is_list(kind):
+        describe(f, kind.value_type, record)
+    elif pa.types.is_map(kind):
+        describe(f, kind.key_type, f"{record}_key")
+        describe(f, kind.item_type, record)
+
+
+def headed(body: bytes, version: int) -> bytes:
+    return struct.pack(">IH", COUNTED | (len(body) + 2), version) + body
+
+
+def encoder(kind: pa.DataType, top: bool) -> Callable[[object], bytes]:
+    """Bytes of a value stored in one piece; top: a branch or a member, whose container has a header."""
+    if kind in NUMBERS:
+        pack = struct.Struct(f">{FORMATS[NUMBERS[kind][2]]}").pack
+        return lambda v: pack(v)
+    if pa.types.is_string(kind):
+        return (lambda v: headed(_raw(v.encode()), 1)) if top else (lambda v: _raw(v.encode()))
+    if pa.types.is_struct(kind):
+        members = [(x.name, encoder(x.type, True)) for x in kind]
+        return lambda v: headed(b"".join(put(v[n]) for n, put in members), 1)
+    if pa.types.is_map(kind):
+        key, item = encoder(kind.key_type, False), encoder(kind.item_type, False)
+        body = lambda v: struct.pack(">i", len(v)) + b"".join(key(k) + item(x) for k, x in v)
+    else:
+        one = encoder(kind.value_type, False)
+        body = lambda v: struct.pack(">i", len(v)) + b"".join(map(one, v))
+    return (lambda v: headed(body(v), 9)) if top else body
+
+
+def many(kind: pa.DataType, values: list) -> bytes:
+    """A member of several items, one behind another: containers have one header for all of them."""
+    if not values:
+        return b""
+    nested = pa.types.is_string(kind) or pa.types.is_list(kind) or pa.types.is_map(kind)
+    body = b"".join(map(encoder(kind, False), values))
+    return headed(body, 1 if pa.types.is_string(kind) else 9) if nested else body
+
+
+def _whole(values: pa.Array) -> bool:
+    """Whether there is no null in it at any depth."""
+    if values.null_count:
+        return False
+    kind = values.type
+    if pa.types.is_list(kind):
+        return _whole(values.flatten())
+    if pa.types.is_map(kind):
+        return _whole(values.keys) and _whole(values.items)
+    return not pa.types.is_struct(kind) or all(_whole(x) for x in values.flatten())
+
+
+def add_column(f: TreeFile, tree: str, name: str, values: pa.Array, dims: tuple[int, ...] | str | None = None, counters: dict | None = None) -> tuple:
+    """A branch of a column.
+
+    Numbers are leaves, and lists of them as well where dims says so: fixed dimensions, or the name of the column that
+    counts them. Lists of records are split, a branch a member, and a record within such a record is a base class.
+    All else is stored in one piece.
+    """
     kind = values.type
-    if values.null_count or (pa.types.is_list(kind) and values.flatten().null_count):
+    if not _whole(values):
         raise ValueError(f"column {name} holds nulls, which a tree has no place for")
+    if dims is not None:
+        flat, fixed = values, () if isinstance(dims, str) else dims
+        while pa.types.is_list(flat.type):
+            flat = flat.flatten()
+        code = NUMBERS[flat.type][0]
+        width, n = np.dtype(LEAF_DTYPES[code]).itemsize, int(np.prod(fixed))
+        at = np.concatenate(([0], np.cumsum(np.diff(values.offsets.to_numpy())))) if isinstance(dims, str) else np.arange(len(values) + 1) * n
+        if at[-1] != len(flat):
+            raise ValueError(f"column {name} has entries of other dimensions than {dims}")
+        title = name + "".join(f"[{d}]" for d in ((dims,) if isinstance(dims, str) else fixed))
+        leaf = (f"TLeaf{code}", {"fName": name, "fTitle": title, "fLen": n, "fLeafCount": counters[dims] if isinstance(dims, str) else None}, ("leaf", name))
+        return "TBranch", {"fName": name, "fTitle": f"{title}/{code}", "fLeaves": [leaf], **f.packed_baskets(name, tree, _numbers(flat, code), at * width, isinstance(dims, str))}, ("branch", name)
     if kind in NUMBERS:
         code = NUMBERS[kind][0]
         width = np.dtype(LEAF_DTYPES[code]).itemsize
         baskets = f.packed_baskets(name, tree, _numbers(values, code), np.arange(len(values) + 1) * width, False)
         leaf = (f"TLeaf{code}", {"fName": name, "fTitle": name, "fLen": 1}, ("leaf", name))
+        if counters is not None:
+            counters[name] = leaf
         return "TBranch", {"fName": name, "fTitle": f"{name}/{code}", "fLeaves": [leaf], **baskets}, ("branch", name)
-    if pa.types.is_string(kind):
-        return f.element(tree, name, "string", [_text(v) for v in values.cast(pa.binary()).to_pylist()])
     if pa.types.is_list(kind):
         sizes = np.diff(values.offsets.to_numpy())
         at, flat, item = np.concatenate(([0], np.cumsum(sizes))), values.flatten(), kind.value_type
         if item in NUMBERS:
-            code, c_name, _ = NUMBERS[item]
+            code, own, _ = NUMBERS[item]
             width = np.dtype(LEAF_DTYPES[code]).itemsize
             data = _numbers(flat, code)
             head = [struct.pack(">IHi", COUNTED | (6 + width * n), 9, n) for n in sizes.tolist()]
-            return f.element(tree, name, f"vector<{c_name}>", [h + data[a * width : b * width] for h, a, b in zip(head, at[:-1].tolist(), at[1:].tolist(), strict=True)])
-        if pa.types.is_struct(item) and all(x.type in NUMBERS for x in item):
-            cls = f"Record_{name}"
-            f.describe(cls, [(x.name, NUMBERS[x.type][2], NUMBERS[x.type][1]) for x in item])
-            subs = []
-            for k, x in enumerate(item):
-                code = NUMBERS[x.type][0]
-                sub, width = f"{name}.{x.name}", np.dtype(LEAF_DTYPES[code]).itemsize
-                own = {"fName": sub, "fTitle": sub, "fLeaves": [("TLeafElement", {"fName": sub, "fTitle": sub, "fLen": 1}, ("leaf", sub))], "fClassName": cls, "fType": 41, "fID": k}
-                subs.append(("TBranchElement", own | f.packed_baskets(sub, tree, _numbers(flat.field(k), code), at * width, True), ("branch", sub)))
-            return f.element(tree, name, f"vector<{cls}>", [struct.pack(">i", n) for n in sizes.tolist()], subs, kind=4, offsets=False)
-    raise ValueError(f"column {name} of type {kind} can't be written to a tree")
-
-
-def _text(raw: bytes) -> bytes:
-    body = (bytes([len(raw)]) if len(raw) < 255 else b"\xff" + struct.pack(">I", len(raw))) + raw
-    return struct.pack(">IH", COUNTED | (len(body) + 2), 1) + body
-
-
-def write_trees(df: DataFrame, folder: str, tree: str = "Events", method: str = "ZL", per_basket: int = 8192) -> DataFrame:
+            return f.element(tree, name, f"vector<{own}>", [h + data[a * width : b * width] for h, a, b in zip(head, at[:-1].tolist(), at[1:].tolist(), strict=True)])
+        if pa.types.is_struct(item):
+            f.describe(c_name(item, name), _with_bases(f, item, name))
+            subs = [sub_branch(f, tree, name, place, x, part, at) for place, (x, part) in enumerate(_parts(flat))]
+            return f.element(tree, name, f"vector<{c_name(item, name)}>", [struct.pack(">i", n) for n in sizes.tolist()], subs, kind=4, offsets=False)
+    describe(f, kind, name)
+    return f.element(tree, name, c_name(kind, name), list(map(encoder(kind, True), values.to_pylist())))
+
+
+def _with_bases(f: TreeFile, kind: pa.DataType, record: str) -> list[tuple]:
+    out = []
+    for x in kind:
+        if pa.types.is_struct(x.type):
+            f.describe(x.name, _with_bases(f, x.type, f"{record}_{x.name}"))
+            out.append((x.name, 0, "BASE"))
+        else:
+            describe(f, x.type, f"{record}_{x.name}")
+            out.append(member_of(x.name, x.type, f"{record}_{x.name}"))
+    return out
+
+
+def _parts(flat: pa.Array) -> list[tuple[pa.Field, pa.Array]]:
+    """Members of records, those of bases among them."""
+    out = []
+    for x, part in zip(flat.type, flat.flatten(), strict=True):
+        out += _parts(part) if pa.types.is_struct(x.type) else [(x, part)]
+    return out
+
+
+def sub_branch(f: TreeFile, tree: str, name: str, place: int, member: pa.Field, values: pa.Array, at: np.ndarray) -> tuple:
+    """A member of a split collection; at: where each entry's items begin, and the end."""
+    sub, cls = f"{name}.{member.name}", f"Record_{name}"
+    if member.type in NUMBERS:
+        code = NUMBERS[member.type][0]
+        baskets = f.packed_baskets(sub, tree, _numbers(values, code), at * np.dtype(LEAF_DTYPES[code]).itemsize, True)
+    else:
+        cells = values.to_pylist()
+        baskets = f.baskets(sub, tree, [many(member.type, cells[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], True)
+    leaf = ("TLeafElement", {"fName": sub, "fTitle": sub, "fLen": 1}, ("leaf", sub))
+    return "TBranchElement", {"fName": sub, "fTitle": sub, "fLeaves": [leaf], "fClassName": cls, "fType": 41, "fID": place, **baskets}, ("branch", sub)
+
+
+def _raw(raw: bytes) -> bytes:
+    return (bytes([len(raw)]) if len(raw) < 255 else b"\xff" + struct.pack(">I", len(raw))) + raw
+
+
+def write_trees(df: DataFrame, folder: str, tree: str = "Events", method: str = "ZL", per_basket: int = 8192, arrays: dict[str, tuple[int, ...] | str] | None = None) -> DataFrame:
     """Writes a file of each partition that has rows; path and entries of each, in a table that is already made.
 
-    Columns hold numbers, strings, lists of numbers, or lists of records of numbers, without nulls. A task holds its
-    partition's packed columns, and one that runs again replaces its file.
+    Columns hold numbers, strings, lists, maps and records of them at any depth, without nulls; add_column() says how
+    each is stored. arrays: columns that are leaf arrays, by their fixed dimensions or the column that counts them. A
+    task holds its partition's packed columns, less than 2 GB, and one that runs again replaces its file.
     """
     ship(df.sparkSession)
-    names = df.columns
+    names, arrays = df.columns, arrays or {}
+    order = sorted(range(len(names)), key=lambda i: isinstance(arrays.get(names[i]), str))  # what counts comes first
 
     def run(batches):
         import os
@@ -366,8 +505,11 @@ def write_trees(df: DataFrame, folder: str, tree: str = "Events", method: str =
         if not rows:
             return
         table = pa.Table.from_batches(parts).combine_chunks()
-        f = TreeFile("", method, per_basket)
-        f.tree(tree, [add_column(f, tree, n, table.column(i).chunk(0)) for i, n in enumerate(names)], rows)
+        if any(c.num_chunks != 1 for c in table.columns):
+            raise ValueError("a partition's column is beyond 2 GB; write more partitions")
+        f, counters = TreeFile("", method, per_basket), {}
+        made = {i: add_column(f, tree, names[i], table.column(i).chunk(0), arrays.get(names[i]), counters) for i in order}
+        f.tree(tree, [made[i] for i in range(len(names))], rows)
         name = f"part-{TaskContext.get().partitionId():05d}.root"
         if "://" in folder and not folder.startswith("file:"):
             import pyarrow.fs as fs

@@ -8,6 +8,10 @@ import pytest
 from pleiad.sources import datasource
 from pleiad.sources.binary import BadFile
 from pleiad.sources.tree import NoTree, Tree
+from pleiad.plans.layout import Leaf, Vector
+from pleiad.plans.synthesis import Branch, Klass, Member, Synthesis, arrange
+from pleiad.sources.binary import Cursor
+from pleiad.sources.tree import Decoder
 from pleiad.sources.treewriter import COUNTED, TreeFile, nested_vector_entry, vector_entry, write_trees
 
 N = 100
@@ -210,4 +214,115 @@ def test_tables_come_back_as_they_were_written(spark, tmp_path):
     with pytest.raises(Exception, match="holds nulls"):
         write_trees(spark.sql("select cast(null as int) as x"), str(tmp_path / "bad"))
     with pytest.raises(Exception, match="can't be written"):
-        write_trees(spark.sql("select map(1, 2) as m"), str(tmp_path / "bad"))
+        write_trees(spark.sql("select date'2020-01-01' as m"), str(tmp_path / "bad"))
+
+
+def test_nested_columns_come_back_as_they_were_written(spark, tmp_path):
+    df = spark.sql("""select cast(id as int) as n, struct(id * 2 as l, concat('t', id) as name, sequence(0L, id % 3) as v, map(id, id / 4D) as m,
+        transform(sequence(0L, id % 2), x -> struct(cast(x as int) as e, array(x / 2D) as w)) as hits, struct(true as yes) as inner) as rec,
+      map(concat('k', id), sequence(0, cast(id % 4 as int))) as maps, array(array(id), array(), array(id, 7L)) as deep, array('a', concat('b', id)) as words,
+      filter(transform(sequence(0L, 3L), x -> struct(struct(x / 2 as pt, concat('p', x) as label) as Base, cast(x as int) as q, repeat('y', cast(300 * x as int)) as s,
+        sequence(0L, x) as v, map(cast(x as int), x * 3) as m, array(array(1F), array(2F, 3F)) as vv)), r -> r.q < id % 5) as parts,
+      transform(sequence(1L, 6L), x -> cast(x * id as float)) as grid, transform(filter(sequence(0L, 60L), x -> x < id), x -> cast(x as short)) as counted
+      from range(0, 60, 1, 2)""")
+    write_trees(df, str(tmp_path / "out"), per_basket=7, arrays={"grid": (6,), "counted": "n"})
+    back = datasource.read_trees(spark, str(tmp_path / "out"), flattenoutbasepass="off", entries="10")
+    assert back.schema.simpleString() == df.schema.simpleString()
+    key = lambda r: r["n"]
+    assert [r.asDict(True) for r in sorted(back.collect(), key=key)] == [r.asDict(True) for r in sorted(df.collect(), key=key)]
+    flat = datasource.read_trees(spark, str(tmp_path / "out"), columns=["n", "parts.pt", "parts.vv", "rec.hits"])
+    assert flat.schema["parts"].dataType.simpleString() == "array<struct<pt:double,vv:array<array<float>>>>"
+    assert flat.selectExpr("sum(size(parts))", "max(get(parts, 0).vv[1][1])").first() == (sum(min(4, i % 5) for i in range(60)), 3.0)
+
+
+# bytes put together by hand: a count of the bytes behind it under the mark 0x40, then a version ---------------------------------
+
+
+def counted(version: str, *parts: str | bytes) -> bytes:
+    raw = b"".join(bytes.fromhex(x) if isinstance(x, str) else x for x in (version, *parts))
+    return (0x40000000 | len(raw)).to_bytes(4, "big") + raw
+
+
+HIT = Klass("Hit", (Member("e", 3, "int"), Member("v", 500, "vector<int>", stl=1, item=3), Member("name", 500, "string", stl=365)))
+OUTER = Klass(
+    "Outer",
+    (
+        Member("Low", 0, "BASE"),
+        Member("m", 500, "map<short,float>", stl=4, item=61),
+        Member("mm", 500, "multimap<int,vector<short> >", stl=5, item=61),
+        Member("vv", 500, "vector<vector<short> >", stl=1, item=61),
+        Member("words", 500, "vector<string>", stl=1, item=61),
+        Member("title", 65, "TString"),
+        Member("hit", 62, "Hit"),
+        Member("hits", 500, "vector<Hit>", stl=1, item=61),
+    ),
+)
+CLASSES = arrange([HIT, OUTER, Klass("Low", (Member("id", 2, "short"),))])
+ONE_HIT = counted("0003", "00000005", counted("0009", "00000003 00000001 00000002 00000003"), counted("0009", "026162"))
+VALUES = {"Low": {"id": 258}, "m": [(1, 1.0), (2, -2.0)], "mm": [(7, [[1], []]), (8, [[2, 3]])], "vv": [[1], [2, 3]], "words": ["x", ""], "title": "T", "hit": {"e": 5, "v": [1, 2, 3], "name": "ab"}}
+
+
+def outer_bytes(hits: bytes) -> bytes:
+    return counted(
+        "0002",
+        counted("0001", "0102"),  # the base
+        counted("0009", "00000002 0001 3f800000 0002 c0000000"),
+        counted("0009", "00000003", "00000007 00000001 0001", "00000007 00000000", "00000008 00000002 0002 0003"),
+        counted("0009", "00000002 00000001 0001 00000002 0002 0003"),
+        counted("0009", "00000002 0178 00"),
+        "0154",
+        ONE_HIT,
+        hits,
+    )
+
+
+def test_records_in_one_piece_hold_containers_with_headers():
+    s = Synthesis(CLASSES)
+    node = s.column(Branch("o", "Outer"))
+    behind = counted("0009", "00000001", ONE_HIT)
+    # member by member (mark 0x40 of the version), then the class's version: all e, all v behind one header, all names behind one
+    apart = counted("4009", "0003", "00000002", "00000005 00000006", counted("0009", "00000001 00000009 00000000"), counted("0009", "0161 0162"))
+    for hits, expected in ((behind, [VALUES["hit"]]), (apart, [{"e": 5, "v": [9], "name": "a"}, {"e": 6, "v": [], "name": "b"}])):
+        raw = outer_bytes(hits)
+        got = Decoder().entry(node, Cursor(raw), len(raw))
+        assert got == VALUES | {"hits": expected}
+        inside = Decoder().entry(node, Cursor(raw[6:]), len(raw) - 6)  # a top branch's members without the header
+        assert inside == got
+
+
+def test_what_is_no_member_has_no_header():
+    s = Synthesis(arrange([Klass("vector<short>", (Member("This", 500, "vector<short>", stl=1, item=2),)), Klass("K", (Member("x", 500, "vector<vector<short> >", stl=1, item=61),))]))
+    node = s.column(Branch("k", "K")).members[0]
+    assert node == Vector("x", Vector("", Leaf("", "short"), False, False), False, True)
+    raw = counted("0009", "00000002 00000001 0001 00000000")
+    assert Decoder().value(node, Cursor(raw)) == [[1], []]
+
+
+def test_classes_that_hold_each_other_end():
+    s = Synthesis(arrange([Klass("A", (Member("b", 500, "vector<B>", stl=1, item=61),)), Klass("B", (Member("a", 500, "vector<A>", stl=1, item=61), Member("x", 3)))]))
+    assert s.column(Branch("a", "A")).spark_type().simpleString() == "struct<b:array<struct<a:array<void>,x:int>>>"
+    assert s.under_way == []
+
+
+@pytest.mark.parametrize("flag", [0, 1, 11, 12, 41])
+def test_baskets_left_within_the_branch(spark, tmp_path, flag):
+    """A branch with one basket on its own and one that its writer never flushed, put together by hand."""
+    texts = ["ab", "", "xyz"]
+    f = TreeFile(str(tmp_path / "t.root"), "", 2)
+    key = struct.pack(">ihiIhhii", 0, 4, 0, 0, 60, 1, 0, 0) + b"\x07TBasket" + b"\x01c" + b"\x01T"
+    if flag in (0, 12):
+        column = f.leaf("T", "c", "I", [4, 5])[0]
+        content, places = struct.pack(">3i", 6, 7, 8), b""
+        expected = [4, 5, 6, 7, 8]
+    else:
+        column = f.leaf("T", "c", "C", ["first", "second"])[0]
+        content = b"".join(bytes([len(t)]) + t.encode() for t in texts)
+        at = [60, 63, 64]
+        places = struct.pack(">4i", 3, *at) + (struct.pack(">4i", 3, 0, 0, 0) if flag > 40 else b"")
+        expected = ["first", "second", *texts]
+    last = 60 + len(content)
+    raw = key + struct.pack(">hiiiiB", 3, 32000, 1000, 3, last, 12 if flag == 0 else flag) + places + bytes(60) + content
+    column[1]["fBaskets"] = [(None, None, None), ("TBasket", raw, None)]
+    column[1]["fEntries"] = 5
+    f.tree("T", [column], 5)
+    assert [r[0] for r in datasource.read_trees(spark, f.close()).collect()] == expected
