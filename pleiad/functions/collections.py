@@ -8,21 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value worked out once a row however often the body, or a function within it, names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def leading(collection: Column, k: int, *by: Callable[[Column], Column]) -> Column:
     """The first k members in descending order of the keys, all of them if there are fewer; a null collection stays null.
 
-    Keys decide in turn, nulls last; give enough of them for a total order where ties matter.
+    Keys decide in turn, nulls last; members that tie in all of them keep their order.
     """
-
-    def order(a: Column, b: Column) -> Column:
-        out = F.lit(0)
-        for key in reversed(by):
-            x, y = key(a), key(b)
-            step = F.when(x > y, -1).when(x < y, 1).when(x.isNull() & y.isNotNull(), 1).when(x.isNotNull() & y.isNull(), -1)
-            out = F.coalesce(step, out)
-        return out
-
-    return F.slice(F.array_sort(collection, order), 1, k)
+    keyed = F.transform(collection, lambda m, i: F.struct(*(key(m).alias(f"k{n}") for n, key in enumerate(by)), (-i).alias("place")))
+    return F.transform(F.slice(F.sort_array(keyed, asc=False), 1, k), lambda x: F.get(collection, -x["place"]))
 
 
 def multiplicity(collection: Column) -> Column:
@@ -34,18 +31,34 @@ def transposed(*fields: Column | str) -> Column:
     return F.arrays_zip(*fields)
 
 
+def _by_key(entries: Column) -> Column:
+    """(key, place) of each entry, by key and in order within."""
+    return F.sort_array(F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("place"))))
+
+
 def map_last_wins(entries: Column) -> Column:
     """A map of (key, value) structs in order; of equal keys the last one stands."""
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    last = lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]
-    return F.map_from_arrays(keys, F.transform(keys, last))
+
+    def built(e: Column, own: Column) -> Column:
+        last = F.filter(own, lambda x, i: (i == F.size(own) - 1) | (F.get(own, i + 1)["key"] != x["key"]))
+        return F.map_from_entries(F.transform(last, lambda x: F.struct(x["key"], F.get(e, x["place"])["value"])))
+
+    return let(entries, lambda e: let(_by_key(e), lambda own: built(e, own)))
 
 
 def multimap(entries: Column) -> Column:
     """A map of (key, value) structs in order: to each key all of its values."""
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    own = lambda k: F.transform(F.filter(entries, lambda e: e["key"] == k), lambda e: e["value"])
-    return F.map_from_arrays(keys, F.transform(keys, own))
+
+    def built(e: Column, own: Column, begin: Column) -> Column:
+        end = lambda j: F.coalesce(F.get(begin, j + 1), F.size(own))
+        values = lambda b, j: F.transform(F.slice(own, b + 1, end(j) - b), lambda x: F.get(e, x["place"])["value"])
+        return F.map_from_entries(F.transform(begin, lambda b, j: F.struct(F.get(own, b)["key"], values(b, j))))
+
+    def begins(own: Column) -> Column:
+        places = F.transform(own, lambda _, i: i)
+        return F.filter(places, lambda i: (i == 0) | (F.get(own, i - 1)["key"] != F.get(own, i)["key"]))
+
+    return let(entries, lambda e: let(_by_key(e), lambda own: let(begins(own), lambda begin: built(e, own, begin))))
 
 
 def total(values: Column) -> Column:

@@ -13,7 +13,7 @@ from .operators import histogram as H
 from .operators import joins as J
 from .plans import codegen, layout, passes
 from .session import scratch
-from .sources.datasource import read_trees
+from .sources.datasource import entry_counts, read_trees
 from .sources.events import order_events, read_events, table
 from .sources.treewriter import write_trees
 from .streaming import windows as stream
@@ -79,9 +79,13 @@ def project_nested(spark: SparkSession, d: str) -> DataFrame:
     return order_events(spark, d).select("event_id", F.explode("muons.pt_").alias("pt"))
 
 
-@query("SELECT * FROM (SELECT p_partkey, p_name FROM part UNION ALL SELECT p_partkey, p_name FROM part)")
+@query("SELECT p_partkey, p_name FROM part WHERE p_size <= 20 UNION ALL SELECT p_partkey, p_name FROM part WHERE p_size > 20 UNION ALL SELECT p_partkey, p_name FROM part WHERE p_size <= 20")
 def union_paths(spark: SparkSession, d: str) -> DataFrame:
-    return read_events(spark, f"{d}/part.parquet", f"{d}/part.parquet", columns=["p_partkey", "p_name"], suffix="*")
+    """Two folders of files at different depths, one of them twice."""
+    top = scratch(spark)
+    table(spark, d, "part").where("p_size <= 20").write.parquet(f"{top}/small/deep/er")
+    table(spark, d, "part").where("p_size > 20").write.parquet(f"{top}/large")
+    return read_events(spark, f"{top}/small", f"{top}/large", f"{top}/small", columns=["p_partkey", "p_name"])
 
 
 @query("SELECT event_id, ts, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE event_type <> 'click'")
@@ -137,16 +141,28 @@ def distinct_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("event_type").agg(F.countDistinct("user_id").alias("users"), F.countDistinct("event_id").alias("ids"))
 
 
-@query()
+@query("SELECT event_type, count(DISTINCT user_id) AS users, true AS near FROM events GROUP BY event_type")
 def approx_distinct(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("users"))
+    """Sketched counts beside the exact ones: within three times their standard error."""
+    both = table(spark, d, "events").groupBy("event_type").agg(F.countDistinct("user_id").alias("users"), F.approx_count_distinct("user_id", 0.02).alias("about"))
+    return both.select("event_type", "users", (F.abs(F.col("about") - F.col("users")) <= 0.06 * F.col("users")).alias("near"))
 
 
 @query("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.9), 6) AS p90 FROM events GROUP BY event_type")
 def percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Exact, and so with every different value of a group in one buffer; percentile_approx bounds that (see approx_percentiles)."""
     return table(spark, d, "events").groupBy("event_type").agg(F.round(F.percentile("value", 0.5), 6).alias("median"), F.round(F.percentile("value", 0.9), 6).alias("p90"))
 
 
+@query("""SELECT event_type, true AS near FROM events GROUP BY event_type""")
+def approx_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """A sketch of bounded size: the median found has about half of the group's values below it."""
+    e = table(spark, d, "events")
+    medians = e.groupBy("event_type").agg(F.percentile_approx("value", 0.5, 1000).alias("median"))
+    ranks = e.join(medians, "event_type").groupBy("event_type").agg(F.avg((F.col("value") < F.col("median")).cast("double")).alias("below"), F.avg((F.col("value") <= F.col("median")).cast("double")).alias("upto"))
+    return ranks.select("event_type", ((F.col("below") <= 0.505) & (F.col("upto") >= 0.495)).alias("near"))
+
+
 @query("SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(grouping(l_returnflag) AS INTEGER) AS g1, CAST(grouping(l_linestatus) AS INTEGER) AS g2 FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
 def rollup(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.grouping("l_returnflag").cast("int").alias("g1"), F.grouping("l_linestatus").cast("int").alias("g2"))
@@ -283,11 +299,22 @@ def flatten_base(spark: SparkSession, d: str) -> DataFrame:
     return passes.applied(df, root, passes.run(root)).select("o_orderkey", "rec.o_custkey", "rec.price", "rec.o_orderstatus")
 
 
-@query("SELECT o_orderkey, 2 AS members FROM orders")
+@query("SELECT o_orderkey, 'Base,o_orderstatus' AS members, o_custkey, o_totalprice AS price FROM orders")
 def drop_null(spark: SparkSession, d: str) -> DataFrame:
+    """What is left of each record without its undecodable and empty members, by the names that its rows hold."""
     df, root = _layered(spark, d)
     got = passes.applied(df, root, passes.run(root, {"flattenoutbasepass": "off", "removeemptyrowpass": "on"}))
-    return got.select("o_orderkey", F.lit(len(got.schema["rec"].dataType.fields)).alias("members"))
+    return got.select("o_orderkey", F.array_join(F.json_object_keys(F.to_json("rec")), ",").alias("members"), "rec.Base.o_custkey", "rec.Base.price")
+
+
+@query("SELECT o_orderkey, 'o_custkey,price,o_orderstatus,empty' AS softly, 'empty,lost' AS without_empty FROM orders")
+def drop_empty(spark: SparkSession, d: str) -> DataFrame:
+    """The passes one by one: undecodable members alone gone, and empty records there or gone."""
+    df, root = _layered(spark, d)
+    names = lambda options: ",".join(passes.applied(df, root, passes.run(root, options)).schema["rec"].dataType.names)
+    soft = passes.applied(df, root, passes.run(root, {"softremovenulltypepass": "on", "removeemptyrowpass": "off"}))
+    gone = set(names({"hardremovenulltypepass": "off", "removeemptyrowpass": "off"}).split(",")) - set(names({}).split(","))
+    return soft.select("o_orderkey", F.lit(",".join(soft.schema["rec"].dataType.names)).alias("softly"), F.lit(",".join(sorted(gone))).alias("without_empty"))
 
 
 @query("SELECT o_orderkey, o_totalprice AS price FROM orders")
@@ -297,7 +324,9 @@ def prune_schema(spark: SparkSession, d: str) -> DataFrame:
     return passes.applied(df, root, pruned).select("o_orderkey", "rec.price")
 
 
-@query()
+@query("""SELECT place, replace(source, ';', chr(10)) AS source FROM (VALUES
+(0, '@dataclass;class Record0:;    pt_: float;    eta_: float;    phi_: float;    l_linenumber: int;    l_partkey: int'),
+(1, '@dataclass;class Event:;    event_id: int;    muons: list[Record0]')) AS x(place, source)""")
 def codegen_schema(spark: SparkSession, d: str) -> DataFrame:
     code = codegen.dataclasses(order_events(spark, d).schema, "Event")
     return spark.createDataFrame(list(enumerate(code)), "place int, source string")
@@ -334,9 +363,10 @@ def join_semi(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").join(table(spark, d, "orders").where("o_orderstatus = 'F'"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("c_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F' AND o_orderpriority LIKE '1%')")
 def join_anti(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").join(table(spark, d, "orders"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
+    urgent = table(spark, d, "orders").where("o_orderstatus = 'F' and o_orderpriority like '1%'")
+    return table(spark, d, "customer").join(urgent, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
 
 
 @query("SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM nation a JOIN nation b ON a.n_regionkey < b.n_regionkey")
@@ -388,10 +418,15 @@ def window_ranks(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT o_orderkey, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS moving,
-first_value(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS first_order FROM orders""")
+first_value(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS first_order,
+last_value(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_order,
+count(*) OVER (PARTITION BY o_custkey ORDER BY epoch(o_orderdate) RANGE BETWEEN 7776000 PRECEDING AND CURRENT ROW) AS of_90_days FROM orders""")
 def window_frames(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return table(spark, d, "orders").select("o_orderkey", F.round(F.sum("o_totalprice").over(w.rowsBetween(-2, 0)), 2).alias("moving"), F.first("o_orderkey").over(w).alias("first_order"))
+    all_of, days = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing), Window.partitionBy("o_custkey").orderBy("second").rangeBetween(-90 * 86_400, 0)
+    o = table(spark, d, "orders").withColumn("second", F.unix_timestamp(F.col("o_orderdate").cast("timestamp")))
+    moving = F.round(F.sum("o_totalprice").over(w.rowsBetween(-2, 0)), 2).alias("moving")
+    return o.select("o_orderkey", moving, F.first("o_orderkey").over(w).alias("first_order"), F.last("o_orderkey").over(all_of).alias("last_order"), F.count(F.lit(1)).over(days).alias("of_90_days"))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
@@ -505,3 +540,75 @@ def tree_dimuon_mass(spark: SparkSession, d: str) -> DataFrame:
     write_trees(order_events(spark, d), folder)
     masses = dimuon_masses(read_trees(spark, folder, columns=["event_id", "muons.pt_", "muons.eta_", "muons.phi_"]))
     return masses.agg(F.round(F.max("mass"), 6).alias("largest"), F.count(F.lit(1)).alias("n"))
+
+
+def _tree_events(spark: SparkSession, d: str, folder: str) -> None:
+    """Orders and their items as events with columns of every kind that a tree stores."""
+    hit = F.struct(F.struct("l_extendedprice", "l_quantity").alias("Base"), "l_linenumber", "l_returnflag", F.array("l_tax", "l_discount").alias("rates"))
+    by_line = F.struct(F.col("l_linenumber").alias("key"), F.col("l_partkey").alias("value"))
+    items = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_extendedprice", hit.alias("hit"), by_line.alias("pair")))).alias("x"))
+    whole = F.struct(F.col("l_orderkey").alias("id"), F.lit("order").alias("label"), F.col("x.l_partkey").alias("parts"), F.transform("x.hit", lambda h: F.struct(h["l_returnflag"].alias("flag"), h["rates"].alias("rates"))).alias("lines"))
+    grid = F.transform(F.sequence(F.lit(0), F.lit(1)), lambda i: F.transform(F.sequence(F.lit(0), F.lit(2)), lambda j: (F.col("l_orderkey") * 10 + i * 3 + j).cast("double")))
+    df = items.select("l_orderkey", F.size("x").alias("n"), F.col("x.l_extendedprice").alias("prices"), grid.alias("grid"), C.map_last_wins(F.col("x.pair")).alias("by_line"), whole.alias("whole"), F.col("x.hit").alias("hits"))
+    write_trees(df, folder, arrays={"prices": "n", "grid": (2, 3)})
+
+
+@query("""SELECT l_orderkey, count(*) AS n, 'order' AS label, sum(l_partkey)::BIGINT AS parts, round(sum(l_tax + l_discount), 6) AS rates,
+count(*) FILTER (l_returnflag = 'R') AS returned FROM lineitem GROUP BY l_orderkey""")
+def tree_unsplit_records(spark: SparkSession, d: str) -> DataFrame:
+    """Records stored in one piece that hold a string, a vector, and a vector of records with vectors of their own."""
+    folder = scratch(spark)
+    _tree_events(spark, d, folder)
+    w = F.col("whole")
+    rates = F.flatten(F.transform(w["lines"], lambda x: x["rates"]))
+    got = read_trees(spark, folder, columns=["whole"])
+    returned = F.size(F.filter(w["lines"], lambda x: x["flag"] == "R")).cast("long")
+    return got.select(w["id"].alias("l_orderkey"), F.size(w["lines"]).cast("long").alias("n"), w["label"].alias("label"), C.total(w["parts"]).cast("long").alias("parts"), F.round(C.total(rates), 6).alias("rates"), returned.alias("returned"))
+
+
+@query("""SELECT l_orderkey, l_linenumber AS key, l_partkey AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC) AS r FROM lineitem) WHERE r = 1""")
+def tree_maps(spark: SparkSession, d: str) -> DataFrame:
+    folder = scratch(spark)
+    _tree_events(spark, d, folder)
+    return read_trees(spark, folder, columns=["l_orderkey", "by_line"], entries="5000").select("l_orderkey", F.explode("by_line").alias("key", "value"))
+
+
+@query("""SELECT l_orderkey, count(*)::INTEGER AS n, round(sum(l_extendedprice), 2) AS total, l_orderkey * 10.0 + 5 AS corner, l_orderkey * 10.0 + 1 AS beside FROM lineitem GROUP BY l_orderkey""")
+def tree_nd_arrays(spark: SparkSession, d: str) -> DataFrame:
+    """Leaf arrays: one whose length another column counts, and one of fixed dimensions."""
+    folder = scratch(spark)
+    _tree_events(spark, d, folder)
+    got = read_trees(spark, folder, columns=["l_orderkey", "n", "prices", "grid"])
+    return got.select("l_orderkey", "n", F.round(C.total(F.col("prices")), 2).alias("total"), F.col("grid")[1][2].alias("corner"), F.col("grid")[0][1].alias("beside"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice, l_quantity, l_returnflag, l_tax AS rate, true AS same FROM lineitem")
+def tree_flatten_base(spark: SparkSession, d: str) -> DataFrame:
+    """A split collection with a base class, strings and vectors: flattened, and with the base as a record of its own."""
+    folder = scratch(spark)
+    _tree_events(spark, d, folder)
+    flat = read_trees(spark, folder, columns=["l_orderkey", "hits"]).select("l_orderkey", F.inline("hits"))
+    nested = read_trees(spark, folder, columns=["l_orderkey", "hits.Base"], flattenoutbasepass="off")
+    sums = nested.select("l_orderkey", F.expr("aggregate(hits.Base.l_quantity, 0D, (s, x) -> s + x)").alias("whole"))
+    w = Window.partitionBy("l_orderkey")
+    same = F.abs(F.sum("l_quantity").over(w) - F.col("whole")) < 1e-9
+    return flat.join(sums, "l_orderkey").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_returnflag", F.col("rates")[0].alias("rate"), same.alias("same"))
+
+
+@query("SELECT count(DISTINCT l_orderkey) AS n FROM lineitem")
+def tree_count(spark: SparkSession, d: str) -> DataFrame:
+    """Events by the files' headers alone."""
+    folder = scratch(spark)
+    write_trees(order_events(spark, d), folder)
+    return entry_counts(spark, folder).agg(F.sum("entries").alias("n"))
+
+
+@query("SELECT p_partkey, p_size FROM part WHERE p_size = 7 OR p_size > 48")
+def tree_ignore_corrupt(spark: SparkSession, d: str) -> DataFrame:
+    """Files that can't be read among those that can: they give no rows."""
+    folder = scratch(spark)
+    write_trees(table(spark, d, "part").select("p_partkey", "p_size"), folder)
+    spark.createDataFrame([("no tree",)], "value string").coalesce(1).write.text(f"{folder}/z")
+    got = read_trees(spark, folder, suffix="", ignorecorrupt="on", columns=["p_partkey", "p_size"])
+    return got.where("p_size = 7 or p_size > 48")

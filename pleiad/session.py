@@ -18,6 +18,7 @@ SETTINGS = {
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 
@@ -46,10 +47,20 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, or a temporary one where that is unset."""
+    """A new folder that driver and executors share, below spark.checkpoint.dir; gone when the driver's JVM ends.
+
+    Where that is unset, and driver and executors are one machine, it is a temporary one.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared}/pleiad-{uuid.uuid4().hex}"
-    made = tempfile.mkdtemp(prefix="pleiad-")
-    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        made = tempfile.mkdtemp(prefix="pleiad-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        return made
+    made = f"{shared}/pleiad-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(made)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
     return made

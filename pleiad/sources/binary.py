@@ -22,12 +22,33 @@ class BadFile(ValueError):
     pass
 
 
-def opened(path: str):
+#: File systems by scheme; others are left to the address alone.
+STORES = {"s3": "S3FileSystem", "gs": "GcsFileSystem", "gcs": "GcsFileSystem", "hdfs": "HadoopFileSystem", "viewfs": "HadoopFileSystem", "abfs": "AzureFileSystem", "abfss": "AzureFileSystem", "file": "LocalFileSystem"}
+
+
+def store_of(uri: str, settings: dict[str, str] | None = None):
+    """(file system, path in it) of an address; settings are arguments of the scheme's file system, for Hadoop its own keys."""
+    import pyarrow.fs as fs
+
+    if not settings:
+        return fs.FileSystem.from_uri(uri)
+    scheme, _, rest = uri.partition("://")
+    host, _, path = rest.partition("/")
+    kind = getattr(fs, STORES[scheme])
+    if STORES[scheme] == "HadoopFileSystem":
+        name, _, port = host.partition(":")
+        given = {k: v for k, v in settings.items() if k in ("user", "kerb_ticket")}
+        extra = {k: v for k, v in settings.items() if k not in given}
+        return kind(f"{scheme}://{name}" if name else "default", int(port or 0), extra_conf=extra, **given), f"/{path}"
+    plain = {"true": True, "false": False}
+    store = kind(**{k: plain.get(v.lower(), v) for k, v in settings.items()})
+    return store, f"/{path}" if scheme == "file" else f"{host}/{path}"
+
+
+def opened(path: str, settings: dict[str, str] | None = None):
     """A random-access file of a local path or of a store that pyarrow knows."""
     if "://" in path or path.startswith("file:"):
-        import pyarrow.fs as fs
-
-        store, at = fs.FileSystem.from_uri(path)
+        store, at = store_of(path, settings)
         return store.open_input_file(at)
     return open(path, "rb")
 
@@ -117,8 +138,8 @@ class Key:
 class KeyedFile:
     """An open file: its directory of keys and the classes that it describes."""
 
-    def __init__(self, path: str):
-        self.file = opened(path)
+    def __init__(self, path: str, settings: dict[str, str] | None = None):
+        self.file = opened(path, settings)
         try:
             head = self.at(0, 100)
             if head[:4] != b"root":

@@ -32,8 +32,8 @@ def _dims(title: str) -> list[str]:
 class Tree:
     """An open tree. columns(options) gives its layout after the passes; batches() reads."""
 
-    def __init__(self, path: str, name: str | None = None):
-        self.file = KeyedFile(path)
+    def __init__(self, path: str, name: str | None = None, settings: dict[str, str] | None = None):
+        self.file = KeyedFile(path, settings)
         try:
             key = self.file.find("TTree", name)
             if key is None:
@@ -234,9 +234,21 @@ class Tree:
         out = [read.entry(node, Cursor(data, a), end) for a, end in zip(at[:-1].tolist(), ends, strict=True)]
         return pa.array(out, to_arrow_type(node.spark_type()))
 
-    def batches(self, root: Root, start: int, end: int, size: int = 20_000) -> Iterator[pa.RecordBatch]:
+    def batches(self, root: Root, start: int, end: int, size: int = 20_000, may_hold: Callable[[pa.RecordBatch], np.ndarray] | None = None, by: tuple[str, ...] = ()) -> Iterator[pa.RecordBatch]:
+        """The range in batches; may_hold, asked with the columns by, says which entries may be wanted.
+
+        Batches without such an entry are left out before any other column of theirs is read.
+        """
+        few = replace(root, columns=tuple(c for c in root.columns if c.column in by))
         for a in range(start, end, size):
-            yield self.batch(root, a, min(end, a + size))
+            b = min(end, a + size)
+            if few.columns and may_hold:
+                hit = may_hold(self.batch(few, a, b))
+                if not hit.any():
+                    continue
+                yield self.batch(root, a, b).filter(pa.array(hit))
+            elif root.columns:
+                yield self.batch(root, a, b)
 
 
 def _flat(values: np.ndarray) -> pa.Array:

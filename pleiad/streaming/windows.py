@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch
+
 
 def event_stream(spark: SparkSession, path: str) -> DataFrame:
     """A stream of the Parquet files under a folder, or of the one file there."""
@@ -31,17 +32,37 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -
     return got.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("w.end").cast("timestamp_ntz").alias("end"), "n")
 
 
-def first_seen(events: DataFrame) -> DataFrame:
-    """user_id, event_type: one row for each pair that the stream has had."""
-    return events.select("user_id", "event_type").dropDuplicates(["user_id", "event_type"])
+def first_seen(events: DataFrame, within: str | None = None) -> DataFrame:
+    """user_id, event_type: one row for each pair that the stream has had.
+
+    The state is a row a pair, for good; with within (a time) a pair that returns later than that counts anew, and the
+    state holds the pairs of that time alone.
+    """
+    if within is None:
+        return events.select("user_id", "event_type").dropDuplicates(["user_id", "event_type"])
+    timed = events.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", within)
+    return timed.dropDuplicatesWithinWatermark(["user_id", "event_type"]).select("user_id", "event_type")
 
 
 def drained(stream: DataFrame, mode: str) -> DataFrame:
-    """The result over all files there now: the stream runs until it has read them, into an in-memory table."""
-    name = f"pleiad_stream_{uuid.uuid4().hex}"
-    running = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    """The result over all files there now: the stream runs until it has read them, and writes a folder a batch.
+
+    The folders and the stream's checkpoint lie in the folder that driver and executors share, so no rows pass the driver
+    and a batch that runs again replaces its own folder. In mode complete the last batch is the result.
+    """
+    spark = stream.sparkSession
+    top, last = scratch(spark), []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{top}/batch-{number:06d}")
+        last.append(number)
+
+    running = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{top}/checkpoint").trigger(availableNow=True).start()
     running.awaitTermination()
-    return stream.sparkSession.table(name)
+    if not last:
+        return spark.createDataFrame([], stream.schema)
+    folders = [f"{top}/batch-{n:06d}" for n in sorted(set(last))]
+    return spark.read.schema(stream.schema).parquet(*(folders[-1:] if mode == "complete" else folders))
 
 
 def windowed_counts(spark: SparkSession, path: str) -> DataFrame:

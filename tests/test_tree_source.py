@@ -4,13 +4,13 @@ import struct
 
 import numpy as np
 import pytest
+from pyarrow.fs import LocalFileSystem
 
 from pleiad.sources import datasource
-from pleiad.sources.binary import BadFile
+from pleiad.sources.binary import BadFile, Cursor, store_of
 from pleiad.sources.tree import NoTree, Tree
 from pleiad.plans.layout import Leaf, Vector
 from pleiad.plans.synthesis import Branch, Klass, Member, Synthesis, arrange
-from pleiad.sources.binary import Cursor
 from pleiad.sources.tree import Decoder
 from pleiad.sources.treewriter import COUNTED, TreeFile, nested_vector_entry, vector_entry, write_trees
 
@@ -102,7 +102,7 @@ def test_pruning_ranges_counts_and_many_files(spark, tmp_path):
     assert df.columns == ["varr1", "a"] and df.count() == 200
     assert df.rdd.getNumPartitions() > 4
     assert sorted(r["a"] for r in df.where("size(varr1) = 3").collect()) == [3, 3]
-    assert datasource.entry_count(str(tmp_path)) == 200 and datasource.entry_count(a, b, b) == 300
+    assert datasource.entry_count(spark, str(tmp_path)) == 200 and datasource.entry_count(spark, a, b, b) == 300
     with pytest.raises(Exception, match="no column"):
         datasource.read_trees(spark, a, columns=["missing"]).collect()
 
@@ -326,3 +326,35 @@ def test_baskets_left_within_the_branch(spark, tmp_path, flag):
     column[1]["fEntries"] = 5
     f.tree("T", [column], 5)
     assert [r[0] for r in datasource.read_trees(spark, f.close()).collect()] == expected
+
+
+def test_comparisons_decide_what_is_read(spark, tmp_path, monkeypatch):
+    path = unit_file(str(tmp_path / "t.root"), "ZL", 10)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = datasource.read_trees(spark, path)
+        assert sorted(r["a"] for r in df.where("a >= 90 and b < 95 and c > 91").collect()) == [92, 93, 94]
+        assert [r["a"] for r in df.where("a in (7, 300) and varr1[6] = 6").collect()] == [7]
+        assert df.where("a > 1000").count() == 0 and df.where("str = 'abc' and not a = 4").count() == 99
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    with Tree(path) as t:
+        read, whole = [], t.batch
+        monkeypatch.setattr(t, "batch", lambda root, a, b: read.append((len(root.columns), a)) or whole(root, a, b))
+        reader = datasource.FilteringReader([path], {}, t.layout().spark_type())
+        reader.filters = (datasource.GreaterThan(("a",), 84),)
+        got = [v for b in t.batches(t.layout(), 0, 100, 20, reader.may_hold, ("a",)) for v in b.column(0).to_pylist()]
+    assert got == list(range(85, 100)) and [r for r in read if r[0] > 1] == [(22, 80)]
+
+
+def test_settings_reach_the_store(spark, tmp_path):
+    path = f"file://{unit_file(str(tmp_path / 't.root'))}"
+    options = {"storage.use_mmap": "true"}
+    with Tree(path, None, datasource.storage(options)) as t:
+        assert t.entries == N
+    store, at = store_of(path, {"use_mmap": "true"})
+    assert store == LocalFileSystem(use_mmap=True) != LocalFileSystem() and at == path.removeprefix("file://")
+    assert datasource.read_trees(spark, path, columns=["a"], entries="50", **options).count() == N
+    assert datasource.entry_count(spark, path, **options) == N
+    with pytest.raises(Exception, match="nonsense"):
+        Tree(path, None, {"nonsense": "1"})
