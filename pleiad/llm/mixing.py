@@ -172,7 +172,7 @@ def mixed(docs: DataFrame, entropy: float = ENTROPY, max_epochs: float = MAX_EPO
     source is many groups, and their order's sums are taken in two levels: of a source of b blocks no window holds
     more than about the square root of b (12,400 for 10^13 tokens), nor one of documents more than a block's.
     """
-    names = [F.col(f"mix_row.`{c}`") for c in docs.columns if c not in ADDED]
+    names = [F.col("mix_row.`" + c.replace("`", "``") + "`") for c in docs.columns if c not in ADDED]
     return _taken(docs, entropy, max_epochs, budget).select(*names, *ADDED)
 
 

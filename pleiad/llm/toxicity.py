@@ -46,7 +46,7 @@ def rows_of(word: bytes) -> tuple[int, ...]:
 
 @dataclass
 class Model:
-    """Weights; a score is prior where there was nothing to learn from."""
+    """Weights; where there was nothing to tell the labels apart by, all scores are prior and no text is rejected."""
 
     embedding: np.ndarray | None = None
     filters: list[np.ndarray] = field(default_factory=list)
@@ -186,7 +186,7 @@ def train(sample: Sample, epochs: int | None = None) -> Model:
     """
     y = sample.labels
     if len(set(y.tolist())) < 2:
-        return Model(prior=float((y.sum() + 0.5) / (len(y) + 1)) if len(y) else 0.5)
+        return Model(prior=float((y.sum() + 0.5) / (len(y) + 1)) if len(y) else 0.5, thresholds={None: 1.0})
     rng = np.random.default_rng(SEED)
     part = np.zeros(len(y), bool)
     for label in (0, 1):
@@ -312,10 +312,12 @@ def kept(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(sent.value)
         for b in batches:
-            s, limit = judge(b.column(text), None if lang is None else b.column(lang))
-            yield b.filter(pa.array(s < limit))
+            cols = b.column(0).flatten()
+            s, limit = judge(cols[text], None if lang is None else cols[lang])
+            yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(s < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    names = docs.columns
+    return docs.select(F.struct("*").alias("row")).mapInArrow(run, docs.schema)  # one struct: names with dots pass
 
 
 class Judge:
@@ -340,7 +342,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("score", "threshold", "rejected")]
-    own = docs.select(*(F.col(f"`{c}`") for c in names))
+    own = docs.select(*(F.col("`" + c.replace("`", "``") + "`") for c in names))
     schema = T.StructType([*own.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("threshold", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
     sent = docs.sparkSession.sparkContext.broadcast(model)
     text, lang = names.index("text"), names.index("lang") if "lang" in names else None
@@ -348,10 +350,11 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(sent.value)
         for b in batches:
-            s, limit = judge(b.column(text), None if lang is None else b.column(lang))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array(limit), pa.array(s >= limit)], names=schema.names)
+            cols = b.column(0).flatten()
+            s, limit = judge(cols[text], None if lang is None else cols[lang])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(s), pa.array(limit), pa.array(s >= limit)], names=schema.names)
 
-    return own.mapInArrow(run, schema)
+    return own.select(F.struct("*").alias("row")).mapInArrow(run, schema)
 
 
 def toxicity_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -48,3 +49,39 @@ def test_run_gives_the_last_stage(spark, tmp_path):
     spark.createDataFrame(docs, H.DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     H.labels(spark, marks).write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def written(spark, folder, docs, marks) -> str:
+    docs.write.parquet(f"{folder}/documents.parquet")
+    H.labels(spark, marks).write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_empty_tables_run_through(spark, tmp_path):
+    assert corpus_pipeline.run(spark, written(spark, tmp_path / "none", H.none(spark), [])).collect() == []
+    docs, marks = corpus(30)
+    assert corpus_pipeline.run(spark, written(spark, tmp_path / "unlabelled", spark.createDataFrame(docs, H.DOCS), [])).count() > 0
+
+
+CLASHES = ("score", "threshold", "rejected", "row", "keep", "doc", "group", "mix_tokens", "mix_ratio", "mix_row", "label", "own_id", "k", "node", "a.b", "c`d")
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    docs = H.clashing(spark, *CLASHES)
+    top = written(spark, tmp_path, docs, [(8, 1, 1), (3, 1, 0), (50, 1, 0), (52, 1, 1)])
+    now = spark.read.parquet(f"{top}/documents.parquet")
+    names = now.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, now, top).write.parquet(f"{top}/{name}")
+        now = spark.read.parquet(f"{top}/{name}")
+        assert now.columns == names
+        assert now.select(*(F.col("`" + c.replace("`", "``") + "`") for c in CLASHES)).distinct().collect() in ([("mine",) * len(CLASHES)], [])
+    assert corpus_pipeline.STAGES[-1][1](spark, now, top).count() > 0
+
+
+def test_n_chars_follows_the_text(spark, tmp_path):
+    rows = [(i, f"a line of all\nown {i} é{'z' * i}\nA LINE of all ", None, None, 999) for i in range(12)]
+    rows += [(50, None, None, None, 7), (51, "", None, None, 3), (52, "x" * 100_000 + "\na line of all", None, None, None)]
+    got = {r["doc_id"]: r for r in corpus_pipeline.drop_shared_lines(spark, spark.createDataFrame(rows, H.DOCS), str(tmp_path)).collect()}
+    assert all(got[i]["text"] == f"own {i} é{'z' * i}" and got[i]["n_chars"] == len(got[i]["text"]) for i in range(12))
+    assert got[50]["text"] is None and got[50]["n_chars"] == 7 and got[51]["n_chars"] == 0 and got[52]["n_chars"] == 100_000
