@@ -14,7 +14,7 @@ from .operators import joins as J
 from .plans import codegen, layout, passes
 from .session import scratch
 from .sources.datasource import entry_counts, read_trees
-from .sources.events import order_events, read_events, table
+from .sources.events import order_events, read_events, table, write_events
 from .sources.treewriter import write_trees
 from .streaming import windows as stream
 
@@ -94,6 +94,18 @@ def json_props(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").where("event_type <> 'click'").select("event_id", "ts", "event_type", k.alias("k"))
 
 
+@query("SELECT p_partkey, p_name, p_size, p_retailprice, 3 AS kinds FROM part")
+def file_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """A table written and read as ORC, JSON and CSV: rows that all three give alike."""
+    top, own = scratch(spark), table(spark, d, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    parts = []
+    for kind in ("orc", "json", "csv"):
+        write_events(own, f"{top}/{kind}", kind=kind)
+        parts.append(read_events(spark, f"{top}/{kind}", kind=kind, schema=None if kind == "orc" else own.schema))
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return every.groupBy(*own.columns).agg(F.count(F.lit(1)).cast("int").alias("kinds"))
+
+
 # --- aggregations ----------------------------------------------------------------------------------------------------
 
 
@@ -358,6 +370,17 @@ def join_full(spark: SparkSession, d: str) -> DataFrame:
     return s.join(c, F.col("s_suppkey") == F.col("c_custkey"), "full").select("s_suppkey", "c_custkey")
 
 
+@query("SELECT how, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey, (VALUES ('broadcast'), ('merge'), ('shuffle_hash')) AS x(how) GROUP BY how")
+def join_hints(spark: SparkSession, d: str) -> DataFrame:
+    """One join by each strategy that a hint can ask for."""
+    o, c = table(spark, d, "orders").select("o_custkey"), table(spark, d, "customer").select("c_custkey")
+    out = None
+    for how in ("broadcast", "merge", "shuffle_hash"):
+        part = o.join(c.hint(how), F.col("o_custkey") == F.col("c_custkey")).agg(F.lit(how).alias("how"), F.count(F.lit(1)).alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
 def join_semi(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").join(table(spark, d, "orders").where("o_orderstatus = 'F'"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("c_custkey")

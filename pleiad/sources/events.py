@@ -11,15 +11,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_events(spark: SparkSession, *paths: str, columns: list[str] | None = None, recursive: bool = True, suffix: str = "*.parquet") -> DataFrame:
+def read_events(spark: SparkSession, *paths: str, columns: list[str] | None = None, recursive: bool = True, suffix: str | None = None, kind: str = "parquet", schema: T.StructType | str | None = None) -> DataFrame:
     """One table of all files under the paths whose names fit; columns may reach into structs, also within arrays.
 
-    A path that is given twice is read twice, which Spark's own file index would not do.
+    kind: parquet, orc, json or csv; the last two need a schema, or read a file more to infer one. A path that is given
+    twice is read twice, which Spark's own file index would not do.
     """
-    reader = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", suffix)
-    df = reader.parquet(*dict.fromkeys(paths))
+    reader = spark.read.format(kind).option("recursiveFileLookup", recursive).option("pathGlobFilter", suffix or f"*.{kind}")
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.load(list(dict.fromkeys(paths)))
     for path in (p for i, p in enumerate(paths) if p in paths[:i]):
-        df = df.unionByName(reader.parquet(path))
+        df = df.unionByName(reader.load(path))
     return df.select(*columns) if columns else df
 
 
@@ -51,10 +54,10 @@ def writable(df: DataFrame) -> DataFrame:
     return df.select(*(project(F.col(f"`{f.name}`"), f.dataType, k).alias(f.name) for f, k in columns if k is not None))
 
 
-def write_events(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "errorifexists") -> None:
-    """Event tables as Parquet, with Hive partitions if asked for."""
-    writer = writable(df).write.mode(mode)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+def write_events(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "errorifexists", kind: str = "parquet") -> None:
+    """Event tables as Parquet (or orc, json, csv), with Hive partitions if asked for."""
+    writer = writable(df).write.mode(mode).format(kind)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
 def order_events(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Callable, Iterator
 from dataclasses import replace
 
@@ -17,6 +18,7 @@ from .binary import BadFile, Cursor, Key, KeyedFile, inflated
 
 DTYPES = {"B": "i1", "b": "i1", "S": ">i2", "s": ">i2", "I": ">i4", "i": ">i4", "L": ">i8", "l": ">i8", "F": ">f4", "D": ">f8", "O": "?"}
 KIND_DTYPES = {"byte": "i1", "short": ">i2", "int": ">i4", "long": ">i8", "float": ">f4", "double": ">f8", "boolean": "?"}
+ONE = {kind: struct.Struct(f">{code}") for kind, code in (("byte", "b"), ("short", "h"), ("int", "i"), ("long", "q"), ("float", "f"), ("double", "d"), ("boolean", "?"))}
 MEMBERWISE = 1 << 14
 
 
@@ -296,8 +298,9 @@ class Decoder:
                 if node.top:
                     self.passed(c)
                 return c.text()
-            dtype = np.dtype(KIND_DTYPES[node.kind])
-            return np.frombuffer(c.bytes(dtype.itemsize), dtype)[0].item()
+            one = ONE[node.kind]
+            c.at += one.size
+            return one.unpack_from(c.data, c.at - one.size)[0]
         if isinstance(node, Array):
             return self.many(node.item, c, node.length or 0)
         if isinstance(node, (Vector, MapOf)):
@@ -337,7 +340,9 @@ class Decoder:
     def collection(self, node: Node, c: Cursor, memberwise: bool = False):
         n = c.take("i")
         if isinstance(node, MapOf):
-            if memberwise:
+            if not memberwise and _is_number(node.key) and _is_number(node.value):
+                pairs = np.frombuffer(c.bytes(n * (ONE[node.key.kind].size + ONE[node.value.kind].size)), [("k", KIND_DTYPES[node.key.kind]), ("v", KIND_DTYPES[node.value.kind])]).tolist()
+            elif memberwise:
                 pairs = list(zip(self.many(node.key, c, n), self.many(node.value, c, n), strict=True))
             else:
                 pairs = [(self.value(node.key, c), self.value(node.value, c)) for _ in range(n)]
@@ -374,5 +379,9 @@ class Decoder:
         return [{name: v[i] for name, v in columns} for i in range(n)]
 
 
+def _is_number(node: Node) -> bool:
+    return isinstance(node, Leaf) and node.kind in KIND_DTYPES
+
+
 def _is_pair(node: Struct) -> bool:
     return [m.name for m in node.members] == ["first", "second"]

@@ -92,3 +92,12 @@ def test_codegen(spark):
     fields = space["Event"].__dataclass_fields__
     assert list(fields) == ["muons", "_class", "_9lost"]
     assert spark.read.schema(codegen.ddl(df.select("muons").schema)) is not None
+
+
+def test_rows_as_objects(spark):
+    df = spark.sql("select 1L as id, array(struct(2 as q, map('k', struct(0.5D as x)) as m), null) as parts, cast(null as struct<z: int>) as gone")
+    made, typed = codegen.classes(df.schema), codegen.typed(df.schema)
+    assert set(made) == {"Event", "Record0", "Record1", "Record2"}
+    event = typed(df.first())
+    assert type(event).__name__ == "Event" and event.id == 1 and event.parts[1] is None and event.gone is None
+    assert event.parts[0].q == 2 and event.parts[0].m["k"].x == 0.5
