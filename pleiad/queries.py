@@ -106,6 +106,15 @@ def file_kinds(spark: SparkSession, d: str) -> DataFrame:
     return every.groupBy(*own.columns).agg(F.count(F.lit(1)).cast("int").alias("kinds"))
 
 
+@query("SELECT o_orderstatus, count(*) AS n, max(o_totalprice) AS largest FROM orders WHERE o_orderstatus IN ('F', 'P') GROUP BY o_orderstatus")
+def partition_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Events in a folder for each value of a column: the filter on it lists those folders alone."""
+    top = scratch(spark)
+    write_events(table(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice"), f"{top}/o", partition_by=["o_orderstatus"])
+    got = spark.read.parquet(f"{top}/o").where("o_orderstatus in ('F', 'P')")
+    return got.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("largest"))
+
+
 # --- aggregations ----------------------------------------------------------------------------------------------------
 
 
@@ -565,15 +574,15 @@ def tree_dimuon_mass(spark: SparkSession, d: str) -> DataFrame:
     return masses.agg(F.round(F.max("mass"), 6).alias("largest"), F.count(F.lit(1)).alias("n"))
 
 
-def _tree_events(spark: SparkSession, d: str, folder: str) -> None:
-    """Orders and their items as events with columns of every kind that a tree stores."""
+def _tree_events(spark: SparkSession, d: str, folder: str, *columns: str) -> None:
+    """Orders and their items as events, of columns of every kind that a tree stores those named."""
     hit = F.struct(F.struct("l_extendedprice", "l_quantity").alias("Base"), "l_linenumber", "l_returnflag", F.array("l_tax", "l_discount").alias("rates"))
     by_line = F.struct(F.col("l_linenumber").alias("key"), F.col("l_partkey").alias("value"))
     items = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_extendedprice", hit.alias("hit"), by_line.alias("pair")))).alias("x"))
     whole = F.struct(F.col("l_orderkey").alias("id"), F.lit("order").alias("label"), F.col("x.l_partkey").alias("parts"), F.transform("x.hit", lambda h: F.struct(h["l_returnflag"].alias("flag"), h["rates"].alias("rates"))).alias("lines"))
     grid = F.transform(F.sequence(F.lit(0), F.lit(1)), lambda i: F.transform(F.sequence(F.lit(0), F.lit(2)), lambda j: (F.col("l_orderkey") * 10 + i * 3 + j).cast("double")))
     df = items.select("l_orderkey", F.size("x").alias("n"), F.col("x.l_extendedprice").alias("prices"), grid.alias("grid"), C.map_last_wins(F.col("x.pair")).alias("by_line"), whole.alias("whole"), F.col("x.hit").alias("hits"))
-    write_trees(df, folder, arrays={"prices": "n", "grid": (2, 3)})
+    write_trees(df.select(*columns), folder, arrays={k: v for k, v in {"prices": "n", "grid": (2, 3)}.items() if k in columns})
 
 
 @query("""SELECT l_orderkey, count(*) AS n, 'order' AS label, sum(l_partkey)::BIGINT AS parts, round(sum(l_tax + l_discount), 6) AS rates,
@@ -581,7 +590,7 @@ count(*) FILTER (l_returnflag = 'R') AS returned FROM lineitem GROUP BY l_orderk
 def tree_unsplit_records(spark: SparkSession, d: str) -> DataFrame:
     """Records stored in one piece that hold a string, a vector, and a vector of records with vectors of their own."""
     folder = scratch(spark)
-    _tree_events(spark, d, folder)
+    _tree_events(spark, d, folder, "whole")
     w = F.col("whole")
     rates = F.flatten(F.transform(w["lines"], lambda x: x["rates"]))
     got = read_trees(spark, folder, columns=["whole"])
@@ -593,7 +602,7 @@ def tree_unsplit_records(spark: SparkSession, d: str) -> DataFrame:
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC) AS r FROM lineitem) WHERE r = 1""")
 def tree_maps(spark: SparkSession, d: str) -> DataFrame:
     folder = scratch(spark)
-    _tree_events(spark, d, folder)
+    _tree_events(spark, d, folder, "l_orderkey", "by_line")
     return read_trees(spark, folder, columns=["l_orderkey", "by_line"], entries="5000").select("l_orderkey", F.explode("by_line").alias("key", "value"))
 
 
@@ -601,7 +610,7 @@ def tree_maps(spark: SparkSession, d: str) -> DataFrame:
 def tree_nd_arrays(spark: SparkSession, d: str) -> DataFrame:
     """Leaf arrays: one whose length another column counts, and one of fixed dimensions."""
     folder = scratch(spark)
-    _tree_events(spark, d, folder)
+    _tree_events(spark, d, folder, "l_orderkey", "n", "prices", "grid")
     got = read_trees(spark, folder, columns=["l_orderkey", "n", "prices", "grid"])
     return got.select("l_orderkey", "n", F.round(C.total(F.col("prices")), 2).alias("total"), F.col("grid")[1][2].alias("corner"), F.col("grid")[0][1].alias("beside"))
 
@@ -610,7 +619,7 @@ def tree_nd_arrays(spark: SparkSession, d: str) -> DataFrame:
 def tree_flatten_base(spark: SparkSession, d: str) -> DataFrame:
     """A split collection with a base class, strings and vectors: flattened, and with the base as a record of its own."""
     folder = scratch(spark)
-    _tree_events(spark, d, folder)
+    _tree_events(spark, d, folder, "l_orderkey", "hits")
     flat = read_trees(spark, folder, columns=["l_orderkey", "hits"]).select("l_orderkey", F.inline("hits"))
     nested = read_trees(spark, folder, columns=["l_orderkey", "hits.Base"], flattenoutbasepass="off")
     sums = nested.select("l_orderkey", F.expr("aggregate(hits.Base.l_quantity, 0D, (s, x) -> s + x)").alias("whole"))

@@ -55,3 +55,8 @@ def test_nested_pruning_reaches_the_scan(spark, tmp_path):
     order_events(spark, TOP).write.parquet(str(tmp_path / "e"))
     df = read_events(spark, str(tmp_path / "e"), columns=["muons.pt_"])
     assert "ReadSchema: struct<muons:array<struct<pt_:double>>>" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_partition_filters_list_their_folders_alone(spark):
+    plan = QUERIES["partition_columns"](spark, TOP)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [o_orderstatus" in plan and "o_orderkey" not in plan.split("ReadSchema")[1]
