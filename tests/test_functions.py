@@ -94,3 +94,22 @@ def test_writing_drops_what_parquet_cannot_hold(spark, tmp_path):
     write_events(df, str(tmp_path / "out"))
     row = read_events(spark, str(tmp_path / "out")).first()
     assert (row["a"], row["v"][0]["x"], row["m"]["k"]["m"]) == (1, 2, 3)
+
+
+def test_pairs_of_a_stream_within_a_time(spark, tmp_path):
+    from pleiad.streaming import windows
+
+    rows = spark.sql("select cast(id % 3 as long) as user_id, if(id % 2 = 0, 'a', 'b') as event_type, timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, cast(id as int)) as ts, 1D as value from range(40)")
+    rows.coalesce(1).write.parquet(str(tmp_path / "e"))
+    for within in (None, "3 hours"):
+        got = windows.drained(windows.first_seen(windows.event_stream(spark, str(tmp_path / "e")), within), "append").collect()
+        assert sorted(tuple(r) for r in got) == sorted((u, t) for u in range(3) for t in "ab")
+    rows.where("false").write.parquet(str(tmp_path / "none"))
+    assert windows.drained(windows.first_seen(windows.event_stream(spark, str(tmp_path / "none"))), "append").collect() == []
+    assert windows.windowed_counts(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_leading_keeps_ties_in_order_and_maps_need_no_ordering_of_values(spark):
+    df = spark.sql("select array(struct(1D as k, map(1, 2) as v, 'x' as n), struct(1D as k, map(3, 4) as v, 'y' as n), struct(2D as k, map() as v, 'z' as n)) as a, array(struct('p' as key, map(1, 1) as value), struct('p' as key, map(2, 2) as value)) as e, array() as none")
+    r = df.select(C.leading(F.col("a"), 3, lambda m: m["k"])["n"].alias("n"), C.map_last_wins(F.col("e")).alias("m"), C.multimap(F.col("e")).alias("mm")).first()
+    assert r["n"] == ["z", "x", "y"] and r["m"] == {"p": {2: 2}} and r["mm"] == {"p": [{1: 1}, {2: 2}]}
