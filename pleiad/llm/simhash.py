@@ -1,9 +1,10 @@
 """SimHash near-dedup by bit-sliced comparison.
 
-Distinct fingerprints are dealt into tables by agreeing bits. Within a bucket they stand as vertical bit planes;
-carry-save counters add up many distances at once, and a block of lanes is abandoned once all of them exceed the
-radius. Tables of a small radius take bit blocks of which two fingerprints within it must agree on some choice, so
-no link is lost; tables of a large radius take sampled bits, as many as a stated similarity needs.
+Distinct fingerprints are dealt into tables. Within a bucket they stand as vertical bit planes; carry-save counters
+add up many distances at once, and a block of lanes is abandoned once all of them exceed the radius. Tables of a small
+radius take bit blocks of which two fingerprints within it must agree on some choice, so no link is lost; for a large
+radius, at which no few bits need agree, tables take bands of least shingle hashes, whose number follows from the
+similarity aimed at and not from the number of documents.
 """
 
 from __future__ import annotations
@@ -37,7 +38,9 @@ TOGETHER = 1 << 16
 MARKS, AT_ONCE = 1 << 20, 1 << 20
 #: Of similar documents: fingerprint words of 64 bits, words a shingle, the similarity aimed at, and the part of the pairs just
 #: that similar which no table may bring together.
-WIDE, SHINGLE, SIMILAR, MISSED = 4, 5, 0.8, 0.03
+WIDE, SHINGLE, SIMILAR, MISSED = 4, 5, 0.8, 0.005
+#: Least hashes that a band holds, standard deviations of the distance that the radius allows, and shingles hashed together.
+BAND, DEVIATIONS, HASHED = 4, 3, 1 << 13
 
 
 def shingle_hashes(text: bytes, width: int) -> list[int]:
@@ -398,62 +401,68 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def wide_fingerprint(text: bytes, width: int = SHINGLE, size: int = WIDE) -> bytes:
+def wide_fingerprint(h: np.ndarray, size: int = WIDE) -> bytes:
     """size words of 64 bits: the majorities of different shingles' hashes and of hashes made from those."""
-    h, out = np.unique(np.array(shingle_hashes(text, width), np.uint64)), []
+    out = []
     for _ in range(size):
         out.append(majority(h))
         h = _mixed(h)
     return np.array(out, "<u8").tobytes()
 
 
+def bands(h: np.ndarray, count: int) -> bytes:
+    """A key for each of count bands: of BAND orders of the shingles' hashes, each the hashes' product by an odd number, the least ones."""
+    factors = _mixed(np.arange(count * BAND, dtype=np.uint64)) | np.uint64(1)
+    least = np.full(count * BAND, ~np.uint64(0))
+    for a in range(0, len(h), HASHED):
+        least = np.minimum(least, (h[a : a + HASHED, None] * factors).min(axis=0))
+    key = np.arange(count, dtype=np.uint64)
+    for part in least.reshape(count, BAND).T:
+        key = _mixed(key ^ part)
+    return key.astype("<u8").tobytes()
+
+
+def band_count(similarity: float) -> int:
+    """Bands until MISSED of the pairs that are this similar agree in none: in one of them they do by similarity ** BAND."""
+    return math.ceil(math.log(MISSED) / math.log(1 - similarity**BAND)) if similarity < 1 else 1
+
+
 def agreement(similarity: float) -> float:
     """The chance that a bit of two documents agrees if their shingle sets, of one size, have this Jaccard similarity."""
     return 1 - math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def sampled_bits(n: int, bits: int, agrees: float) -> np.ndarray:
-    """Tables x the bits of a key: one for each binary digit of n, and tables until MISSED pairs that agree so meet in none."""
-    k = min(48, max(8, n.bit_length()), bits)
-    count = math.ceil(math.log(1 / MISSED) / agrees**k)
-    rng = np.random.default_rng(SEED)
-    return np.array([rng.choice(bits, k, replace=False) for _ in range(count)])
-
-
 def similar_groups(docs: DataFrame, similarity: float = SIMILAR, size: int = WIDE, width: int = SHINGLE) -> DataFrame:
     """doc_id, text_key (xxhash64 of the text), group (long): equal groups for documents that similarity joins.
 
     Fingerprints of size x 64 bits are near within the distance that this Jaccard similarity of shingle sets leads to,
-    and two standard deviations more. What near ones join in a bucket, of whatever size, is linked by the exact
-    similarity of the texts' sets: each pair of it is tested unless links that hold join it already. Tables take as many
-    sampled bits as the number of different fingerprints has binary digits. Null and empty texts are one group. A row
-    for each row of docs: repeated rows share a group and null doc_ids stay null. Texts count whole, however long; a
-    similarity that equals the limit links. An empty table gives an empty one; other columns are not read.
+    and DEVIATIONS standard deviations more. They meet in buckets by bands of least shingle hashes. What near ones join
+    in a bucket, of whatever size, is linked by the exact similarity of the texts' sets: each pair of it is tested
+    unless links that hold join it already. Null and empty texts are one group. A row for each row of docs: repeated
+    rows share a group and null doc_ids stay null. Texts count whole, however long; a similarity that equals the limit
+    links. An empty table gives an empty one; other columns are not read.
     """
     small_batches(docs.sparkSession)
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("text_key", T.LongType()), T.StructField("fp", T.BinaryType())])
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("text_key", T.LongType()), T.StructField("fp", T.BinaryType()), T.StructField("bands", T.BinaryType())])
+    count = band_count(similarity)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = pa.array([wide_fingerprint(t, width, size) for t in utf8(b.column(2))], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps], names=schema.names)
+            hashes = [np.unique(np.array(shingle_hashes(t, width), np.uint64)) for t in utf8(b.column(2))]
+            marks = [pa.array([f(h, n) for h in hashes], pa.binary()) for f, n in ((wide_fingerprint, size), (bands, count))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *marks], names=schema.names)
 
     marked = checkpointed(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(mark, schema).withColumn("node", F.xxhash64("fp")))
-    distinct = marked.groupBy("node").agg(F.first("fp").alias("fp"))
+    distinct = marked.groupBy("node").agg(F.min(F.struct("fp", "bands")).alias("x")).select("x.fp", "x.bands")
     agrees, bits = agreement(similarity), 64 * size
-    chosen = sampled_bits(marked.select("node").distinct().count(), bits, agrees)
-    radius = math.ceil(bits * (1 - agrees) + 2 * math.sqrt(bits * agrees * (1 - agrees)))
-    powers = 1 << np.arange(chosen.shape[1], dtype=np.int64)
+    radius = math.ceil(bits * (1 - agrees) + DEVIATIONS * math.sqrt(bits * agrees * (1 - agrees)))
     words_of = [f"f{i}" for i in range(size)]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(b.num_rows, -1)
-            set_bits = np.unpackbits(fps, axis=1, bitorder="little")
-            parts = [pa.array(c) for c in np.ascontiguousarray(fps.view("<i8").T)]
-            for t, own in enumerate(chosen):
-                key = (t << chosen.shape[1]) + set_bits[:, own] @ powers
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), *parts], names=["key", *words_of])
+            fps, keys = (np.frombuffer(b"".join(c.to_pylist()), "<i8").reshape(b.num_rows, -1) for c in b.columns)
+            parts = [pa.array(np.repeat(c, count)) for c in np.ascontiguousarray(fps.T)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), *parts], names=["key", *words_of])
 
     dealt = distinct.mapInArrow(deal, ", ".join(f"{c} long" for c in ("key", *words_of)))
     met = checkpointed(gathered(dealt, radius))

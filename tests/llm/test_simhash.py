@@ -199,3 +199,23 @@ def test_forest_of_links_that_hold():
     assert not marks.any() and all(holds(sets[i], sets[p]) for i, p in enumerate(parent.tolist()) if i != p)
     own = simhash._joined(len(sets), np.arange(len(sets)), parent)
     assert (own == simhash._joined(len(sets), *np.array(pairs).T)).all()
+
+
+def test_bands_agree_as_often_as_the_similarity_says():
+    rng = np.random.default_rng(13)
+    agree = {0.5: 0, 0.8: 0, 1.0: 0}
+    for similarity in agree:
+        for _ in range(60):
+            shared, apart = round(300 * similarity), 300 - round(300 * similarity)
+            h = rng.integers(0, 1 << 63, shared + apart, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            cut = shared + apart // 2
+            a, b = np.unique(np.concatenate((h[:shared], h[shared:cut]))), np.unique(np.concatenate((h[:shared], h[cut:])))
+            agree[similarity] += (np.frombuffer(simhash.bands(a, 20), "<u8") == np.frombuffer(simhash.bands(b, 20), "<u8")).mean() / 60
+    assert abs(agree[1.0] - 1) < 1e-9 and abs(agree[0.8] - 0.8**4) < 0.06 and abs(agree[0.5] - 0.5**4) < 0.03
+    long = rng.integers(0, 1 << 63, 3 * simhash.HASHED, dtype=np.uint64)
+    parts = [np.array([np.min(long * f) for f in (simhash._mixed(np.arange(8, dtype=np.uint64)) | np.uint64(1))])]
+    key = simhash._mixed(np.arange(2, dtype=np.uint64) ^ parts[0].reshape(2, 4).T[0])
+    for p in parts[0].reshape(2, 4).T[1:]:
+        key = simhash._mixed(key ^ p)
+    assert simhash.bands(long, 2) == key.tobytes()
+    assert simhash.band_count(0.8) == 11 and simhash.band_count(1.0) == 1 and len(simhash.bands(long[:0], 3)) == 24
