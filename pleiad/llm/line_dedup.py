@@ -50,23 +50,46 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, schema)
 
 
+class Runs:
+    """Rows in order of key, document and position, as columns; a run is the rows of one key."""
+
+    def __init__(self, b: pa.RecordBatch):
+        self.h = np.stack([c.to_numpy() for c in b.columns[:2]], axis=1)
+        doc = b.column(2)
+        told = pc.not_equal(doc.slice(1), doc.slice(0, max(len(doc) - 1, 0)))  # null where either is
+        apart = pc.xor(pc.is_null(doc.slice(1)), pc.is_null(doc.slice(0, max(len(doc) - 1, 0))))
+        other = pc.if_else(pc.is_null(told), apart, told).to_numpy(zero_copy_only=False).astype(bool)
+        n = b.num_rows
+        self.new = np.ones(n, bool)
+        self.new[1:] = (self.h[1:] != self.h[:-1]).any(axis=1)
+        self.first = self.new.copy()  # a document's first occurrence of a key
+        self.first[1:] |= other
+        self.starts = np.flatnonzero(self.new)
+        self.docs = np.add.reduceat(self.first.astype(np.int64), self.starts) if n else np.zeros(0, np.int64)
+
+    def key(self, run: int) -> tuple[int, int]:
+        return tuple(self.h[self.starts[run]].tolist())
+
+
 def edge_counts(ordered: DataFrame) -> dict[tuple, int]:
     """Documents of the first and the last key of each partition, summed over partitions: two rows a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = now = None
-        last, n = object(), 0
+        done: list[tuple] = []  # the partition's first run and the latest one: key, documents
+        last = None  # the document that the latest row is of
         for b in batches:
-            for key, doc in zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True), b.column(2).to_pylist(), strict=True):
-                if key != now:
-                    if now is not None and first is None:
-                        first = (*now, n)
-                    now, n, last = key, 0, object()
-                if doc != last:
-                    n, last = n + 1, doc
-        rows = [r for r in (first, now and (*now, n)) if r]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["h1", "h2", "n"])
+            if not b.num_rows:
+                continue
+            runs = Runs(b)
+            for k in sorted({0, len(runs.starts) - 1}):
+                key, n = runs.key(k), int(runs.docs[k])
+                if k == 0 and done and done[-1][0] == key:
+                    done[-1] = key, done[-1][1] + n - (b.column(2)[0].as_py() == last)
+                else:
+                    done = [*done[:1], (key, n)]
+            last = b.column(2)[-1].as_py()
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*((*key, n) for key, n in done), strict=True)], names=["h1", "h2", "n"])
 
     out: dict[tuple, int] = {}
     for r in ordered.select("h1", "h2", "doc").mapInArrow(run, "h1 long, h2 long, n long").toLocalIterator():
@@ -85,25 +108,27 @@ def shared_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = edges.value
-        now, docs_now, last, waiting = None, 0, object(), []
+        open_key, waiting = None, None  # a key whose lines go, or the rows of a run that hasn't enough documents yet
+
+        def told(b: pa.RecordBatch, keep: np.ndarray) -> Iterator[pa.RecordBatch]:
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in b.columns[2:]], names=["doc", "text_key", "pos"])
+
         for b in batches:
-            out: list[tuple] = []
-            for key, row in zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True), zip(*(c.to_pylist() for c in b.columns[2:]), strict=True), strict=True):
-                if key != now:
-                    now, last, waiting = key, object(), []
-                    docs_now = known.get(key, 0)
-                    count = docs_now == 0
-                if count and row[0] != last:  # the document's first occurrence
-                    docs_now, last = docs_now + 1, row[0]
-                if docs_now >= min_docs:
-                    out += waiting
-                    out.append(row)
-                    waiting = []
-                else:
-                    waiting.append(row)
-            if out:
-                cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.column(2).type), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32())], names=["doc", "text_key", "pos"])
+            if waiting is not None:
+                b = pa.Table.from_batches([waiting, b]).combine_chunks().to_batches()[0] if b.num_rows else waiting
+                waiting = None
+            if not b.num_rows:
+                continue
+            runs = Runs(b)
+            goes = runs.docs >= min_docs
+            for k in {0, len(goes) - 1}:  # only these may have rows in other partitions, or in the batch before
+                goes[k] |= known.get(runs.key(k), 0) >= min_docs or runs.key(k) == open_key
+            last = int(runs.starts[-1])
+            open_key = runs.key(len(goes) - 1) if goes[-1] else None
+            if not goes[-1]:  # it may go on: fewer than min_docs documents' rows wait
+                waiting = b.slice(last)
+            yield from told(b, np.repeat(goes, np.diff(np.append(runs.starts, b.num_rows))))
 
     return ordered.mapInArrow(run, T.StructType([T.StructField("doc", kind), T.StructField("text_key", T.LongType()), T.StructField("pos", T.IntegerType())]))
 
@@ -123,7 +148,8 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10) -> DataFrame:
 
     text_key is xxhash64 of the text, so rows that repeat a doc_id with another text have bitmaps of their own.
     Bits stand in order of lines, least significant first; lines behind the bitmap's end stay. Documents without
-    an entry keep every line: null and empty texts (one empty line), lines with empty keys, an empty table.
+    an entry keep every line: null and empty texts (one empty line), lines with empty keys, an empty table. Texts
+    count whole, however long; a key in just min_docs documents goes. A null doc_id is one document.
     """
     dropped = shared_lines(docs, min_docs)
     sent = T.StructType([dropped.schema["doc"], T.StructField("text_key", T.LongType()), T.StructField("keep", T.BinaryType())])

@@ -68,3 +68,13 @@ def test_n_chars_follows_the_text(spark):
     assert got[91]["n_chars"] is None and got[92]["n_chars"] == 7
     bare = line_dedup.without_shared_lines(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"))
     assert bare.columns == ["doc_id", "text"] and bare.count() == len(rows)
+
+
+def test_runs_over_many_batches_and_partitions(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [(rng.choice([i, i, i // 2, None]), "\n".join(f"line {int(rng.paretovariate(0.4)) % 900}" for _ in range(rng.randint(0, 9))), None, None, None) for i in range(2500)]
+    docs = spark.createDataFrame(rows, H.DOCS).repartition(5)
+    for least in (2, 10, 40):
+        assert sorted(map(tuple, line_dedup.line_digest(docs, least).collect()), key=str) == plain(rows, least)
