@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pleiad.llm import line_dedup, mixing, packing, simhash, toxicity
-from pleiad.llm.common import remove, shared_dir, table
+from pleiad.llm.common import releasing, remove, shared_dir, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -79,7 +79,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     before = None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{top}/{name}")
+        with releasing():  # what a stage has checkpointed goes once its rows are written
+            stage(spark, docs, sf_dir).write.parquet(f"{top}/{name}")
         docs = spark.read.parquet(f"{top}/{name}")
         if before:
             remove(spark, before)
