@@ -48,7 +48,15 @@ def test_run_gives_the_last_stage(spark, tmp_path):
     docs, marks = corpus(40)
     spark.createDataFrame(docs, H.DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     H.labels(spark, marks).write.parquet(f"{tmp_path}/labels.parquet")
+    from pathlib import Path
+
+    from pleiad.llm.common import shared_dir
+    from pleiad.llm.shared_files import local
+
+    kept = lambda: {f for d in Path(local(shared_dir(spark))).iterdir() if d.is_dir() for f in d.glob("rdd-*")}
+    before = kept()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    assert kept() <= before
 
 
 def written(spark, folder, docs, marks) -> str:
