@@ -606,6 +606,17 @@ def tree_maps(spark: SparkSession, d: str) -> DataFrame:
     return read_trees(spark, folder, columns=["l_orderkey", "by_line"], entries="5000").select("l_orderkey", F.explode("by_line").alias("key", "value"))
 
 
+@query("SELECT l_orderkey, l_returnflag AS key, count(*) AS n, sum(l_partkey)::BIGINT AS total FROM lineitem GROUP BY ALL")
+def tree_multimaps(spark: SparkSession, d: str) -> DataFrame:
+    """Maps with several values a key, by strings."""
+    folder = scratch(spark)
+    entry = F.struct(F.col("l_returnflag").alias("key"), F.col("l_partkey").alias("value"))
+    own = table(spark, d, "lineitem").groupBy("l_orderkey").agg(C.multimap(F.collect_list(entry)).alias("parts"))
+    write_trees(own, folder, multimaps=("parts",))
+    rows = read_trees(spark, folder).select("l_orderkey", F.explode("parts").alias("key", "values"))
+    return rows.select("l_orderkey", "key", F.size("values").cast("long").alias("n"), C.total(F.col("values")).cast("long").alias("total"))
+
+
 @query("""SELECT l_orderkey, count(*)::INTEGER AS n, round(sum(l_extendedprice), 2) AS total, l_orderkey * 10.0 + 5 AS corner, l_orderkey * 10.0 + 1 AS beside FROM lineitem GROUP BY l_orderkey""")
 def tree_nd_arrays(spark: SparkSession, d: str) -> DataFrame:
     """Leaf arrays: one whose length another column counts, and one of fixed dimensions."""

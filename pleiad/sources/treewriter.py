@@ -402,8 +402,8 @@ def _whole(values: pa.Array) -> bool:
     return not pa.types.is_struct(kind) or all(_whole(x) for x in values.flatten())
 
 
-def add_column(f: TreeFile, tree: str, name: str, values: pa.Array, dims: tuple[int, ...] | str | None = None, counters: dict | None = None) -> tuple:
-    """A branch of a column.
+def add_column(f: TreeFile, tree: str, name: str, values: pa.Array, dims: tuple[int, ...] | str | None = None, counters: dict | None = None, multi: bool = False) -> tuple:
+    """A branch of a column; multi: a map of lists is a multimap.
 
     Numbers are leaves, and lists of them as well where dims says so: fixed dimensions, or the name of the column that
     counts them. Lists of records are split, a branch a member, and a record within such a record is a base class.
@@ -445,8 +445,12 @@ def add_column(f: TreeFile, tree: str, name: str, values: pa.Array, dims: tuple[
             f.describe(c_name(item, name), _with_bases(f, item, name))
             subs = [sub_branch(f, tree, name, place, x, part, at) for place, (x, part) in enumerate(_parts(flat))]
             return f.element(tree, name, f"vector<{c_name(item, name)}>", [struct.pack(">i", n) for n in sizes.tolist()], subs, kind=4, offsets=False)
+    rows, head = values.to_pylist(), ""
+    if multi:  # each key as often as it has values
+        kind, head = pa.map_(kind.key_type, kind.item_type.value_type), "multi"
+        rows = [[(k, x) for k, own in row for x in own] for row in rows]
     describe(f, kind, name)
-    return f.element(tree, name, c_name(kind, name), list(map(encoder(kind, True), values.to_pylist())))
+    return f.element(tree, name, head + c_name(kind, name), list(map(encoder(kind, True), rows)))
 
 
 def _with_bases(f: TreeFile, kind: pa.DataType, record: str) -> list[tuple]:
@@ -486,12 +490,12 @@ def _raw(raw: bytes) -> bytes:
     return (bytes([len(raw)]) if len(raw) < 255 else b"\xff" + struct.pack(">I", len(raw))) + raw
 
 
-def write_trees(df: DataFrame, folder: str, tree: str = "Events", method: str = "ZL", per_basket: int = 8192, arrays: dict[str, tuple[int, ...] | str] | None = None) -> DataFrame:
+def write_trees(df: DataFrame, folder: str, tree: str = "Events", method: str = "ZL", per_basket: int = 8192, arrays: dict[str, tuple[int, ...] | str] | None = None, multimaps: tuple[str, ...] = ()) -> DataFrame:
     """Writes a file of each partition that has rows; path and entries of each, in a table that is already made.
 
     Columns hold numbers, strings, lists, maps and records of them at any depth, without nulls; add_column() says how
-    each is stored. arrays: columns that are leaf arrays, by their fixed dimensions or the column that counts them. A
-    task holds its partition's packed columns, less than 2 GB, and one that runs again replaces its file.
+    each is stored. arrays: columns that are leaf arrays, by their fixed dimensions or the column that counts them; multimaps: maps of
+    lists that are stored as such. A task holds its partition's packed columns, less than 2 GB, and one that runs again replaces its file.
     """
     ship(df.sparkSession)
     names, arrays = df.columns, arrays or {}
@@ -508,7 +512,7 @@ def write_trees(df: DataFrame, folder: str, tree: str = "Events", method: str =
         if any(c.num_chunks != 1 for c in table.columns):
             raise ValueError("a partition's column is beyond 2 GB; write more partitions")
         f, counters = TreeFile("", method, per_basket), {}
-        made = {i: add_column(f, tree, names[i], table.column(i).chunk(0), arrays.get(names[i]), counters) for i in order}
+        made = {i: add_column(f, tree, names[i], table.column(i).chunk(0), arrays.get(names[i]), counters, names[i] in multimaps) for i in order}
         f.tree(tree, [made[i] for i in range(len(names))], rows)
         name = f"part-{TaskContext.get().partitionId():05d}.root"
         if "://" in folder and not folder.startswith("file:"):
